@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 # The cleaning patterns and the composed-query markers.
 SPACE = r"\s\x1c-\x1f"
 URLS = rf"(?U)http[^{SPACE}]+|www\.[^{SPACE}]+"
-SPECIALS = rf"(?U)[^a-zA-Z0-9{SPACE}]"
+SPECIALS = rf"(?U)[^a-zA-Z0-9{SPACE}]+"
 TITLE_MARK = "[TITLE] "
 BODY_MARK = " [BODY] "
 
@@ -50,7 +50,9 @@ def html_to_text(text: Column) -> Column:
 
 
 def strip_urls(text: Column) -> Column:
-    return F.regexp_replace(text, URLS, "")
+    # The plain substring test keeps the pattern away from the many texts without a URL.
+    has_url = text.contains("http") | text.contains("www.")
+    return F.when(has_url, F.regexp_replace(text, URLS, "")).otherwise(text)
 
 
 def strip_special(text: Column) -> Column:

@@ -1,21 +1,16 @@
-"""Vector arithmetic and hashed term vectors as column expressions."""
+"""Vector arithmetic on array columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rankweave.functions.text import words
-
-TERM_BUCKETS = 1 << 18
 SCORE_DECIMALS = 10
 
 
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def l2_norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
@@ -24,51 +19,27 @@ def normalize(a: Column, norm: Column) -> Column:
     return F.transform(a, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
 
 
+def _unit_rows(vectors: pa.Array) -> np.ndarray:
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError("vectors of different lengths")
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    rows = flat.reshape(len(vectors), -1)
+    norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
+    return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
+
+
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two vectors, 0 where either is all zeros."""
-    scale = l2_norm(a) * l2_norm(b)
-    return F.when(scale > 0, dot(a, b) / scale).otherwise(F.lit(0.0))
+    """Cosine of two non-null vectors of one length, 0 where either is all zeros."""
 
+    def cosines(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array(np.einsum("ij,ij->i", _unit_rows(left), _unit_rows(right)))
 
-def elementwise_product(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.arrow_udf(cosines, T.DoubleType())(a, b)
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    """Bucket of a term: the first 32 bits of its md5, modulo the bucket count."""
-    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % buckets).cast("int")
-
-
-def with_term_vector(df: DataFrame, text: str, buckets: int = TERM_BUCKETS) -> DataFrame:
-    """Add the hashed bag-of-words vector of ``text``: ``terms`` (ascending buckets) and ``tf`` (counts).
-
-    The words are hashed and sorted inside the row and the counts are the lengths of the runs of equal
-    buckets, so a document costs O(n log n) in its word count and nothing is exploded or shuffled.
-    """
-    others = [c for c in df.columns if c not in ("terms", "tf")]
-    hashed = df.select(
-        *others,
-        F.sort_array(F.transform(words(F.col(text)), lambda w: term_bucket(w, buckets))).alias("_hashed"),
-    )
-    runs = hashed.select(
-        *others,
-        "_hashed",
-        F.filter(
-            F.transform(
-                "_hashed",
-                lambda b, i: F.when((i == 0) | (F.get("_hashed", i - 1) != b), i),
-            ),
-            lambda i: i.isNotNull(),
-        ).alias("_starts"),
-    )
-    ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(1))), F.array(F.size("_hashed")))
-    return runs.select(
-        *others,
-        F.array_distinct("_hashed").alias("terms"),
-        F.when(F.size("_hashed") == 0, F.array().cast("array<double>"))
-        .otherwise(F.zip_with("_starts", ends, lambda s, e: (e - s).cast("double")))
-        .alias("tf"),
-    )
+def elementwise_product(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
 
 
 def dense_from_terms(terms: Column, tf: Column, dim: int) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankweave.functions.vectors import TERM_BUCKETS, dense_from_terms, l2_norm, normalize, with_term_vector
+from rankweave.functions.terms import TERM_BUCKETS, term_vector
+from rankweave.functions.vectors import dense_from_terms, l2_norm, normalize
 
 ENCODE_BATCH = 32  # fixed value: texts per model call
 
@@ -28,8 +29,10 @@ Encoder = Callable[[list[str]], np.ndarray]
 
 
 def encode_terms(df: DataFrame, text: str, buckets: int = TERM_BUCKETS) -> DataFrame:
-    """Sparse hashed term vectors (``terms``, ``tf``) in place of ``text``. Stays in the JVM."""
-    return with_term_vector(df, text, buckets).drop(text)
+    """Sparse hashed term vectors (``terms``, ``tf``) in place of ``text``."""
+    others = [c for c in df.columns if c != text]
+    encoded = df.select(*others, term_vector(F.col(text), buckets).alias("_vector"))
+    return encoded.select(*others, "_vector.terms", "_vector.tf")
 
 
 def encode_dense_terms(df: DataFrame, text: str, dim: int) -> DataFrame:

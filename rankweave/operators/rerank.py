@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankweave.functions.text import words
+from rankweave.functions.terms import word_sets
+from rankweave.functions.text import clean_text
 from rankweave.operators.ranking import top_k
 
 FEATURES = ("coverage", "jaccard", "bigram_coverage", "length_ratio", "bi_score")
@@ -25,19 +26,14 @@ LEXICAL_WEIGHTS = {
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def _bigrams(tokens: Column) -> Column:
-    following = F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1)))
-    both = F.zip_with(tokens, following, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
-    return F.array_distinct(F.filter(both, lambda g: g.isNotNull()))
-
-
 def with_word_sets(texts: DataFrame, text: str, prefix: str) -> DataFrame:
     """Replace ``text`` by its distinct words and word pairs, once per text rather than once per pair."""
-    tokens = texts.withColumn("_words", words(F.col(text))).drop(text)
-    return tokens.select(
-        *[c for c in tokens.columns if c != "_words"],
-        F.array_distinct("_words").alias(f"{prefix}_words"),
-        _bigrams(F.col("_words")).alias(f"{prefix}_bigrams"),
+    others = [c for c in texts.columns if c != text]
+    sets = texts.select(*others, word_sets(F.col(text)).alias("_sets"))
+    return sets.select(
+        *others,
+        F.col("_sets.words").alias(f"{prefix}_words"),
+        F.col("_sets.bigrams").alias(f"{prefix}_bigrams"),
     )
 
 
@@ -107,13 +103,20 @@ def model_scores(
     return pairs.mapInPandas(score, schema)
 
 
-def candidate_features(candidates: DataFrame, topics: DataFrame, answers: DataFrame) -> DataFrame:
+def candidate_features(
+    candidates: DataFrame, topics: DataFrame, answers: DataFrame, clean_docs: bool = False
+) -> DataFrame:
     """Features of (query_id, doc_id, bi_score) candidates, the texts joined after the top-k.
 
-    Only documents that are candidates are tokenised, each once.
+    Only documents that are candidates are cleaned and tokenised, each once: the semi-join comes first,
+    and its exchange by doc_id also serves the join with the candidates.
     """
-    wanted = answers.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
-    doc_sets = with_word_sets(wanted.select("doc_id", "text"), "text", "d")
+    wanted = answers.select("doc_id", "text").join(
+        candidates.select("doc_id").distinct(), "doc_id", "left_semi"
+    )
+    if clean_docs:
+        wanted = wanted.select("doc_id", clean_text(F.col("text")).alias("text"))
+    doc_sets = with_word_sets(wanted, "text", "d")
     query_sets = with_word_sets(topics.select("query_id", "query"), "query", "q")
     return pair_features(candidates.join(query_sets, "query_id").join(doc_sets, "doc_id"))
 

@@ -47,17 +47,17 @@ def two_stage(
 ) -> DataFrame:
     """(query_id, doc_id, bi_rank, bi_score, ce_rank, ce_score): both rankings of one search.
 
-    ``answers`` are cleaned already. ``doc_vectors`` are their stored vectors, else they are encoded
-    here. With ``stage`` the first-stage result is written once, since its rows are needed both to pick
-    the documents to tokenise and to rank them.
+    ``answers`` are raw and get cleaned here. ``doc_vectors`` are their stored vectors, else they are
+    encoded here. With ``stage`` the first-stage result is written once, since its rows are needed both
+    to pick the documents to tokenise and to rank them.
     """
     topics = prepare_topics(topics, clean_queries)
-    vectors = doc_vectors if doc_vectors is not None else encode(answers, "text")
+    vectors = doc_vectors if doc_vectors is not None else encode(clean_answers(answers), "text")
     found = cosine_topk(encode(topics, "query"), vectors, k)
     found = found.select("query_id", "doc_id", F.col("rank").alias("bi_rank"), F.col("score").alias("bi_score"))
     if stage:
         found = staged(found, "candidates")
-    scored = (scorer or weighted_scorer())(candidate_features(found, topics, answers))
+    scored = (scorer or weighted_scorer())(candidate_features(found, topics, answers, clean_docs=True))
     ranked = rerank(scored, k)
     return ranked.select("query_id", "doc_id", "bi_rank", "bi_score", "ce_rank", "ce_score")
 

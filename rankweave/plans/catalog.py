@@ -340,13 +340,11 @@ def sparse_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.two_stage(
-        si.text_topics(spark, sf_dir), retrieve.clean_answers(si.text_answers(spark, sf_dir))
-    )
+    return retrieve.two_stage(si.text_topics(spark, sf_dir), si.text_answers(spark, sf_dir))
 
 
 def rerank_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features and second score of every judged chat pair, with their cosine as first score."""
+    """Features and second score of every judged chat pair; the first score is 0 throughout."""
     return _scored_pairs(spark, sf_dir).select(
         "query_id", "doc_id", "score", *[shown(name) for name in (*rerank.FEATURES, "ce_score")]
     )
@@ -359,9 +357,9 @@ def _scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of the judged pairs (ids, grade, split) over cleaned texts; bi_score 0 throughout."""
     topics = retrieve.prepare_topics(si.chat_topics(spark, sf_dir), True)
-    answers = retrieve.clean_answers(si.chat_answers(spark, sf_dir))
     judged = _split_ids(spark, sf_dir).withColumn("bi_score", F.lit(0.0))
-    return rerank.candidate_features(judged, topics, answers).withColumnRenamed("relevance", "score")
+    features = rerank.candidate_features(judged, topics, si.chat_answers(spark, sf_dir), clean_docs=True)
+    return features.withColumnRenamed("relevance", "score")
 
 
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,8 +374,8 @@ def two_stage_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _system_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two systems x two topic sets over the chat answers, both stages: eight result sets."""
-    answers = retrieve.clean_answers(si.chat_answers(spark, sf_dir))
-    doc_vectors = staged(encode.encode_terms(answers, "text"), "vectors")
+    answers = si.chat_answers(spark, sf_dir)
+    doc_vectors = staged(encode.encode_terms(retrieve.clean_answers(answers), "text"), "vectors")
     test = _split_pairs(spark, sf_dir).where(F.col("split") == "test")
     topic_sets = {1: staged(test.select("query_id", "query"), "topics"), 2: si.text_topics(spark, sf_dir)}
     systems = {"basic": (False, rerank.LEXICAL_WEIGHTS), "fine_tuned": (True, OTHER_WEIGHTS)}
@@ -474,9 +472,10 @@ def _fitted_scorer(spark: SparkSession, sf_dir: str) -> rerank.Scorer:
 
 
 def _tuned_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answers = retrieve.clean_answers(si.chat_answers(spark, sf_dir))
     test = _split_pairs(spark, sf_dir).where(F.col("split") == "test")
-    return retrieve.two_stage(test, answers, _fitted_scorer(spark, sf_dir), clean_queries=True)
+    return retrieve.two_stage(
+        test, si.chat_answers(spark, sf_dir), _fitted_scorer(spark, sf_dir), clean_queries=True
+    )
 
 
 def tuned_ce_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from rankweave.functions.vectors import TERM_BUCKETS
+from rankweave.functions.terms import TERM_BUCKETS
 from rankweave.operators.rerank import FEATURES, LEXICAL_WEIGHTS
 from rankweave.plans.catalog import OTHER_WEIGHTS
 from rankweave.plans.standins import CHAT_JUDGMENTS, VECTOR_LABELS, VECTOR_NEIGHBOURS

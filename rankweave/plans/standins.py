@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rankweave.operators.pairs import compose_topics
 from rankweave.operators.ranking import top_k
 from rankweave.operators.similarity import DEPTH, cosine_topk
+from rankweave.session import spread
 
 # (distance in turns, grade); distance 3 is judged twice with different grades.
 CHAT_JUDGMENTS = ((1, 2), (3, 1), (3, 2), (5, 1), (-1, 0))
@@ -27,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _turn_id(turn: Column) -> Column:
     return F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
 
@@ -69,7 +74,7 @@ def text_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
 
 
 def page_topics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings the operators rely on at scale.
+
+    Many judgments can share one topic or document. The adaptive skew join splits such a key's rows, but
+    by default not where the next step needs the same partitioning; forcing it adds a shuffle there
+    instead of leaving the hot key to one task.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return spark
+
+
 def local_session(cpus: str = "*", memory: str = "12g") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
-    return (
+    return configure(
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("rankweave")
         .config("spark.sql.shuffle.partitions", "8")
@@ -44,3 +57,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a file scan that has fewer splits than there are cores; leave any other as it is.
+
+    Only for plain scans: such a scan is small by its split count, so the shuffle is too, and a large
+    table is never moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
