@@ -9,13 +9,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions.vectors import cosine, elementwise_product
 from rankweave.operators.pairs import ranked_choices, require_choices
 from rankweave.operators.ranking import top_k
 from rankweave.operators.rerank import FEATURES, fitted_scorer
+from rankweave.session import scratch_path
 
 EPOCHS = 10  # fixed value: passes of both fits
 MRR_CUTOFF = 10
@@ -82,6 +83,7 @@ def fit_pair_scorer(
                 LogisticRegression(regParam=reg_param, maxIter=max_iter),
             ]
         ).fit(positives)
+        model = reloaded(model, train.sparkSession)
         reached = ranking_score(fitted_scorer(model)(choices)).first()["mrr10"]
         if best is None or reached > best[1]:
             best = (model, reached)
@@ -92,6 +94,17 @@ def fit_pair_scorer(
     return best
 
 
+def reloaded(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as read back from the shared folder.
+
+    A freshly fitted one drags its training summary, and through it the session, into every task, which
+    fails to serialize once the session has observed a DataFrame.
+    """
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    return load_model(path)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

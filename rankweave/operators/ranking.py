@@ -78,7 +78,7 @@ def rank_run(run: DataFrame, depth: int | None = None) -> DataFrame:
     on_bound = F.array_contains(bounds, F.col("score"))
     bucket = F.struct(
         above.alias("above"),
-        F.when(on_bound, 0).otherwise(1).alias("between"),
+        on_bound.cast("int").alias("on_bound"),  # scores above a bound come before the bound itself
         F.when(on_bound, F.floor(F.col("_given") / RANK_CHUNK)).otherwise(F.lit(0)).alias("chunk"),
     )
     return exact_rank(rows.drop("rank"), order, bucket, ["query_id"], "rank").select(
