@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.text import clean_text, compose_query, filled
 from rankweave.operators.dedup import keep_highest
+from rankweave.operators.joins import salted_join
 from rankweave.operators.ranking import exact_rank
 from rankweave.operators.split import THREE_WAY, TWO_WAY, assign_splits
 
@@ -114,7 +115,7 @@ def split_qrels(split: DataFrame, qrels: DataFrame, name: str = "test") -> DataF
     Of differing grades for one document the highest is kept.
     """
     chosen = split.where(F.col("split") == name).select("query_id").distinct()
-    return keep_highest(qrels.join(chosen, "query_id", "left_semi"))
+    return keep_highest(salted_join(qrels, chosen, "query_id", "doc_id", "left_semi"))
 
 
 def binary_label(relevance: Column) -> Column:
@@ -155,10 +156,16 @@ def ranked_choices(pairs: DataFrame) -> DataFrame:
 
     Negative scores belong to neither side and are left out.
     """
+    return _counted_choices(pairs).drop("_choices")
+
+
+def _counted_choices(pairs: DataFrame) -> DataFrame:
     flagged = pairs.where(F.col("score") >= 0).withColumn("positive", F.col("score") >= 1)
-    both = flagged.groupBy("query_id").agg(F.count_if("positive").alias("p"), F.count("*").alias("n"))
-    both = both.where((F.col("p") > 0) & (F.col("p") < F.col("n"))).select("query_id")
-    return flagged.join(both, "query_id", "left_semi")
+    counts = flagged.groupBy("query_id").agg(
+        F.count_if("positive").alias("_positive"), F.count("*").alias("_choices")
+    )
+    both = counts.where((F.col("_positive") > 0) & (F.col("_positive") < F.col("_choices")))
+    return salted_join(flagged, both.select("query_id", "_choices"), "query_id", "doc_id")
 
 
 def require_choices(choices: DataFrame) -> DataFrame:
@@ -174,10 +181,9 @@ def pos_neg_groups(pairs: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
     A query of up to ``group_docs`` documents is one row (part 0). A larger one is cut by document hash
     into as many parts as that size asks for, so no array holds an unbounded group.
     """
-    choices = ranked_choices(pairs)
-    parts = choices.groupBy("query_id").agg(F.ceil(F.count("*") / F.lit(group_docs)).alias("_parts"))
-    part = F.conv(F.substring(F.md5("doc_id"), 1, 8), 16, 10).cast("long") % F.col("_parts")
-    placed = choices.join(parts, "query_id").withColumn("part", part)
+    parts = F.ceil(F.col("_choices") / F.lit(group_docs))
+    part = F.conv(F.substring(F.md5("doc_id"), 1, 8), 16, 10).cast("long") % parts
+    placed = _counted_choices(pairs).withColumn("part", part)
     grouped = placed.groupBy("query_id", "part").agg(
         F.max("query").alias("query"),
         F.sort_array(F.collect_list(F.when(F.col("positive"), F.col("doc")))).alias("positive"),

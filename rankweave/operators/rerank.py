@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from rankweave.functions.terms import word_sets
 from rankweave.functions.text import clean_text
+from rankweave.operators.joins import hot_keys, with_copies, with_salt
 from rankweave.operators.ranking import top_k
 
 FEATURES = ("coverage", "jaccard", "bigram_coverage", "length_ratio", "bi_score")
@@ -108,17 +109,21 @@ def candidate_features(
 ) -> DataFrame:
     """Features of (query_id, doc_id, bi_score) candidates, the texts joined after the top-k.
 
-    Only documents that are candidates are cleaned and tokenised, each once: the semi-join comes first,
-    and its exchange by doc_id also serves the join with the candidates.
+    Only documents that are candidates are cleaned and tokenised: the semi-join comes first, and its
+    exchange also serves the join with the candidates. A document that is a candidate of very many
+    queries is copied to several salts, so that no task meets all of its pairs.
     """
-    wanted = answers.select("doc_id", "text").join(
-        candidates.select("doc_id").distinct(), "doc_id", "left_semi"
+    place = ["doc_id", "_salt"]
+    hot = hot_keys(candidates.select("doc_id"), "doc_id")
+    salted = with_salt(candidates, hot, "doc_id", "query_id")
+    wanted = with_copies(answers.select("doc_id", "text"), hot, "doc_id").join(
+        salted.select(*place).distinct(), place, "left_semi"
     )
     if clean_docs:
-        wanted = wanted.select("doc_id", clean_text(F.col("text")).alias("text"))
+        wanted = wanted.withColumn("text", clean_text(F.col("text")))
     doc_sets = with_word_sets(wanted, "text", "d")
     query_sets = with_word_sets(topics.select("query_id", "query"), "query", "q")
-    return pair_features(candidates.join(query_sets, "query_id").join(doc_sets, "doc_id"))
+    return pair_features(salted.join(query_sets, "query_id").join(doc_sets, place).drop("_salt"))
 
 
 def rerank(scored: DataFrame, k: int) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from rankweave.operators import fit, pairs
+from rankweave.operators import fit, joins, pairs, rerank
 from rankweave.operators.rerank import FEATURES, fitted_scorer
 from rankweave.sources import readers, writers
 
@@ -81,34 +81,36 @@ def test_groups_are_cut_into_bounded_parts(spark):
         pairs.require_choices(pairs.ranked_choices(_pairs(spark, rows).where("query_id = 'pos'")))
 
 
-def test_a_hot_topic_is_split_by_the_join(spark):
-    """A query with most of the judgments: the adaptive plan splits it and the pairs stay whole."""
-    keys = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in keys}
-    n = 40_000
-    qrels = spark.range(0, n, 1, 8).select(
-        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("q"), F.col("id").cast("string"))).alias("query_id"),
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_salted_join_equals_the_plain_join(spark, how):
+    many = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("q"), (F.col("id") % 50).cast("string"))).alias("query_id"),
         F.concat(F.lit("d"), F.col("id").cast("string")).alias("doc_id"),
-        (F.col("id") % 3).cast("int").alias("relevance"),
     )
-    topics = qrels.select("query_id").distinct().withColumn("query", F.col("query_id"))
-    try:
-        for key, value in keys.items():
-            spark.conf.set(key, value)
-        joined = qrels.join(topics, "query_id").groupBy("query_id").agg(F.count("*").alias("n"), F.max("doc_id"))
-        rows = {r.query_id: r.n for r in joined.collect()}
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    assert rows["hot"] == sum(1 for i in range(n) if i % 3 > 0) and sum(rows.values()) == n
-    assert "skew=true" in plan
+    one = many.select("query_id").distinct().where("query_id <> 'q3'").withColumn("query", F.upper("query_id"))
+    salted = joins.salted_join(many, one, "query_id", "doc_id", how, hot_rows=100)
+    want = many.join(one, "query_id", how)
+    assert sorted(map(str, salted.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_hot_key_is_dealt_out_over_salts(spark):
+    many = spark.range(3000).select(
+        F.when(F.col("id") < 2000, "hot").otherwise(F.concat(F.lit("q"), F.col("id").cast("string"))).alias("k"), "id"
+    )
+    hot = joins.hot_keys(many, "k", 100)
+    assert _set(hot) == {("hot", 20)}
+    sizes = joins.with_salt(many, hot, "k", "id").where("k = 'hot'").groupBy("_salt").count().collect()
+    assert len(sizes) == 20 and max(r["count"] for r in sizes) < 200
+
+
+def test_features_do_not_depend_on_salting(spark, monkeypatch):
+    answers = spark.createDataFrame([(f"d{i}", f"a b c w{i}") for i in range(5)], "doc_id string, text string")
+    topics = spark.createDataFrame([(f"q{i}", f"b c w{i % 5}") for i in range(40)], "query_id string, query string")
+    rows = [(f"q{i}", d, 0.1) for i in range(40) for d in ("d0", f"d{1 + i % 4}")]
+    found = spark.createDataFrame(rows, "query_id string, doc_id string, bi_score double")
+    plain = _set(rerank.candidate_features(found, topics, answers))
+    monkeypatch.setattr(rerank, "hot_keys", lambda many, key: joins.hot_keys(many, key, 7))
+    assert _set(rerank.candidate_features(found, topics, answers)) == plain and len(plain) == 80
 
 
 def test_pair_scorer_picks_the_best_candidate_and_survives_saving(spark, tmp_path):
