@@ -25,6 +25,7 @@ LEXICAL_WEIGHTS = {
 }
 
 Scorer = Callable[[DataFrame], DataFrame]
+MakePairModel = Callable[[], Callable[[list[tuple[str, str]]], np.ndarray]]
 
 
 def with_word_sets(texts: DataFrame, text: str, prefix: str) -> DataFrame:
@@ -88,9 +89,7 @@ def fitted_scorer(model) -> Scorer:
     return score
 
 
-def model_scores(
-    pairs: DataFrame, make_scorer: Callable[[], Callable[[list[tuple[str, str]]], np.ndarray]]
-) -> DataFrame:
+def model_scores(pairs: DataFrame, make_scorer: MakePairModel) -> DataFrame:
     """``ce_score`` of (query, doc) texts from a user's model, loaded once per task."""
     kept = pairs.schema.fields
     schema = T.StructType([*kept, T.StructField("ce_score", T.DoubleType())])
@@ -126,6 +125,19 @@ def candidate_features(
     return pair_features(salted.join(query_sets, "query_id").join(doc_sets, place).drop("_salt"))
 
 
+def candidate_texts(
+    candidates: DataFrame, topics: DataFrame, answers: DataFrame, clean_docs: bool = False
+) -> DataFrame:
+    """The candidates with their ``query`` and ``doc`` texts, for a model that reads both."""
+    hot = hot_keys(candidates.select("doc_id"), "doc_id")
+    salted = with_salt(candidates, hot, "doc_id", "query_id")
+    docs = with_copies(answers.select("doc_id", F.col("text").alias("doc")), hot, "doc_id")
+    texts = salted.join(topics.select("query_id", "query"), "query_id").join(docs, ["doc_id", "_salt"])
+    if clean_docs:
+        texts = texts.withColumn("doc", clean_text(F.col("doc")))
+    return texts.drop("_salt")
+
+
 def rerank(scored: DataFrame, k: int) -> DataFrame:
     """``ce_rank`` by the second score; equal scores keep the first-stage order."""
     return top_k(scored, ["query_id"], [F.col("ce_score").desc(), F.col("bi_rank").asc()], k, "ce_rank")

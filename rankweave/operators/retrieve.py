@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.text import clean_text
 from rankweave.operators.encode import encode_terms
-from rankweave.operators.rerank import Scorer, candidate_features, rerank, weighted_scorer
+from rankweave.operators.rerank import (
+    MakePairModel,
+    Scorer,
+    candidate_features,
+    candidate_texts,
+    model_scores,
+    rerank,
+    weighted_scorer,
+)
 from rankweave.operators.similarity import DEPTH, cosine_topk
 from rankweave.session import staged
 
@@ -43,12 +51,14 @@ def two_stage(
     doc_vectors: DataFrame | None = None,
     k: int = DEPTH,
     clean_queries: bool = False,
+    pair_model: MakePairModel | None = None,
     stage: bool = True,
 ) -> DataFrame:
     """(query_id, doc_id, bi_rank, bi_score, ce_rank, ce_score): both rankings of one search.
 
     ``answers`` are raw and get cleaned here. ``doc_vectors`` are their stored vectors, else they are
-    encoded here. With ``stage`` the first-stage result is written once, since its rows are needed both
+    encoded here. ``pair_model`` makes a model that scores the texts, in place of ``scorer``, which
+    scores their lexical features. With ``stage`` the first-stage result is written once, since its rows are needed both
     to pick the documents to tokenise and to rank them.
     """
     topics = prepare_topics(topics, clean_queries)
@@ -57,7 +67,10 @@ def two_stage(
     found = found.select("query_id", "doc_id", F.col("rank").alias("bi_rank"), F.col("score").alias("bi_score"))
     if stage:
         found = staged(found, "candidates")
-    scored = (scorer or weighted_scorer())(candidate_features(found, topics, answers, clean_docs=True))
+    if pair_model is not None:
+        scored = model_scores(candidate_texts(found, topics, answers, clean_docs=True), pair_model)
+    else:
+        scored = (scorer or weighted_scorer())(candidate_features(found, topics, answers, clean_docs=True))
     ranked = rerank(scored, k)
     return ranked.select("query_id", "doc_id", "bi_rank", "bi_score", "ce_rank", "ce_score")
 

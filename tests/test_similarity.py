@@ -141,3 +141,19 @@ def test_two_stage_invariants(spark):
     runs = run_rows(spark.createDataFrame(found))
     assert runs.count() == 2 * len(found)
     assert {r[0] for r in runs.select("tag").distinct().collect()} == {"bi-encoder", "cross-encoder"}
+
+
+def test_two_stage_with_user_models(spark):
+    def make_encoder():
+        return lambda texts: np.array([[t.count("a") + 1, t.count("b")] for t in texts], dtype=np.float32)
+
+    def make_scorer():
+        return lambda texts: np.array([len(d) - len(q) for q, d in texts], dtype=np.float64)
+
+    docs = spark.createDataFrame([("x", "A!a"), ("y", "b"), ("z", "aa aab")], "doc_id string, text string")
+    topics = spark.createDataFrame([("q", "a")], "query_id string, query string")
+    found = two_stage(
+        topics, docs, encode=lambda df, text: encode_model(df, text, make_encoder), pair_model=make_scorer, k=2
+    )
+    rows = {r.doc_id: (r.bi_rank, r.ce_rank, r.ce_score) for r in found.collect()}
+    assert rows == {"x": (1, 2, 1.0), "z": (2, 1, 5.0)}
