@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions.vectors import cosine, elementwise_product
@@ -20,6 +20,7 @@ from rankweave.session import scratch_path
 
 EPOCHS = 10  # fixed value: passes of both fits
 MRR_CUTOFF = 10
+BI_CANDIDATES = (1e-6, 1e-2)
 CANDIDATES = ((0.0, EPOCHS), (0.01, EPOCHS), (0.1, EPOCHS))
 
 
@@ -29,16 +30,37 @@ def cosine_loss(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.avg(error * error).alias("mse"), F.count("*").alias("n_pairs"))
 
 
-def fit_bi_weights(pairs: DataFrame, max_iter: int = EPOCHS) -> list[float]:
+def weighted_product(pairs: DataFrame, weights: Sequence[float]) -> Column:
+    """sum(w * q * d) of a pair's vectors."""
+    factors = F.array(*[F.lit(float(w)) for w in weights])
+    terms = elementwise_product(elementwise_product(pairs["query_vec"], pairs["doc_vec"]), factors)
+    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def fit_bi_weights(
+    train: DataFrame, validation: DataFrame | None = None, candidates: Sequence[float] = BI_CANDIDATES
+) -> list[float]:
     """One weight per dimension, minimising the squared error of sum(w * q * d) against ``label``.
 
-    ``pairs`` holds unit vectors ``query_vec`` and ``doc_vec``. The result has ``dim`` numbers.
+    Both inputs hold unit vectors ``query_vec`` and ``doc_vec`` and a ``label``. Of the candidate
+    regularisations the one with the smallest validation error is kept (the first without validation).
+    The fit is one distributed pass per candidate; the result has ``dim`` numbers.
     """
-    training = pairs.select(
-        array_to_vector(elementwise_product(F.col("query_vec"), F.col("doc_vec"))).alias("features"), "label"
-    )
-    fitted = LinearRegression(fitIntercept=False, maxIter=max_iter, regParam=1e-6).fit(training)
-    return [float(w) for w in fitted.coefficients]
+    product = elementwise_product(F.col("query_vec"), F.col("doc_vec"))
+    training = train.select(array_to_vector(product).alias("features"), "label")
+    best: tuple[list[float], float] | None = None
+    for reg_param in candidates if validation is not None else candidates[:1]:
+        fitted = LinearRegression(fitIntercept=False, maxIter=EPOCHS, regParam=reg_param).fit(training)
+        weights = [float(w) for w in fitted.coefficients]
+        if validation is None:
+            return weights
+        error = weighted_product(validation, weights) - F.col("label")
+        reached = validation.agg(F.avg(error * error)).first()[0]
+        if best is None or reached < best[1]:
+            best = (weights, reached)
+    if best is None:
+        raise ValueError("no candidate to fit")
+    return best[0]
 
 
 def weigh_queries(queries: DataFrame, weights: Sequence[float]) -> DataFrame:

@@ -165,17 +165,17 @@ def metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = si.table(spark, sf_dir, "documents")
+    docs = si.documents(spark, sf_dir)
     return docs.select("doc_id", tx.clean_text(F.col("text")).alias("text"))
 
 
 def clean_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = si.table(spark, sf_dir, "pages")
+    pages = si.pages(spark, sf_dir)
     return pages.select("page_id", tx.clean_text(F.col("html")).alias("text"))
 
 
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = si.table(spark, sf_dir, "pages")
+    pages = si.pages(spark, sf_dir)
     return pages.select("page_id", tx.html_to_text(F.col("html")).alias("text"))
 
 
@@ -185,7 +185,7 @@ def strip_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_special(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = si.table(spark, sf_dir, "documents")
+    docs = si.documents(spark, sf_dir)
     return docs.select("doc_id", tx.strip_special(F.col("text")).alias("text"))
 
 
@@ -457,7 +457,11 @@ def val_mrr10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tuned_bi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = si.vector_judgments(spark, sf_dir).withColumn("label", F.col("relevance").cast("double"))
-    weights = fit.fit_bi_weights(judged)
+    splits = assign_splits(judged.select("query_id").distinct()).select("query_id", "split")
+    placed = staged(judged.join(splits, "query_id").select("query_vec", "doc_vec", "label", "split"), "judged")
+    weights = fit.fit_bi_weights(
+        placed.where(F.col("split") == "train"), placed.where(F.col("split") == "val")
+    )
     queries = fit.weigh_queries(si.vectors(spark, sf_dir, "query_id"), weights)
     found = cosine_topk(queries, si.vectors(spark, sf_dir, "doc_id"), normalize=False)
     return found.select("query_id", "doc_id", "rank", shown("score"))

@@ -32,6 +32,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def _turn_id(turn: Column) -> Column:
     return F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
 
@@ -78,8 +82,7 @@ def text_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_topics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return pages.select(
+    return pages(spark, sf_dir).select(
         F.col("page_id").cast("string").alias("Id"), F.col("url").alias("Title"), F.col("html").alias("Body")
     )
 

@@ -135,13 +135,21 @@ def scan_pairs(spark: SparkSession, paths: Paths, array: bool = False) -> DataFr
     return read_records(spark, paths, schemas.PAIRS, array)
 
 
-def read_run(spark: SparkSession, paths: Paths, depth: int | None = None) -> DataFrame:
+def read_run(
+    spark: SparkSession, paths: Paths, depth: int | None = None, whitespace: bool = False
+) -> DataFrame:
     """A run of six tab-separated columns, ranked by its scores.
 
     A (query, document) listed more than once keeps its highest score; the listed rank is only used to
-    order equal scores.
+    order equal scores. ``whitespace=True`` reads columns parted by any run of whitespace.
     """
-    raw = spark.read.schema(schemas.RUN).option("sep", "\t").option("quote", "").csv(_list(paths))
+    if whitespace:
+        fields = spark.read.text(_list(paths)).select(words(F.col("value")).alias("_f"))
+        raw = fields.select(
+            *[F.get("_f", i).cast(f.dataType).alias(f.name) for i, f in enumerate(schemas.RUN.fields)]
+        )
+    else:
+        raw = spark.read.schema(schemas.RUN).option("sep", "\t").option("quote", "").csv(_list(paths))
     best = raw.groupBy("query_id", "doc_id").agg(
         F.max("score").alias("score"), F.min("rank").alias("rank"), F.min("tag").alias("tag")
     )

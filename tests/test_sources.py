@@ -63,6 +63,12 @@ def test_run_file_round_trip(spark, tmp_path):
     assert {(r.doc_id, r["rank"]) for r in back.collect()} == {(d, n) for _, d, n, _, _ in rows}
 
 
+def test_whitespace_run(spark, tmp_path):
+    path = _file(tmp_path, "run", "q Q0  a 9 0.5 t\nq\tQ0\tb 3   0.5 t\nq Q0 c 1 0.75 t\nq Q0 a 9 0.1 t\n")
+    back = readers.read_run(spark, path, whitespace=True).orderBy("rank")
+    assert [(r.doc_id, r["rank"], r.score) for r in back.collect()] == [("c", 1, 0.75), ("b", 2, 0.5), ("a", 3, 0.5)]
+
+
 def _pairs(spark, rows):
     return spark.createDataFrame(rows, "query string, query_id string, doc string, doc_id string, score int")
 
@@ -142,5 +148,7 @@ def test_bi_weights_recover_a_planted_weighting(spark):
     for _ in range(400):
         q, d = rng.normal(size=4), rng.normal(size=4)
         rows.append((q.tolist(), d.tolist(), float((planted * q * d).sum())))
-    weights = fit.fit_bi_weights(spark.createDataFrame(rows, "query_vec array<double>, doc_vec array<double>, label double"))
-    assert np.allclose(weights, planted, atol=1e-3)
+    pairs_df = spark.createDataFrame(rows, "query_vec array<double>, doc_vec array<double>, label double")
+    assert np.allclose(fit.fit_bi_weights(pairs_df), planted, atol=1e-3)
+    chosen = fit.fit_bi_weights(pairs_df, pairs_df, candidates=(5.0, 1e-6))
+    assert np.allclose(chosen, planted, atol=1e-3)
