@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import packing, pii, quality, sharding, urls
+from rankweave.llm import lines, packing, pii, pipeline, quality, sharding, simhash, urls, vectors
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -26,12 +26,24 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("piece", F.col("piece").cast("int"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(_table(spark, sf_dir, "documents"))
     grown = F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown, "n_tokens")
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_ids(_table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(_table(spark, sf_dir, "documents"))
 
@@ -76,12 +88,58 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+OP4_SQL = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no
+  FROM documents
+), worded AS (
+  SELECT doc_id, no, md5(line) AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM split
+), numbered AS (
+  SELECT doc_id, no, h, w, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS pos,
+         coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c
+  FROM worded WHERE w > 0
+), grams AS (
+  SELECT doc_id, pos, c,
+         CASE WHEN sum(w) OVER g >= 20 THEN {'gram': md5(array_to_string(list(h) OVER g, '')), 'back': -pos} END AS hashed
+  FROM numbered WINDOW g AS (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), picked AS (
+  SELECT doc_id, min(hashed) OVER (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 30 FOLLOWING) AS p FROM grams
+), prints AS (
+  SELECT DISTINCT doc_id, p.gram AS gram, -p.back AS pos FROM picked WHERE p IS NOT NULL
+), homes AS (
+  SELECT gram, min({'doc_id': doc_id, 'pos': pos}) AS home FROM prints GROUP BY gram HAVING count(*) > 1
+), diagonals AS (
+  SELECT DISTINCT p.doc_id, h.home.doc_id AS home_id, p.pos - h.home.pos AS shift
+  FROM prints p JOIN homes h USING (gram) WHERE p.doc_id <> h.home.doc_id OR p.pos <> h.home.pos
+), equal AS (
+  SELECT d.doc_id, d.home_id, d.shift, a.no, a.w,
+         a.pos - row_number() OVER (PARTITION BY d.doc_id, d.home_id, d.shift ORDER BY a.pos) AS island
+  FROM diagonals d
+  JOIN numbered a ON a.doc_id = d.doc_id
+  JOIN numbered b ON b.doc_id = d.home_id AND b.pos = a.pos - d.shift AND b.h = a.h
+), runs AS (
+  SELECT doc_id, min(no) AS first, max(no) AS last FROM equal GROUP BY doc_id, home_id, shift, island HAVING sum(w) >= 50
+), kept AS (
+  SELECT s.doc_id, s.no, s.line FROM split s
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = s.doc_id AND s.no BETWEEN r.first AND r.last)
+), joined AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS text, count(*) AS n FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(j.text, '') END AS text,
+       coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(j.n, 0) AS deleted_lines
+FROM documents d LEFT JOIN joined j USING (doc_id)
+"""
+
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_lines": op4_lines,
     "op5_sharding": op5_sharding,
+    "op6_vectors": op6_vectors,
+    "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_quality": op10_quality,
+    "pipeline": pipeline.run,
 }
 
-ORACLE_SQL = {"op9_urls": OP9_SQL}
+ORACLE_SQL = {"op4_lines": OP4_SQL, "op9_urls": OP9_SQL}
