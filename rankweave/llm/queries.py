@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import lines, packing, pii, pipeline, quality, sharding, simhash, urls, vectors
+from rankweave.llm import byte_bpe, lines, packing, pii, pipeline, quality, sharding, simhash, urls, vectors
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -20,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode_documents(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     packed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -131,6 +136,7 @@ FROM documents d LEFT JOIN joined j USING (doc_id)
 """
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
     "op4_lines": op4_lines,
     "op5_sharding": op5_sharding,
