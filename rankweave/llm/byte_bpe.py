@@ -12,17 +12,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from rankweave.llm.blocks import pack_ints, ragged, split_texts, unpack_ints, word_list
 from rankweave.session import staged
 
-#: Bytes of text that share a table of local word numbers. A longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
 #: White space as the pre-token pattern means it; Python counts four control characters more.
 DOUBLE_SPACE = re.compile(r"\s (?:\s|\Z)")
 
@@ -51,18 +47,7 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"[^\s", f"[^{space}").replace(r"\s", f"[{space}]"))
 
 
-def pack_ints(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit integers, byte planes apart, compressed."""
-    planes = np.ascontiguousarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(planes.tobytes(), 3)
-
-
-def unpack_ints(body: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(body), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-
-
-class Block:
+class TokenBlock:
     """Numbers the pre-tokens of some texts in order of appearance."""
 
     def __init__(self, pattern: str):
@@ -74,7 +59,10 @@ class Block:
         numbers = self.numbers
         return np.array([numbers.setdefault(t, len(numbers)) for t in tokens], dtype="<u4").tobytes()
 
-    def positions(self, text: str) -> bytes:
+    def weights(self) -> None:
+        return None
+
+    def add(self, doc_id: object, text: str) -> bytes:
         """The pre-token at each position of the text, as numbers.
 
         A space before a word starts a pre-token, so texts are cut there and what recurs between two
@@ -94,89 +82,6 @@ class Block:
         return b"".join(parts)
 
 
-def _split_texts(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """Rows of two kinds for each block: documents as positions, and words by bucket.
-
-    A document row holds ids, numbers of pre-tokens, and the positions of several documents. A word row
-    holds the block's words of one hash bucket with their numbers in the block.
-    """
-    id_type = docs.schema.fields[0].dataType
-    schema = "block string, bucket int, doc_ids array<{}>, counts array<int>, numbers binary, body binary".format(id_type.simpleString())
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, serial = TaskContext.get().partitionId(), 0
-        block, held, size = Block(pattern), 0, 0
-        ids, counts, parts = [], [], []
-        arrow_ids = None
-
-        def rows(name: str, rows: list[tuple]) -> pa.RecordBatch:
-            bucket, doc_ids, per_doc, numbers, body = zip(*rows)
-            return pa.record_batch(
-                [
-                    pa.array([name] * len(rows)),
-                    pa.array(bucket, pa.int32()),
-                    pa.array(doc_ids, pa.list_(arrow_ids)),
-                    pa.array(per_doc, pa.list_(pa.int32())),
-                    pa.array(numbers, pa.binary()),
-                    pa.array(body, pa.binary()),
-                ],
-                names=["block", "bucket", "doc_ids", "counts", "numbers", "body"],
-            )
-
-        def documents() -> pa.RecordBatch:
-            packed = pack_ints(np.frombuffer(b"".join(parts), dtype="<u4"))
-            return rows(f"{partition}-{serial}", [(None, ids, counts, None, packed)])
-
-        def words() -> pa.RecordBatch:
-            dealt: list[list[tuple[bytes, int]]] = [[] for _ in range(buckets)]
-            for word, number in block.numbers.items():
-                value = word.encode("utf-8", "surrogatepass")
-                dealt[hash_bytes(value) % buckets].append((value, number))
-            out = []
-            for bucket, found in enumerate(dealt):
-                if found:
-                    found.sort()
-                    lengths = pack_ints(np.array([len(w) for w, _ in found]))
-                    body = len(lengths).to_bytes(4, "little") + lengths + zstandard.compress(b"".join(w for w, _ in found), 3)
-                    out.append((bucket, None, None, pack_ints(np.array([n for _, n in found])), body))
-            return rows(f"{partition}-{serial}", out)
-
-        for batch in batches:
-            arrow_ids = batch.column(0).type
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = value.as_py() or ""
-                found = block.positions(text)
-                ids.append(doc_id)
-                counts.append(len(found) // 4)
-                parts.append(found)
-                held += len(found)
-                size += len(text)
-                if held > 4 << 20 or size > BLOCK_BYTES:
-                    yield documents()
-                    ids, counts, parts, held = [], [], [], 0
-                if size > BLOCK_BYTES:
-                    if block.numbers:
-                        yield words()
-                    serial, block, size = serial + 1, Block(pattern), 0
-        if ids:
-            yield documents()
-        if block.numbers:
-            yield words()
-
-    return docs.mapInArrow(split, schema)
-
-
-def hash_bytes(value: bytes) -> int:
-    return xxhash.xxh32_intdigest(value)
-
-
-def _word_list(body: bytes) -> list[bytes]:
-    size = int.from_bytes(body[:4], "little")
-    ends = np.cumsum(unpack_ints(body[4 : 4 + size]))
-    joined = zstandard.decompress(body[4 + size :])
-    return [joined[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-
-
 def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """(block, numbers, lengths, ids) for rows of words, which come sorted by bucket.
 
@@ -194,7 +99,7 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
                 if bucket != current or len(known) > 2_000_000:
                     known, current = {}, bucket
                 found = []
-                for word in _word_list(body.as_py()):
+                for word in word_list(body.as_py()):
                     value = known.get(word)
                     if value is None:
                         value = known[word] = np.array(piece(word), dtype="<u4").tobytes()
@@ -206,12 +111,6 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return words.select("block", "bucket", "numbers", "body").mapInArrow(encode, schema)
 
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of each range, one range after the other."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def _block_ids(words: pa.Table, documents: pa.Table) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Document ids with their token ids, put together by position, for each row of documents."""
     numbers, lengths, ids = (
@@ -221,7 +120,7 @@ def _block_ids(words: pa.Table, documents: pa.Table) -> Iterator[tuple[list, lis
     starts[numbers], sizes[numbers] = np.cumsum(lengths) - lengths, lengths
     for doc_ids, counts, body in zip(documents["doc_ids"], documents["counts"], documents["body"]):
         at = unpack_ints(body.as_py())
-        tokens = ids[_ragged(starts[at], sizes[at])]
+        tokens = ids[ragged(starts[at], sizes[at])]
         per_doc = np.cumsum(counts.values.to_numpy())
         ends = np.concatenate([[0], np.cumsum(sizes[at])])[per_doc]
         yield doc_ids.values, np.split(tokens, ends[:-1])
@@ -240,7 +139,7 @@ def encode_documents(
     text. A null or empty text has no ids. Rows that repeat an id are documents of their own; other
     columns are not read.
 
-    Pre-tokens with their positions are held by block of about ``BLOCK_BYTES``: one list of its different words,
+    Pre-tokens with their positions are held by block of about ``blocks.BLOCK_CHARS``: one list of its different words,
     and for each document their numbers in order. The words go to hash buckets, where each is encoded
     once for all blocks, and their ids back to the blocks, which put documents together by position. A
     very frequent word is one entry per block, so it costs a bucket no more rows than there are blocks.
@@ -248,7 +147,7 @@ def encode_documents(
     spark = docs.sparkSession
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = staged(_split_texts(picked, pattern, buckets), "bpe-blocks")
+    blocks = staged(split_texts(picked, lambda: TokenBlock(pattern), buckets), "bpe-blocks")
     words = blocks.where("bucket is not null").repartition("bucket").sortWithinPartitions("bucket")
     encoded = _encode_words(words, vocabulary, pattern)
     documents = blocks.where("bucket is null").select("block", "doc_ids", "counts", "body")
