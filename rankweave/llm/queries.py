@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import byte_bpe, lines, packing, pii, pipeline, quality, sharding, simhash, urls, vectors
+from rankweave.llm import byte_bpe, lines, lm, packing, pii, pipeline, quality, sharding, simhash, urls, vectors
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -31,6 +31,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("piece", F.col("piece").cast("int"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
 
@@ -138,6 +142,7 @@ FROM documents d LEFT JOIN joined j USING (doc_id)
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
+    "op3_lm": op3_lm,
     "op4_lines": op4_lines,
     "op5_sharding": op5_sharding,
     "op6_vectors": op6_vectors,
