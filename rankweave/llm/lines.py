@@ -64,7 +64,8 @@ def repeated_runs(sequences: DataFrame, gram_words: int = GRAM_WORDS, run_words:
     Each occurrence of a fingerprint is laid against its first occurrence alone, so a fingerprint found
     in very many documents gives one row for each of them. Along that diagonal both documents are
     compared line by line, and runs of equal lines with ``run_words`` words or more are deleted from the
-    later one. Every deleted line has an equal line at an earlier place, so the first one stays.
+    later one. Every deleted line has an equal line at an earlier place, so the first one stays. Joins with
+    lines or texts are sort-merge joins at every size: neither side of them has a bound.
     """
     prints = staged(line_fingerprints(sequences, gram_words, run_words), "line-fingerprints")
     first = prints.groupBy("gram").agg(F.min(F.struct("place", "at", "key")).alias("home"), F.count(F.lit(1)).alias("n"))
@@ -73,7 +74,7 @@ def repeated_runs(sequences: DataFrame, gram_words: int = GRAM_WORDS, run_words:
     diagonals = staged(later.select("key", "home_key", (F.col("at") - F.col("home_at")).alias("shift")).distinct(), "line-diagonals")
     own = sequences.select("key", "lines")
     home = sequences.select(F.col("key").alias("home_key"), F.col("lines.h").alias("home_h"))
-    sides = diagonals.join(own, "key").join(home, "home_key")
+    sides = diagonals.join(own.hint("merge"), "key").join(home.hint("merge"), "home_key")
     met = F.transform(
         "lines",
         lambda x, i: F.struct(i.alias("at"), x["no"].alias("no"), x["w"].alias("w"), (F.get("home_h", i - F.col("shift")) == x["h"]).alias("equal")),
@@ -104,7 +105,7 @@ def dedup_lines(
     runs = staged(repeated_runs(sequences, gram_words, run_words), "line-runs").select(F.col("key").alias("_run_key"), F.col("runs").alias("_runs"))
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda _, i: ~F.exists("_runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    keyed = docs.withColumn("_line_key", row_key(doc_id, text)).join(runs, F.col("_line_key") == F.col("_run_key"), "left")
+    keyed = docs.withColumn("_line_key", row_key(doc_id, text)).join(runs.hint("merge"), F.col("_line_key") == F.col("_run_key"), "left")
     cut = F.col("_runs").isNotNull()
     keyed = keyed.withColumn("_kept", F.when(cut, kept))
     deleted = F.when(cut, F.size(lines) - F.size("_kept")).otherwise(0).cast("long")
