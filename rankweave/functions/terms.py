@@ -16,11 +16,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TERM_BUCKETS = 1 << 18
-
 TERM_VECTOR = T.StructType(
     [
-        T.StructField("terms", T.ArrayType(T.IntegerType())),
+        T.StructField("terms", T.ArrayType(T.LongType())),
         T.StructField("tf", T.ArrayType(T.DoubleType())),
     ]
 )
@@ -63,17 +61,19 @@ def _lists(rows: int, row: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)), pa.int32()), values)
 
 
-def term_vector(text: Column, buckets: int = TERM_BUCKETS) -> Column:
-    """struct(terms, tf): the buckets of the words, ascending, and how many words fell into each.
+def term_vector(text: Column, buckets: int | None = None) -> Column:
+    """struct(terms, tf): the terms of the words, ascending, and how many words each stands for.
 
-    The bucket of a word is the first 32 bits of its md5 modulo the bucket count.
+    The term of a word is the first 60 bits of its md5, so that a vocabulary of any size keeps its words
+    apart; with ``buckets``, for dense vectors, it is that number modulo the bucket count.
     """
 
     def encode(texts: pa.Array) -> pa.Array:
-        row, code, hashes = _coded_words(texts, 8)
-        bucket_of = (hashes % buckets).astype(np.int64)
-        row, bucket, count = _distinct(row, bucket_of[code], buckets)
-        terms = _lists(len(texts), row, pa.array(bucket, pa.int32()))
+        row, code, hashes = _coded_words(texts, 15)
+        term_of = (hashes % buckets if buckets else hashes).astype(np.int64)
+        known, place = np.unique(term_of, return_inverse=True)
+        row, term, count = _distinct(row, place[code], max(1, len(known)))
+        terms = _lists(len(texts), row, pa.array(known[term], pa.int64()))
         tf = _lists(len(texts), row, pa.array(count.astype(np.float64)))
         return pa.StructArray.from_arrays([terms, tf], names=["terms", "tf"])
 

@@ -40,7 +40,7 @@ def _without_tags(text: Column) -> Column:
 
 
 def _as_text(text: Column, is_markup: Column) -> Column:
-    # Only markup rows are sent to the Python worker; the rest stay in the JVM.
+    # The Python worker sees NULL in place of all other texts.
     return F.when(is_markup, _decode_entities(F.when(is_markup, _without_tags(text)))).otherwise(text)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -38,6 +40,40 @@ def cosine(a: Column, b: Column) -> Column:
     return F.arrow_udf(cosines, T.DoubleType())(a, b)
 
 
+def weighted_dot(a: Column, b: Column, weights: Sequence[float]) -> Column:
+    """sum(w * a * b) over the entries of two non-null vectors as long as ``weights``."""
+    factors = np.array(weights, dtype=np.float64)
+
+    def dots(left: pa.Array, right: pa.Array) -> pa.Array:
+        rows = [v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(v), -1) for v in (left, right)]
+        return pa.array((rows[0] * rows[1]) @ factors if len(left) else np.zeros(0))
+
+    return F.arrow_udf(dots, T.DoubleType())(a, b)
+
+
+def term_cosine(a: Column, b: Column) -> Column:
+    """Cosine of two structs of ``terms`` (ascending, distinct) and ``tf``, 0 where either has none."""
+
+    def cosines(left: pa.Array, right: pa.Array) -> pa.Array:
+        rows, terms, tf = [], [], []
+        for side in (left, right):
+            ids, counts = side.field("terms"), side.field("tf")
+            lengths = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            rows.append(np.repeat(np.arange(len(side)), lengths))
+            terms.append(ids.flatten().to_numpy(zero_copy_only=False))
+            tf.append(counts.flatten().to_numpy(zero_copy_only=False))
+        norms = [np.sqrt(np.bincount(r, weights=t * t, minlength=len(left))) for r, t in zip(rows, tf)]
+        row, term, count = (np.concatenate(x) for x in (rows, terms, tf))
+        order = np.lexsort((term, row))
+        row, term, count = row[order], term[order], count[order]
+        shared = np.flatnonzero((row[1:] == row[:-1]) & (term[1:] == term[:-1]))
+        dots = np.bincount(row[shared], weights=count[shared] * count[shared + 1], minlength=len(left))
+        scale = norms[0] * norms[1]
+        return pa.array(np.divide(dots, scale, out=np.zeros(len(left)), where=scale > 0))
+
+    return F.arrow_udf(cosines, T.DoubleType())(a, b)
+
+
 def elementwise_product(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
 

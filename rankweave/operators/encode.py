@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankweave.functions.terms import TERM_BUCKETS, term_vector
+from rankweave.functions.terms import term_vector
 from rankweave.functions.vectors import dense_from_terms, l2_norm, normalize
+from rankweave.session import staged
 
 ENCODE_BATCH = 32  # fixed value: texts per model call
 
@@ -19,7 +20,7 @@ CACHE = T.StructType(
     [
         T.StructField("doc_id", T.StringType()),
         T.StructField("text_hash", T.StringType()),
-        T.StructField("terms", T.ArrayType(T.IntegerType())),
+        T.StructField("terms", T.ArrayType(T.LongType())),
         T.StructField("tf", T.ArrayType(T.DoubleType())),
         T.StructField("model_id", T.StringType()),
     ]
@@ -28,7 +29,7 @@ CACHE = T.StructType(
 Encoder = Callable[[list[str]], np.ndarray]
 
 
-def encode_terms(df: DataFrame, text: str, buckets: int = TERM_BUCKETS) -> DataFrame:
+def encode_terms(df: DataFrame, text: str, buckets: int | None = None) -> DataFrame:
     """Sparse hashed term vectors (``terms``, ``tf``) in place of ``text``."""
     others = [c for c in df.columns if c != text]
     encoded = df.select(*others, term_vector(F.col(text), buckets).alias("_vector"))
@@ -38,7 +39,7 @@ def encode_terms(df: DataFrame, text: str, buckets: int = TERM_BUCKETS) -> DataF
 def encode_dense_terms(df: DataFrame, text: str, dim: int) -> DataFrame:
     """Unit-length dense hashed term vectors (``embedding``) in place of ``text``."""
     sparse = encode_terms(df, text, dim)
-    dense = sparse.withColumn("embedding", dense_from_terms(F.col("terms"), F.col("tf"), dim))
+    dense = sparse.withColumn("embedding", dense_from_terms(F.col("terms").cast("array<int>"), F.col("tf"), dim))
     scaled = normalize(F.col("embedding"), l2_norm(F.col("tf")))
     return dense.withColumn("embedding", scaled).drop("terms", "tf")
 
@@ -66,37 +67,6 @@ def encode_model(
     return df.mapInPandas(encode, schema)
 
 
-def onnx_encoder(
-    model_path: str, tokenizer_path: str, max_tokens: int = 128
-) -> Callable[[], Encoder]:
-    """A ``make_encoder`` for an exported sentence model: mean of the token vectors under the mask."""
-
-    def make() -> Encoder:
-        import onnxruntime
-        from tokenizers import Tokenizer
-
-        session = onnxruntime.InferenceSession(model_path)
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.enable_padding()
-        tokenizer.enable_truncation(max_tokens)
-        wanted = {i.name for i in session.get_inputs()}
-
-        def encode(texts: list[str]) -> np.ndarray:
-            encoded = tokenizer.encode_batch(texts)
-            fields = {
-                "input_ids": np.array([e.ids for e in encoded], dtype=np.int64),
-                "attention_mask": np.array([e.attention_mask for e in encoded], dtype=np.int64),
-                "token_type_ids": np.array([e.type_ids for e in encoded], dtype=np.int64),
-            }
-            tokens = session.run(None, {n: v for n, v in fields.items() if n in wanted})[0]
-            mask = fields["attention_mask"][..., None]
-            return (tokens * mask).sum(axis=1) / np.maximum(mask.sum(axis=1), 1)
-
-        return encode
-
-    return make
-
-
 def with_text_hash(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text_hash", F.md5("text"))
 
@@ -120,13 +90,26 @@ def append_cache(docs: DataFrame, path: str, model_id: str) -> None:
     encoded.select(*CACHE.names).write.mode("append").partitionBy("model_id").parquet(path)
 
 
-def cached_vectors(docs: DataFrame, path: str, model_id: str, known: DataFrame | None) -> DataFrame:
-    """(doc_id, terms, tf) of all ``docs``: only what ``known`` lacks is encoded and appended."""
-    missing = not_cached(docs, known) if known is not None else docs
+def cached_vectors(docs: DataFrame, path: str, model_id: str) -> DataFrame:
+    """(doc_id, terms, tf) of all ``docs``: only what the table at ``path`` lacks is encoded and appended.
+
+    ``docs`` has unique ids. The table is read here, at the time of the call, and may not exist yet.
+    """
+    spark = docs.sparkSession
+    current = staged(with_text_hash(docs), "hashed-texts")
+    missing = current
+    if _exists(spark, path):
+        known = read_cache(spark, path, model_id).select("doc_id", "text_hash")
+        missing = current.join(known, ["doc_id", "text_hash"], "left_anti")
     append_cache(missing.select("doc_id", "text"), path, model_id)
-    current = with_text_hash(docs).select("doc_id", "text_hash")
-    stored = read_cache(docs.sparkSession, path, model_id)
-    return stored.join(current, ["doc_id", "text_hash"], "left_semi").select("doc_id", "terms", "tf")
+    stored = read_cache(spark, path, model_id).join(current.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi")
+    # Two writers at a time may both have added a document; one row for each key is kept.
+    return stored.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "terms", "tf")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def explode_terms(vectors: DataFrame, keys: Sequence[str]) -> DataFrame:

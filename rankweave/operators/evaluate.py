@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.operators.ranking import PLAIN_GROUP_ROWS, RANK_CHUNK, exact_rank
+from rankweave.operators.ranking import exact_rank
 
 # The grades that count, the metric names and cutoffs.
 GRADES = (1, 2)
@@ -45,12 +45,11 @@ def _ideal(judged: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _hits_so_far(hits: DataFrame, keys: list[str], depth: int | None) -> DataFrame:
-    if depth is not None and depth <= PLAIN_GROUP_ROWS:
+    if depth is not None:
         return hits.withColumn(
             "hit_no", F.row_number().over(Window.partitionBy(*keys).orderBy("rank"))
         )
-    chunk = F.floor((F.col("rank") - 1) / RANK_CHUNK)
-    return exact_rank(hits, [F.col("rank")], chunk, keys, "hit_no")
+    return exact_rank(hits, [F.col("rank")], keys, "hit_no")
 
 
 def evaluate(
@@ -115,19 +114,20 @@ def named_metrics(means: DataFrame) -> DataFrame:
 def ski_jump(per_query: DataFrame, jitter_seed: int | None = None) -> DataFrame:
     """(query_id, p5, pos, n): queries in ascending order of P@5, positions from 0.
 
-    Equal values are ordered by md5 of the id, whose prefix also cuts them into rank buckets. With
-    ``jitter_seed`` a column ``p5_jittered`` spreads the points by up to 0.01 either way.
+    Equal values are ordered by md5 of the id. With ``jitter_seed`` a column ``p5_jittered`` spreads the
+    points by up to 0.01 either way, by a hash of seed and id, so that a repeated run draws them alike.
     """
     keyed = per_query.select("query_id", "p5").withColumn("_key", F.md5("query_id"))
     ranked = exact_rank(
         keyed,
         [F.col("p5"), F.col("_key"), F.col("query_id")],
-        F.struct("p5", F.substring("_key", 1, 2).alias("prefix")),
         total="n",
     )
     series = ranked.select("query_id", "p5", (F.col("pos") - 1).alias("pos"), "n")
     if jitter_seed is not None:
-        series = series.withColumn("p5_jittered", F.col("p5") + F.rand(jitter_seed) * 0.02 - 0.01)
+        drawn = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(jitter_seed)), "query_id")), 1, 8), 16, 10)
+        share = drawn.cast("double") / F.lit(float(0xFFFFFFFF))
+        series = series.withColumn("p5_jittered", F.col("p5") + share * 0.02 - 0.01)
     return series
 
 

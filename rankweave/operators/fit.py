@@ -12,15 +12,17 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.functions.vectors import cosine, elementwise_product
+from rankweave.functions.vectors import cosine, elementwise_product, weighted_dot
+from rankweave.operators.encode import encode_dense_terms
 from rankweave.operators.pairs import ranked_choices, require_choices
 from rankweave.operators.ranking import top_k
 from rankweave.operators.rerank import FEATURES, fitted_scorer
-from rankweave.session import scratch_path
+from rankweave.session import scratch_path, staged
 
 EPOCHS = 10  # fixed value: passes of both fits
 MRR_CUTOFF = 10
 BI_CANDIDATES = (1e-6, 1e-2)
+TEXT_DIM = 128
 CANDIDATES = ((0.0, EPOCHS), (0.01, EPOCHS), (0.1, EPOCHS))
 
 
@@ -30,13 +32,6 @@ def cosine_loss(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.avg(error * error).alias("mse"), F.count("*").alias("n_pairs"))
 
 
-def weighted_product(pairs: DataFrame, weights: Sequence[float]) -> Column:
-    """sum(w * q * d) of a pair's vectors."""
-    factors = F.array(*[F.lit(float(w)) for w in weights])
-    terms = elementwise_product(elementwise_product(pairs["query_vec"], pairs["doc_vec"]), factors)
-    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def fit_bi_weights(
     train: DataFrame, validation: DataFrame | None = None, candidates: Sequence[float] = BI_CANDIDATES
 ) -> list[float]:
@@ -50,11 +45,13 @@ def fit_bi_weights(
     training = train.select(array_to_vector(product).alias("features"), "label")
     best: tuple[list[float], float] | None = None
     for reg_param in candidates if validation is not None else candidates[:1]:
-        fitted = LinearRegression(fitIntercept=False, maxIter=EPOCHS, regParam=reg_param).fit(training)
+        fitted = LinearRegression(
+            fitIntercept=False, maxIter=EPOCHS, regParam=reg_param, standardization=False
+        ).fit(training)
         weights = [float(w) for w in fitted.coefficients]
         if validation is None:
             return weights
-        error = weighted_product(validation, weights) - F.col("label")
+        error = weighted_dot(F.col("query_vec"), F.col("doc_vec"), weights) - F.col("label")
         reached = validation.agg(F.avg(error * error)).first()[0]
         if best is None or reached < best[1]:
             best = (weights, reached)
@@ -63,6 +60,28 @@ def fit_bi_weights(
     return best[0]
 
 
+def fit_text_weights(
+    train: DataFrame, validation: DataFrame | None = None, dim: int = TEXT_DIM, candidates: Sequence[float] = BI_CANDIDATES
+) -> list[float]:
+    """``fit_bi_weights`` from labelled texts: pairs (query, doc, label), encoded to ``dim`` entries."""
+
+    def encoded(pairs: DataFrame | None) -> DataFrame | None:
+        if pairs is None:
+            return None
+        with_query = encode_dense_terms(pairs.select("query", "doc", "label"), "query", dim).withColumnRenamed("embedding", "query_vec")
+        return staged(encode_dense_terms(with_query, "doc", dim).withColumnRenamed("embedding", "doc_vec"), "fit-vectors")
+
+    return fit_bi_weights(encoded(train), encoded(validation), candidates)
+
+
+def bi_gradient(pairs: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """(dim, gradient) of the mean squared error of sum(w * q * d) at ``weights``; zero at the least squares."""
+    error = weighted_dot(F.col("query_vec"), F.col("doc_vec"), weights) - F.col("label")
+    product = elementwise_product(F.col("query_vec"), F.col("doc_vec"))
+    slopes = pairs.select((2 * error).alias("_e"), F.posexplode(product).alias("dim", "_x"))
+    return slopes.groupBy("dim").agg(F.avg(F.col("_e") * F.col("_x")).alias("gradient"))
+
+
 def weigh_queries(queries: DataFrame, weights: Sequence[float]) -> DataFrame:
     """Fold fitted weights into the query vectors, so the stored document vectors stay as they are.
 
@@ -97,20 +116,22 @@ def fit_pair_scorer(
     positives = train.withColumn("label", (F.col("score") > 0).cast("double")).persist()
     choices = require_choices(ranked_choices(validation)).persist()
     best: tuple[PipelineModel, float] | None = None
-    for reg_param, max_iter in candidates:
-        model = Pipeline(
-            stages=[
-                VectorAssembler(inputCols=list(FEATURES), outputCol="_raw"),
-                StandardScaler(inputCol="_raw", outputCol="features", withMean=True),
-                LogisticRegression(regParam=reg_param, maxIter=max_iter),
-            ]
-        ).fit(positives)
-        model = reloaded(model, train.sparkSession)
-        reached = ranking_score(fitted_scorer(model)(choices)).first()["mrr10"]
-        if best is None or reached > best[1]:
-            best = (model, reached)
-    positives.unpersist()
-    choices.unpersist()
+    try:
+        for reg_param, max_iter in candidates:
+            model = Pipeline(
+                stages=[
+                    VectorAssembler(inputCols=list(FEATURES), outputCol="_raw"),
+                    StandardScaler(inputCol="_raw", outputCol="features", withMean=True),
+                    LogisticRegression(regParam=reg_param, maxIter=max_iter),
+                ]
+            ).fit(positives)
+            model = reloaded(model, train.sparkSession)
+            reached = ranking_score(fitted_scorer(model)(choices)).first()["mrr10"]
+            if best is None or reached > best[1]:
+                best = (model, reached)
+    finally:
+        positives.unpersist()
+        choices.unpersist()
     if best is None:
         raise ValueError("no candidate to fit")
     return best

@@ -14,12 +14,16 @@ HOT_ROWS = 200_000
 
 
 def hot_keys(many: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(key, _salts) of the keys with more than ``hot_rows`` rows.
+    """(key, _salts) of the keys with more than ``hot_rows`` rows and a quarter of a partition's share.
 
-    There are at most rows / hot_rows of them, which is what makes the table fit for broadcasting.
+    So there are at most four for each shuffle partition, whatever the number of rows, which makes the
+    table fit for broadcasting; a key below that share cannot overload a task.
     """
-    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    return F.broadcast(counts.select(key, F.ceil(F.col("_n") / hot_rows).alias("_salts")))
+    partitions = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.select(F.sum("_n") / (4 * partitions)).scalar()
+    limit = F.greatest(F.lit(float(hot_rows)), share)
+    return F.broadcast(counts.where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).alias("_salts")))
 
 
 def with_salt(many: DataFrame, hot: DataFrame, key: str, spread_by: str) -> DataFrame:
@@ -36,9 +40,18 @@ def with_copies(one: DataFrame, hot: DataFrame, key: str) -> DataFrame:
 
 
 def salted_join(
-    many: DataFrame, one: DataFrame, key: str, spread_by: str, how: str = "inner", hot_rows: int = HOT_ROWS
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    spread_by: str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``many.join(one, key, how)`` for unique keys in ``one``; ``how`` is inner, left or left_semi."""
-    hot = hot_keys(many.select(key), key, hot_rows)
+    """``many.join(one, key, how)`` for unique keys in ``one``; ``how`` is inner, left or left_semi.
+
+    ``many`` is read for its hot keys first, unless ``hot`` names them: stage it where it is costly.
+    """
+    hot = hot_keys(many.select(key), key, hot_rows) if hot is None else hot
     salted = with_salt(many, hot, key, spread_by)
     return salted.join(with_copies(one, hot, key), [key, "_salt"], how).drop("_salt")

@@ -17,8 +17,6 @@ from rankweave.operators.joins import salted_join
 from rankweave.operators.ranking import exact_rank
 from rankweave.operators.split import THREE_WAY, TWO_WAY, assign_splits
 
-GROUP_DOCS = 1024
-
 
 def compose_topics(raw_topics: DataFrame, markers: bool = True) -> DataFrame:
     """(query_id, query) from raw topics: title and body text in one query."""
@@ -34,7 +32,7 @@ def default_topic_ids(raw_topics: DataFrame, row_key: Column, seed: int = 42) ->
     """
     keyed = raw_topics.withColumn("_row", row_key.cast("string"))
     hashed = keyed.select("_row", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_row"))).alias("_key"))
-    placed = exact_rank(hashed, [F.col("_key"), F.col("_row")], F.substring("_key", 1, 3))
+    placed = exact_rank(hashed, [F.col("_key"), F.col("_row")])
     default = F.concat(F.lit("topic_"), (F.col("pos") - 1).cast("string"))
     return (
         keyed.join(placed.select("_row", "pos"), "_row")
@@ -126,7 +124,8 @@ def graded_labels(pairs: DataFrame, scale_labels: bool = False) -> DataFrame:
     """``label`` as the grade; ``scale_labels`` divides by the highest grade, to fit a cosine's range."""
     label = F.col("score").cast("double")
     if scale_labels:
-        label = label / pairs.select(F.max("score").cast("double")).scalar()
+        top = pairs.select(F.max("score").cast("double")).scalar()
+        label = F.when(top > 0, label / top).otherwise(F.lit(0.0))
     return pairs.withColumn("label", label)
 
 
@@ -152,20 +151,18 @@ def training_samples(
 
 
 def ranked_choices(pairs: DataFrame) -> DataFrame:
-    """Pairs of the queries that have a positive (score >= 1) and a negative (score = 0), flagged.
+    """Pairs of the queries that have a positive (score >= 1) and a negative (score = 0).
 
-    Negative scores belong to neither side and are left out.
+    One row per document, flagged ``positive``, with the query's ``n_positive`` and ``n_negative``; a
+    query of any size stays one group, since nothing is collected into arrays. Negative scores belong to
+    neither side and are left out.
     """
-    return _counted_choices(pairs).drop("_choices")
-
-
-def _counted_choices(pairs: DataFrame) -> DataFrame:
     flagged = pairs.where(F.col("score") >= 0).withColumn("positive", F.col("score") >= 1)
     counts = flagged.groupBy("query_id").agg(
-        F.count_if("positive").alias("_positive"), F.count("*").alias("_choices")
+        F.count_if("positive").alias("n_positive"), F.count_if(~F.col("positive")).alias("n_negative")
     )
-    both = counts.where((F.col("_positive") > 0) & (F.col("_positive") < F.col("_choices")))
-    return salted_join(flagged, both.select("query_id", "_choices"), "query_id", "doc_id")
+    both = counts.where((F.col("n_positive") > 0) & (F.col("n_negative") > 0))
+    return salted_join(flagged, both, "query_id", "doc_id")
 
 
 def require_choices(choices: DataFrame) -> DataFrame:
@@ -173,31 +170,3 @@ def require_choices(choices: DataFrame) -> DataFrame:
     if choices.isEmpty():
         raise ValueError("no query has both a positive and a negative document")
     return choices
-
-
-def pos_neg_groups(pairs: DataFrame, group_docs: int = GROUP_DOCS) -> DataFrame:
-    """(query_id, query, part, positive, negative): the documents of each query as two arrays.
-
-    A query of up to ``group_docs`` documents is one row (part 0). A larger one is cut by document hash
-    into as many parts as that size asks for, so no array holds an unbounded group.
-    """
-    parts = F.ceil(F.col("_choices") / F.lit(group_docs))
-    part = F.conv(F.substring(F.md5("doc_id"), 1, 8), 16, 10).cast("long") % parts
-    placed = _counted_choices(pairs).withColumn("part", part)
-    grouped = placed.groupBy("query_id", "part").agg(
-        F.max("query").alias("query"),
-        F.sort_array(F.collect_list(F.when(F.col("positive"), F.col("doc")))).alias("positive"),
-        F.sort_array(F.collect_list(F.when(~F.col("positive"), F.col("doc")))).alias("negative"),
-    )
-    return grouped.select("query_id", "query", "part", "positive", "negative")
-
-
-def explode_groups(groups: DataFrame) -> DataFrame:
-    """One row per document of the groups: (query_id, query, doc, positive)."""
-    both = F.concat(
-        F.transform("positive", lambda d: F.struct(d.alias("doc"), F.lit(True).alias("positive"))),
-        F.transform("negative", lambda d: F.struct(d.alias("doc"), F.lit(False).alias("positive"))),
-    )
-    return groups.select("query_id", "query", F.explode(both).alias("_d")).select(
-        "query_id", "query", "_d.doc", "_d.positive"
-    )

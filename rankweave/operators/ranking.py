@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows of one key are sorted as one window group; beyond it the two-level rank is used.
-PLAIN_GROUP_ROWS = 100_000
-RANK_CHUNK = 8192
-SCORE_QUANTILES = 128
+from rankweave.session import staged
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
@@ -24,20 +21,18 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, n
 
 
 def exact_rank(
-    df: DataFrame,
-    order: Sequence[Column],
-    bucket: Column,
-    keys: Sequence[str] = (),
-    name: str = "pos",
-    total: str | None = None,
+    df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (), name: str = "pos", total: str | None = None
 ) -> DataFrame:
     """Exact 1-based rank of every row within ``keys`` (or over everything), without a one-task sort.
 
-    ``bucket`` is a non-null value that never decreases along ``order`` and takes a bounded number of
-    values. Rows are numbered inside (keys, bucket); the sizes of the earlier buckets are added to that.
-    ``total`` names an optional column for the row count of the key.
+    Rows are dealt by range of (keys, order), so partitions are even whatever the keys and values are: a
+    hot key, or a value that most rows share, is spread as long as ``order`` tells its rows apart. Rows
+    are numbered inside a partition; the sizes of the earlier ones are added. The ranges are written
+    once, as both steps must see the same. ``total`` names an optional column for the row count of the key.
     """
-    tagged = df.withColumn("_bucket", bucket)
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *[F.col(k).asc() for k in keys], *order)
+    tagged = staged(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
     sizes = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     along = Window.partitionBy(*keys).orderBy("_bucket")
     so_far = F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -46,41 +41,26 @@ def exact_rank(
         *keys, "_bucket", (so_far - F.col("_size")).alias("_start"), everything.alias("_total")
     )
     if not keys:
-        starts = F.broadcast(starts)  # one row per bucket: bounded by the bucket count
+        starts = F.broadcast(starts)  # one row per partition
     inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
     ranked = tagged.withColumn("_inside", inside).join(starts, [*keys, "_bucket"])
-    columns = [*df.columns]
     extra = [(F.col("_start") + F.col("_inside")).alias(name)]
     if total:
         extra.append(F.col("_total").alias(total))
-    return ranked.select(*columns, *extra)
+    return ranked.select(*df.columns, *extra)
 
 
 def rank_run(run: DataFrame, depth: int | None = None) -> DataFrame:
     """Rank a run by score, highest first; equal scores keep the order of the given ``rank``, then doc_id.
 
-    The given rank is otherwise ignored and replaced. ``depth`` states a known bound on rows per query;
-    without it the largest query is counted, and if it is too large for one window group the scores are
-    bucketed by their quantiles and ranked in two levels. A score that makes up a large share of the rows
-    is itself a quantile, so its rows form their own bucket, cut further by the given rank.
+    The given rank is otherwise ignored and replaced. ``depth`` is the caller's promise of a bound on the
+    rows of a query, which are then ranked in one window group; without it they are ranked over ranges.
     """
     rows = run.withColumn("_given", F.coalesce(F.col("rank").cast("long"), F.lit(0)))
     order = [F.col("score").desc(), F.col("_given").asc(), F.col("doc_id").asc()]
-    if depth is None:
-        depth = run.groupBy("query_id").count().agg(F.max("count")).first()[0] or 0
-    if depth <= PLAIN_GROUP_ROWS:
+    if depth is not None:
         per_query = Window.partitionBy("query_id").orderBy(*order)
         return rows.withColumn("rank", F.row_number().over(per_query)).drop("_given")
-    shares = [i / SCORE_QUANTILES for i in range(SCORE_QUANTILES + 1)]
-    cuts = sorted(set(run.agg(F.percentile_approx("score", shares, 10_000)).first()[0]))
-    bounds = F.array(*[F.lit(float(c)) for c in cuts])
-    above = F.size(F.filter(bounds, lambda b: b > F.col("score")))
-    on_bound = F.array_contains(bounds, F.col("score"))
-    bucket = F.struct(
-        above.alias("above"),
-        on_bound.cast("int").alias("on_bound"),  # scores above a bound come before the bound itself
-        F.when(on_bound, F.floor(F.col("_given") / RANK_CHUNK)).otherwise(F.lit(0)).alias("chunk"),
-    )
-    return exact_rank(rows.drop("rank"), order, bucket, ["query_id"], "rank").select(
+    return exact_rank(rows.drop("rank"), order, ["query_id"], "rank").select(
         *[F.col(c).cast("int").alias(c) if c == "rank" else c for c in run.columns]
     )

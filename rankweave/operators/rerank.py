@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankweave.functions.terms import word_sets
+from rankweave.functions.terms import term_vector, word_sets
 from rankweave.functions.text import clean_text
-from rankweave.operators.joins import hot_keys, with_copies, with_salt
+from rankweave.functions.vectors import SCORE_DECIMALS, term_cosine, weighted_dot
+from rankweave.operators.encode import encode_dense_terms
+from rankweave.operators.joins import hot_keys, salted_join, with_copies, with_salt
 from rankweave.operators.ranking import top_k
+from rankweave.session import staged
 
 FEATURES = ("coverage", "jaccard", "bigram_coverage", "length_ratio", "bi_score")
 LEXICAL_WEIGHTS = {
@@ -138,6 +141,31 @@ def candidate_texts(
     return texts.drop("_salt")
 
 
+def with_bi_scores(
+    pairs: DataFrame, topics: DataFrame, answers: DataFrame, weights: Sequence[float] | None = None
+) -> DataFrame:
+    """Add ``bi_score``, the first-stage score, to (query_id, doc_id) pairs over texts cleaned before.
+
+    Without ``weights`` it is the cosine of the term vectors, with them the fitted product of dense ones,
+    as the search computes it, so that a scorer is trained on what it is served.
+    """
+
+    def vectors(texts: DataFrame, key: str, text: str, name: str) -> DataFrame:
+        picked = texts.select(key, text)
+        if weights is None:
+            return picked.select(key, term_vector(F.col(text)).alias(name))
+        return encode_dense_terms(picked, text, len(weights)).withColumnRenamed("embedding", name)
+
+    queries, docs = vectors(topics, "query_id", "query", "_q"), vectors(answers, "doc_id", "text", "_d")
+    ids = staged(pairs, "judged")
+    hot_queries = hot_keys(ids.select("query_id"), "query_id")
+    with_docs = salted_join(ids, docs, "doc_id", "query_id")
+    joined = salted_join(with_docs, queries, "query_id", "doc_id", hot=hot_queries)
+    left, right = F.col("_q"), F.col("_d")
+    score = term_cosine(left, right) if weights is None else weighted_dot(left, right, weights)
+    return joined.select(*pairs.columns, F.round(score, SCORE_DECIMALS).alias("bi_score"))
+
+
 def rerank(scored: DataFrame, k: int) -> DataFrame:
     """``ce_rank`` by the second score; equal scores keep the first-stage order."""
     return top_k(scored, ["query_id"], [F.col("ce_score").desc(), F.col("bi_rank").asc()], k, "ce_rank")

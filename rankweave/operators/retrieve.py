@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions.text import clean_text
 from rankweave.operators.encode import encode_terms
+from rankweave.operators.fit import weigh_queries
 from rankweave.operators.rerank import (
     MakePairModel,
     Scorer,
@@ -31,12 +32,14 @@ Encode = Callable[[DataFrame, str], DataFrame]
 def prepare_topics(topics: DataFrame, clean_queries: bool) -> DataFrame:
     """Valid topics, one row per query id, cleaned on demand.
 
-    Labelled pairs repeat their query once per document; it is searched once.
+    Labelled pairs repeat their query once per document; it is searched once. Of differing valid texts
+    under one id the smallest is taken.
     """
-    chosen = topics.select("query_id", "query").dropDuplicates(["query_id"])
+    chosen = topics.select("query_id", "query")
     if clean_queries:
         chosen = chosen.withColumn("query", clean_text(F.col("query")))
-    return chosen.where((F.col("query_id") != "") & (F.col("query") != ""))
+    valid = chosen.where((F.col("query_id") != "") & (F.col("query") != ""))
+    return valid.groupBy("query_id").agg(F.min("query").alias("query"))
 
 
 def clean_answers(answers: DataFrame) -> DataFrame:
@@ -53,17 +56,22 @@ def two_stage(
     clean_queries: bool = False,
     pair_model: MakePairModel | None = None,
     stage: bool = True,
+    query_weights: Sequence[float] | None = None,
 ) -> DataFrame:
     """(query_id, doc_id, bi_rank, bi_score, ce_rank, ce_score): both rankings of one search.
 
     ``answers`` are raw and get cleaned here. ``doc_vectors`` are their stored vectors, else they are
     encoded here. ``pair_model`` makes a model that scores the texts, in place of ``scorer``, which
-    scores their lexical features. With ``stage`` the first-stage result is written once, since its rows are needed both
+    scores their lexical features. ``query_weights`` are those of a fitted first stage: ``encode`` and
+    ``doc_vectors`` are then dense and of unit length. With ``stage`` the first-stage result is written once, since its rows are needed both
     to pick the documents to tokenise and to rank them.
     """
     topics = prepare_topics(topics, clean_queries)
     vectors = doc_vectors if doc_vectors is not None else encode(clean_answers(answers), "text")
-    found = cosine_topk(encode(topics, "query"), vectors, k)
+    queries = encode(topics, "query")
+    if query_weights is not None:
+        queries = weigh_queries(queries, query_weights)
+    found = cosine_topk(queries, vectors, k, normalize=query_weights is None)
     found = found.select("query_id", "doc_id", F.col("rank").alias("bi_rank"), F.col("score").alias("bi_score"))
     if stage:
         found = staged(found, "candidates")

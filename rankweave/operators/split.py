@@ -18,12 +18,11 @@ def assign_splits(
     query_ids: DataFrame,
     parts: Sequence[tuple[str, float | None]] = THREE_WAY,
     seed: int = 42,
-    hex_digits: int = 3,
 ) -> DataFrame:
     """(query_id, pos, split) for a DataFrame of distinct query ids.
 
     Queries are ordered by a seeded md5 and cut at exact sizes: each share of the count, truncated, the
-    part without a share taking the rest. The rank buckets are the first ``hex_digits`` of the hash.
+    part without a share taking the rest.
     """
     hashed = query_ids.select("query_id").withColumn(
         "_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("query_id")))
@@ -31,7 +30,6 @@ def assign_splits(
     ranked = exact_rank(
         hashed,
         [F.col("_key"), F.col("query_id")],
-        F.substring("_key", 1, hex_digits),
         total="_n",
     )
     edge = F.lit(0).cast("long")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,6 @@ from rankweave.sources import readers, writers
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHOWN_SCALE = 1e6
-# Pair weights of the second system in the side-by-side comparison.
-OTHER_WEIGHTS = {"coverage": 0.25, "jaccard": 0.25, "bigram_coverage": 0.4, "length_ratio": 0.05, "bi_score": 0.05}
 
 
 def shown(name: str) -> Column:
@@ -110,8 +109,7 @@ def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "vectors")
     docs = retrieve.clean_answers(si.text_answers(spark, sf_dir))
     encode.append_cache(_labelled(spark, sf_dir, docs), path, "terms")
-    known = encode.read_cache(spark, path, "terms")
-    return encode.explode_terms(encode.cached_vectors(docs, path, "terms", known), ["doc_id"])
+    return encode.explode_terms(encode.cached_vectors(docs, path, "terms"), ["doc_id"])
 
 
 def _labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
@@ -135,14 +133,20 @@ def read_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "run")
     run = si.vector_run(spark, sf_dir).withColumn("tag", F.lit("vectors")).withColumn("rank", F.lit(0))
     twice = run.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    writers.write_run(twice, path, ordered=False)
+    writers.write_run(twice, path)
     return readers.read_run(spark, path).select("query_id", "doc_id", "rank", shown("score"))
 
 
 def run_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "run")
-    writers.write_run(retrieve.run_rows(_text_results(spark, sf_dir)), path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    writers.write_run(retrieve.run_rows(_text_results(spark, sf_dir)), path, ordered=True)
+    fields = F.split(F.col("value"), "\t")
+    return spark.read.text(path).select(
+        F.array_join(F.slice(fields, 1, 4), "\t").alias("line"),
+        F.get(fields, 4).cast("double").alias("score"),
+        F.get(fields, 5).alias("tag"),
+        F.size(fields).alias("n_fields"),
+    ).select("line", shown("score"), "tag", "n_fields")
 
 
 def test_qrel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +193,24 @@ def strip_special(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", tx.strip_special(F.col("text")).alias("text"))
 
 
+def scan_raw_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw topics through Parquet and JSON Lines files, composed."""
+    path = scratch_path(spark, "raw-topics")
+    raw = si.page_topics_raw(spark, sf_dir)
+    even = F.col("Id").cast("long") % 2 == 0
+    raw.where(even).write.parquet(f"{path}/a")
+    raw.where(~even).write.json(f"{path}/b")
+    read = readers.read_raw(spark, f"{path}/a", "topics", "parquet").unionByName(readers.read_raw(spark, f"{path}/b", "topics"))
+    return pairs.compose_topics(read)
+
+
+def scan_raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "raw-answers")
+    docs = si.text_answers(spark, sf_dir).select(F.col("doc_id").alias("Id"), F.col("text").alias("Text"))
+    docs.write.json(path)
+    return readers.load_raw_answers(spark, path)
+
+
 def compose_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.compose_topics(si.page_topics_raw(spark, sf_dir))
 
@@ -274,21 +296,13 @@ def dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pos_neg_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The arrays shown as their sizes and joined texts, which any engine compares alike."""
-    groups = pairs.pos_neg_groups(judged_pairs(spark, sf_dir))
-    return groups.select(
-        "query_id",
-        "query",
-        F.col("part").cast("int").alias("part"),
-        F.size("positive").alias("n_positive"),
-        F.size("negative").alias("n_negative"),
-        F.concat_ws("|", "positive").alias("positive"),
-        F.concat_ws("|", "negative").alias("negative"),
-    )
+    """The documents of the queries that have both sides, with the sizes of the sides."""
+    choices = pairs.ranked_choices(judged_pairs(spark, sf_dir))
+    return choices.select("query_id", "doc_id", "score", "positive", "n_positive", "n_negative")
 
 
 def explode_pos_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.explode_groups(pairs.pos_neg_groups(judged_pairs(spark, sf_dir)))
+    return pairs.ranked_choices(judged_pairs(spark, sf_dir)).select("query_id", "query", "doc", "positive")
 
 
 # --- vectors and similarity --------------------------------------------------------------------------
@@ -344,7 +358,7 @@ def _text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rerank_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features and second score of every judged chat pair; the first score is 0 throughout."""
+    """Features and second score of every judged chat pair."""
     return _scored_pairs(spark, sf_dir).select(
         "query_id", "doc_id", "score", *[shown(name) for name in (*rerank.FEATURES, "ce_score")]
     )
@@ -354,12 +368,13 @@ def _scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rerank.weighted_scorer()(_pair_features(spark, sf_dir))
 
 
-def _pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of the judged pairs (ids, grade, split) over cleaned texts; bi_score 0 throughout."""
+def _pair_features(spark: SparkSession, sf_dir: str, weights: Sequence[float] | None = None) -> DataFrame:
+    """Features of the judged pairs (ids, grade, split) over cleaned texts, the first-stage score among them."""
     topics = retrieve.prepare_topics(si.chat_topics(spark, sf_dir), True)
-    judged = _split_ids(spark, sf_dir).withColumn("bi_score", F.lit(0.0))
-    features = rerank.candidate_features(judged, topics, si.chat_answers(spark, sf_dir), clean_docs=True)
-    return features.withColumnRenamed("relevance", "score")
+    answers = retrieve.clean_answers(si.chat_answers(spark, sf_dir))
+    judged = staged(rerank.with_bi_scores(_split_ids(spark, sf_dir), topics, answers, weights), "bi-scores")
+    features = rerank.candidate_features(judged, topics, answers)
+    return staged(features.withColumnRenamed("relevance", "score"), "features")
 
 
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,35 +387,60 @@ def two_stage_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _system_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two systems x two topic sets over the chat answers, both stages: eight result sets."""
-    answers = si.chat_answers(spark, sf_dir)
-    doc_vectors = staged(encode.encode_terms(retrieve.clean_answers(answers), "text"), "vectors")
-    test = _split_pairs(spark, sf_dir).where(F.col("split") == "test")
-    topic_sets = {1: staged(test.select("query_id", "query"), "topics"), 2: si.text_topics(spark, sf_dir)}
-    systems = {"basic": (False, rerank.LEXICAL_WEIGHTS), "fine_tuned": (True, OTHER_WEIGHTS)}
-    runs = None
-    for system, (clean, weights) in systems.items():
-        for topic_set, topics in topic_sets.items():
-            found = retrieve.two_stage(
-                topics, answers, rerank.weighted_scorer(weights), doc_vectors=doc_vectors, clean_queries=clean
-            )
-            rows = retrieve.run_rows(found).select(
-                F.lit(system).alias("system"), F.lit(topic_set).alias("topic_set"), "*"
-            )
-            runs = rows if runs is None else runs.unionByName(rows)
-    return runs
-
+def _system_runs(
+    spark: SparkSession, sf_dir: str, systems: Sequence[str] = ("basic", "fine_tuned"), topic_sets: Sequence[int] = (1, 2)
+) -> DataFrame:
+    """Both stages of each system over each topic set and the chat answers: up to eight result sets.
 
-def all_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The eight result sets, through the partitioned run table."""
+    ``basic`` searches with term vectors and scores with fixed weights, as it stands. ``fine_tuned``
+    searches with fitted weights over dense vectors and scores with a fitted model, both from the train split.
+    """
+    answers = si.chat_answers(spark, sf_dir)
+    cleaned = retrieve.clean_answers(answers)
+    topics = {}
+    if 1 in topic_sets:
+        test = _split_pairs(spark, sf_dir).where(F.col("split") == "test")
+        topics[1] = staged(test.select("query_id", "query"), "topics")
+    if 2 in topic_sets:
+        topics[2] = si.text_topics(spark, sf_dir)
+    runs = []
+    for system in systems:
+        options: dict = {"clean_queries": system == "fine_tuned"}
+        if system == "basic":
+            doc_vectors = encode.encode_terms(cleaned, "text")
+        else:
+            weights, scorer = _fine_tuned(spark, sf_dir)
+            doc_vectors = encode.encode_dense_terms(cleaned, "text", len(weights))
+            options |= {"scorer": scorer, "encode": _dense(len(weights)), "query_weights": weights}
+        options["doc_vectors"] = staged(doc_vectors, "vectors")
+        for topic_set, wanted in topics.items():
+            rows = retrieve.run_rows(retrieve.two_stage(wanted, answers, **options))
+            runs.append(rows.select(F.lit(system).alias("system"), F.lit(topic_set).alias("topic_set"), "*"))
+    return reduce(DataFrame.unionByName, runs)
+
+
+def _dense(dim: int) -> retrieve.Encode:
+    return lambda df, text: encode.encode_dense_terms(df, text, dim)
+
+
+def _shown_runs(spark: SparkSession, runs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "runs")
-    writers.write_runs(_system_runs(spark, sf_dir), path)
+    writers.write_runs(runs, path)
     return spark.read.parquet(path).select(
         "system", "topic_set", "tag", "query_id", "doc_id", "rank", shown("score")
     )
 
 
+def all_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight result sets, through the partitioned run table."""
+    return _shown_runs(spark, _system_runs(spark, sf_dir))
+
+
+def basic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four result sets of the unfitted system."""
+    return _shown_runs(spark, _system_runs(spark, sf_dir, ["basic"]))
+
+
 # --- evaluation --------------------------------------------------------------------------------------
 
 
@@ -421,17 +461,25 @@ def metrics_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select(*[shown(m) for m in evaluate.METRICS])
 
 
-def metrics_by_system(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both stages of both systems over the test topics, side by side."""
-    runs = _system_runs(spark, sf_dir).where(F.col("topic_set") == 1)
+def _metrics_by_system(spark: SparkSession, sf_dir: str, systems: Sequence[str]) -> DataFrame:
+    """Both stages of the systems over the test topics, side by side."""
+    runs = _system_runs(spark, sf_dir, systems, topic_sets=[1])
     runs = runs.withColumn("system", F.concat_ws("/", "system", "tag"))
-    names = [f"{s}/{t}" for s in ("basic", "fine_tuned") for t in (retrieve.BI_TAG, retrieve.CE_TAG)]
+    names = [f"{s}/{t}" for s in systems for t in (retrieve.BI_TAG, retrieve.CE_TAG)]
     qrels = pairs.split_qrels(_split_ids(spark, sf_dir), si.chat_qrels(spark, sf_dir), "test")
     per_query = evaluate.evaluate(runs, qrels, depth=DEPTH, systems=names)
     means = evaluate.mean_metrics(per_query, ["system"])
     return means.select("system", *[shown(m) for m in evaluate.METRICS])
 
 
+def metrics_by_system(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metrics_by_system(spark, sf_dir, ["basic", "fine_tuned"])
+
+
+def metrics_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metrics_by_system(spark, sf_dir, ["basic"])
+
+
 def ski_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = evaluate.ski_jump(_vector_metrics(spark, sf_dir))
     return series.select("query_id", shown("p5"), "pos")
@@ -443,7 +491,8 @@ def ski_jump_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ski_jump_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.ski_jump(_vector_metrics(spark, sf_dir), jitter_seed=42).drop("n")
+    series = evaluate.ski_jump(_vector_metrics(spark, sf_dir), jitter_seed=42)
+    return series.select("query_id", shown("p5"), "pos", shown("p5_jittered"))
 
 
 # --- fitting -----------------------------------------------------------------------------------------
@@ -455,30 +504,64 @@ def val_mrr10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.ranking_score(pairs.ranked_choices(scored)).select(shown("mrr10"), "n_queries")
 
 
-def tuned_bi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unit(name: str) -> Column:
+    return normalize(F.col(name), l2_norm(F.col(name))).alias(name)
+
+
+def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged vector pairs (unit vectors, label, split)."""
     judged = si.vector_judgments(spark, sf_dir).withColumn("label", F.col("relevance").cast("double"))
     splits = assign_splits(judged.select("query_id").distinct()).select("query_id", "split")
-    placed = staged(judged.join(splits, "query_id").select("query_vec", "doc_vec", "label", "split"), "judged")
+    return staged(judged.join(splits, "query_id").select(_unit("query_vec"), _unit("doc_vec"), "label", "split"), "judged")
+
+
+def tuned_bi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = _labelled_vectors(spark, sf_dir)
     weights = fit.fit_bi_weights(
         placed.where(F.col("split") == "train"), placed.where(F.col("split") == "val")
     )
-    queries = fit.weigh_queries(si.vectors(spark, sf_dir, "query_id"), weights)
-    found = cosine_topk(queries, si.vectors(spark, sf_dir, "doc_id"), normalize=False)
+    queries = fit.weigh_queries(si.vectors(spark, sf_dir, "query_id").select("query_id", _unit("embedding")), weights)
+    docs = si.vectors(spark, sf_dir, "doc_id").select("doc_id", _unit("embedding"))
+    found = cosine_topk(queries, docs, normalize=False)
     return found.select("query_id", "doc_id", "rank", shown("score"))
 
 
-def _fitted_scorer(spark: SparkSession, sf_dir: str) -> rerank.Scorer:
-    features = staged(_pair_features(spark, sf_dir), "features")
+def tuned_bi_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slope of the squared loss at the fitted weights, 0 in every dimension at the optimum."""
+    train = _labelled_vectors(spark, sf_dir).where(F.col("split") == "train")
+    weights = fit.fit_bi_weights(train, candidates=[0.0])
+    return fit.bi_gradient(train, weights).select("dim", (F.round("gradient", 5) + F.lit(0.0)).alias("gradient"))
+
+
+def _fine_tuned(spark: SparkSession, sf_dir: str) -> tuple[list[float], rerank.Scorer]:
+    """Both stages fitted on the training pairs and chosen on the validation pairs."""
+    labelled = pairs.graded_labels(_split_pairs(spark, sf_dir), scale_labels=True)
+    texts = staged(labelled.select(tx.clean_text(F.col("query")).alias("query"), tx.clean_text(F.col("doc")).alias("doc"), "label", "split"), "texts")
+    train, val = (texts.where(F.col("split") == part) for part in ("train", "val"))
+    weights = fit.fit_text_weights(train, val)
+    features = _pair_features(spark, sf_dir, weights)
     model, _ = fit.fit_pair_scorer(
         features.where(F.col("split") == "train"), features.where(F.col("split") == "val")
     )
-    return rerank.fitted_scorer(model)
+    return weights, rerank.fitted_scorer(model)
 
 
 def _tuned_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = _split_pairs(spark, sf_dir).where(F.col("split") == "test")
+    weights, scorer = _fine_tuned(spark, sf_dir)
     return retrieve.two_stage(
-        test, si.chat_answers(spark, sf_dir), _fitted_scorer(spark, sf_dir), clean_queries=True
+        test, si.chat_answers(spark, sf_dir), scorer, encode=_dense(len(weights)), clean_queries=True, query_weights=weights
+    )
+
+
+def tuned_ce_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per query: the re-ranking orders exactly the first stage's documents, ranks without gaps."""
+    found = _tuned_results(spark, sf_dir)
+    return found.groupBy("query_id").agg(
+        F.count("*").alias("n"),
+        (F.count_distinct("doc_id") == F.count("*")).alias("distinct_docs"),
+        ((F.count_distinct("bi_rank") == F.count("*")) & (F.max("bi_rank") == F.count("*"))).alias("bi_gapless"),
+        ((F.count_distinct("ce_rank") == F.count("*")) & (F.max("ce_rank") == F.count("*"))).alias("ce_gapless"),
     )
 
 
@@ -506,11 +589,14 @@ QUERIES: dict[str, Query] = {
     "metrics_wide": metrics_wide,
     "embed_docs": embed_docs,
     "all_runs": all_runs,
+    "basic_runs": basic_runs,
     "clean_text_docs": clean_text_docs,
     "clean_text_pages": clean_text_pages,
     "html_to_text": html_to_text,
     "strip_urls": strip_urls,
     "strip_special": strip_special,
+    "scan_raw_topics": scan_raw_topics,
+    "scan_raw_answers": scan_raw_answers,
     "compose_query": compose_query,
     "default_topic_id": default_topic_id,
     "resolve_topic_fields": resolve_topic_fields,
@@ -539,11 +625,14 @@ QUERIES: dict[str, Query] = {
     "metrics_per_query": metrics_per_query,
     "metrics_mean": metrics_mean,
     "metrics_by_system": metrics_by_system,
+    "metrics_basic": metrics_basic,
     "ski_jump": ski_jump,
     "ski_jump_ticks": ski_jump_ticks,
     "ski_jump_jitter": ski_jump_jitter,
     "val_mrr10": val_mrr10,
     "tuned_bi_topk": tuned_bi_topk,
+    "tuned_bi_optimality": tuned_bi_optimality,
     "tuned_ce_topk": tuned_ce_topk,
+    "tuned_ce_permutation": tuned_ce_permutation,
     "two_stage_run_tuned": two_stage_run_tuned,
 }

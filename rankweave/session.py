@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Whole texts go to Python in batches of bounded size, whatever their length.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
@@ -34,17 +38,44 @@ def local_session(cpus: str = "*", memory: str = "12g") -> SparkSession:
     )
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared checkpoint folder of the session.
+def scratch_base(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; only where it is unset, as in tests, a
-    temporary folder is made and set for the session.
+    That is the folder given to ``setCheckpointDir``, else the one in ``spark.checkpoint.dir``. Only a
+    local session may do without: a temporary folder is made and set for it. On a cluster each executor
+    would write to a disk of its own, so that is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="rankweave-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+_scopes: list[list[str]] = []
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below ``scratch_base``."""
+    path = f"{scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables made inside, when it is left. Results must be written before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -57,15 +88,3 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a file scan that has fewer splits than there are cores; leave any other as it is.
-
-    Only for plain scans: such a scan is small by its split count, so the shuffle is too, and a large
-    table is never moved.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, key)

@@ -95,7 +95,8 @@ def _judgment_lines(
         )
         lines = lines.select(checked.alias("_fields"), "_at")
     elif mode == "permissive":
-        good = (F.size(fields) == 4) & F.get(fields, 3).rlike(r"^[+-]?\d{1,9}$")
+        grade = F.get(fields, 3)
+        good = (F.size(fields) == 4) & grade.rlike(r"^[+-]?\d+$") & grade.try_cast("int").isNotNull()
         if observation is not None:
             lines = lines.observe(observation, F.count_if(~good).alias("bad_lines"))
         lines = lines.where(good)
@@ -136,21 +137,56 @@ def scan_pairs(spark: SparkSession, paths: Paths, array: bool = False) -> DataFr
 
 
 def read_run(
-    spark: SparkSession, paths: Paths, depth: int | None = None, whitespace: bool = False
+    spark: SparkSession,
+    paths: Paths,
+    depth: int | None = None,
+    whitespace: bool = False,
+    mode: str = "strict",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """A run of six tab-separated columns, ranked by its scores.
 
     A (query, document) listed more than once keeps its highest score; the listed rank is only used to
-    order equal scores. ``whitespace=True`` reads columns parted by any run of whitespace.
+    order equal scores. ``whitespace=True`` reads columns parted by any run of whitespace. A line without
+    six fields, a whole rank and a finite score fails a strict read; a permissive one leaves it out and counts
+    it in ``observation`` as ``bad_lines``.
     """
-    if whitespace:
-        fields = spark.read.text(_list(paths)).select(words(F.col("value")).alias("_f"))
-        raw = fields.select(
-            *[F.get("_f", i).cast(f.dataType).alias(f.name) for i, f in enumerate(schemas.RUN.fields)]
-        )
+    value = F.col("value")
+    fields = spark.read.text(_list(paths)).select((words(value) if whitespace else F.split(value, "\t")).alias("_f"), "value")
+    at = [F.get("_f", i) for i in range(len(schemas.RUN.fields))]
+    typed = [c.try_cast(f.dataType).alias(f.name) for c, f in zip(at, schemas.RUN.fields)]
+    score = at[4].try_cast("double")
+    good = (F.size("_f") == len(typed)) & at[3].try_cast("int").isNotNull() & score.isNotNull() & ~F.isnan(score) & (F.abs(score) < float("inf"))
+    if mode == "strict":
+        checked = F.when(good, F.col("_f")).otherwise(F.raise_error(F.concat(F.lit("malformed run line: "), "value")))
+        fields = fields.select(checked.alias("_f"))
+    elif mode == "permissive":
+        if observation is not None:
+            fields = fields.observe(observation, F.count_if(~F.coalesce(good, F.lit(False))).alias("bad_lines"))
+        fields = fields.where(good)
     else:
-        raw = spark.read.schema(schemas.RUN).option("sep", "\t").option("quote", "").csv(_list(paths))
-    best = raw.groupBy("query_id", "doc_id").agg(
+        raise ValueError(f"mode is strict or permissive, not {mode!r}")
+    best = fields.select(*typed).groupBy("query_id", "doc_id").agg(
         F.max("score").alias("score"), F.min("rank").alias("rank"), F.min("tag").alias("tag")
     )
     return rank_run(best.select("query_id", "doc_id", "rank", "score", "tag"), depth)
+
+
+RAW_SCHEMAS = {"topics": schemas.TOPICS_RAW, "mixed topics": schemas.TOPICS_MIXED, "answers": schemas.ANSWERS_RAW}
+
+
+def read_raw(spark: SparkSession, paths: Paths, kind: str, form: str = "lines") -> DataFrame:
+    """The files users have, columns as they are: ``topics`` (Id, Title, Body), ``mixed topics`` (also
+    query_id, query) or ``answers`` (Id, Text). ``form`` is lines (JSON Lines), array or parquet."""
+    schema = RAW_SCHEMAS[kind]
+    if form == "parquet":
+        return spark.read.schema(schema).parquet(*_list(paths))
+    if form not in ("lines", "array"):
+        raise ValueError(f"form is lines, array or parquet, not {form!r}")
+    return read_records(spark, paths, schema, array=form == "array")
+
+
+def load_raw_answers(spark: SparkSession, paths: Paths, form: str = "lines") -> DataFrame:
+    """(doc_id, text) of raw answers, not cleaned; records without an id or a text are left out."""
+    raw = read_raw(spark, paths, "answers", form)
+    return raw.where(F.col("Id").isNotNull() & F.col("Text").isNotNull()).select(F.col("Id").alias("doc_id"), F.col("Text").alias("text"))
