@@ -7,6 +7,7 @@ bucket of the word, and sent back to the blocks. A very frequent word is one ent
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -17,10 +18,23 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from rankweave.session import scratch_path
+
 #: Characters of text in a block. A longer text is not cut.
 BLOCK_CHARS = 16 << 20
 
 
+def staged_by_block(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written once to the shared folder, bucketed by block, so that documents are not shuffled
+    again when the words of their blocks come back."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, label)
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    rows.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 class Block(Protocol):
     #: Number of each word, in order of appearance.
     numbers: dict
@@ -133,3 +147,48 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of each range, one range after the other."""
     ends = np.cumsum(lengths)
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def encode_words(words: DataFrame, make_encoder: Callable[[], Callable[[bytes], list[int]]]) -> DataFrame:
+    """(block, numbers, lengths, ids) for the word rows of ``split_texts``.
+
+    All rows with a word are in one bucket, so it is encoded once. The words of one bucket are held
+    until the next bucket begins, two million of them at most.
+    """
+    schema = "block string, numbers binary, lengths binary, ids binary"
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = make_encoder()
+        known, current = {}, None
+        for batch in batches:
+            lengths, ids = [], []
+            for bucket, body in zip(batch.column(1).to_pylist(), batch.column(3)):
+                if bucket != current or len(known) > 2_000_000:
+                    known, current = {}, bucket
+                found = []
+                for word in word_list(body.as_py()):
+                    value = known.get(word)
+                    if value is None:
+                        value = known[word] = np.array(piece(word), dtype="<u4").tobytes()
+                    found.append(value)
+                lengths.append(pack_ints(np.array([len(v) // 4 for v in found])))
+                ids.append(pack_ints(np.frombuffer(b"".join(found), dtype="<u4")))
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(lengths, pa.binary()), pa.array(ids, pa.binary())], names=["block", "numbers", "lengths", "ids"])
+
+    dealt = words.select("block", "bucket", "numbers", "body").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(encode, schema)
+
+
+def block_ids(words: pa.Table, documents: pa.Table) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Document ids with their token ids, put together by position, for each row of documents."""
+    numbers, lengths, ids = (
+        np.concatenate([unpack_ints(v.as_py()) for v in words[c]] or [np.zeros(0, dtype=np.int64)]) for c in ("numbers", "lengths", "ids")
+    )
+    starts, sizes = np.zeros(len(numbers), dtype=np.int64), np.zeros(len(numbers), dtype=np.int64)
+    starts[numbers], sizes[numbers] = np.cumsum(lengths) - lengths, lengths
+    for doc_ids, counts, body in zip(documents["doc_ids"], documents["counts"], documents["body"]):
+        at = unpack_ints(body.as_py())
+        tokens = ids[ragged(starts[at], sizes[at])]
+        per_doc = np.cumsum(counts.values.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])[per_doc]
+        yield doc_ids.values, np.split(tokens, ends[:-1])

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from rankweave.llm.blocks import pack_ints, ragged, split_texts, unpack_ints, word_list
-from rankweave.session import staged
+from rankweave.llm.blocks import block_ids, encode_words, split_texts, staged_by_block
 
 #: White space as the pre-token pattern means it; Python counts four control characters more.
 DOUBLE_SPACE = re.compile(r"\s (?:\s|\Z)")
@@ -82,50 +81,6 @@ class TokenBlock:
         return b"".join(parts)
 
 
-def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """(block, numbers, lengths, ids) for rows of words, which come sorted by bucket.
-
-    All rows with a word are in one bucket, so it is encoded once. The words of one bucket are held
-    until the next bucket begins, two million of them at most.
-    """
-    schema = "block string, numbers binary, lengths binary, ids binary"
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = encoding(vocabulary, pattern)._encode_single_piece
-        known, current = {}, None
-        for batch in batches:
-            lengths, ids = [], []
-            for bucket, body in zip(batch.column(1).to_pylist(), batch.column(3)):
-                if bucket != current or len(known) > 2_000_000:
-                    known, current = {}, bucket
-                found = []
-                for word in word_list(body.as_py()):
-                    value = known.get(word)
-                    if value is None:
-                        value = known[word] = np.array(piece(word), dtype="<u4").tobytes()
-                    found.append(value)
-                lengths.append(pack_ints(np.array([len(v) // 4 for v in found])))
-                ids.append(pack_ints(np.frombuffer(b"".join(found), dtype="<u4")))
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(lengths, pa.binary()), pa.array(ids, pa.binary())], names=["block", "numbers", "lengths", "ids"])
-
-    return words.select("block", "bucket", "numbers", "body").mapInArrow(encode, schema)
-
-
-def _block_ids(words: pa.Table, documents: pa.Table) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Document ids with their token ids, put together by position, for each row of documents."""
-    numbers, lengths, ids = (
-        np.concatenate([unpack_ints(v.as_py()) for v in words[c]] or [np.zeros(0, dtype=np.int64)]) for c in ("numbers", "lengths", "ids")
-    )
-    starts, sizes = np.zeros(len(numbers), dtype=np.int64), np.zeros(len(numbers), dtype=np.int64)
-    starts[numbers], sizes[numbers] = np.cumsum(lengths) - lengths, lengths
-    for doc_ids, counts, body in zip(documents["doc_ids"], documents["counts"], documents["body"]):
-        at = unpack_ints(body.as_py())
-        tokens = ids[ragged(starts[at], sizes[at])]
-        per_doc = np.cumsum(counts.values.to_numpy())
-        ends = np.concatenate([[0], np.cumsum(sizes[at])])[per_doc]
-        yield doc_ids.values, np.split(tokens, ends[:-1])
-
-
 def decoded(ids: list[int], table: list[bytes]) -> bytes:
     return b"".join(map(table.__getitem__, ids))
 
@@ -147,9 +102,8 @@ def encode_documents(
     spark = docs.sparkSession
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = staged(split_texts(picked, lambda: TokenBlock(pattern), buckets), "bpe-blocks")
-    words = blocks.where("bucket is not null").repartition("bucket").sortWithinPartitions("bucket")
-    encoded = _encode_words(words, vocabulary, pattern)
+    blocks = staged_by_block(split_texts(picked, lambda: TokenBlock(pattern), buckets), "bpe-blocks")
+    encoded = encode_words(blocks.where("bucket is not null"), lambda: encoding(vocabulary, pattern)._encode_single_piece)
     documents = blocks.where("bucket is null").select("block", "doc_ids", "counts", "body")
     id_field = picked.schema.fields[0]
     if digests:
@@ -161,7 +115,7 @@ def encode_documents(
         names, columns = [], []
         table = token_bytes(vocabulary, pattern) if digests else []
         decimal = [str(i) for i in range(len(table))]
-        for doc_ids, tokens in _block_ids(words, documents):
+        for doc_ids, tokens in block_ids(words, documents):
             names.append(doc_ids)
             lists = [t.tolist() for t in tokens]
             if digests:
