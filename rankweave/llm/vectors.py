@@ -108,7 +108,9 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names, kept = ["label", "_table", "_bucket", "_i", "_j"], None
     for batch in batches:
         frame = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
-        changes = (frame[names] != frame[names].shift()).any(axis=1).to_numpy()
+        changes = np.ones(len(frame), dtype=bool)
+        values = [frame[name].to_numpy() for name in names]  # compared as they are: hashes need all their bits
+        changes[1:] = np.any([v[1:] != v[:-1] for v in values], axis=0)
         starts = np.flatnonzero(changes)
         for start, end in zip(starts, starts[1:]):
             yield frame.iloc[start:end]
