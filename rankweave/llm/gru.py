@@ -9,15 +9,26 @@ import numpy as np
 HIDDEN = 16
 #: Words of a class of frequent words.
 CLASS_WORDS = 64
+#: Steps times lanes that are laid out at a time.
+CELLS = 1 << 24
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """In place. Inputs of the layer are within -1 and 1, so logits stay far from overflow."""
+    np.exp(np.minimum(logits, 60, out=logits), out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def _log_of(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log-softmax at one place of each row."""
+    np.minimum(logits, 60, out=logits)
+    own = logits[np.arange(len(logits)), wanted]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
 class Gru:
@@ -71,6 +82,7 @@ class Gru:
     def _forward(self, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray) -> tuple:
         """States before and after each step; a document's first step begins from a zero state."""
         steps, lanes = inputs.shape
+        state = state[:lanes]
         x = self.p["input"][inputs] + self.p["gates"]
         before = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
         after, gates, new, inner = (np.empty((steps, lanes, n * HIDDEN), dtype=np.float32) for n in (1, 2, 1, 1))
@@ -97,27 +109,26 @@ class Gru:
         """Natural logarithms for each step and lane, and the state to go on with."""
         *_, after, _, _, _, state = self._forward(inputs, starts, state)
         h, wanted = after.reshape(-1, HIDDEN), targets.ravel()
-        by_class = _log_softmax(h @ self.p["classes"] + self.p["class_bias"])
-        out = by_class[np.arange(len(h)), self.class_of[wanted]].astype(np.float64)
+        out = _log_of(h @ self.p["classes"] + self.p["class_bias"], self.class_of[wanted]).astype(np.float64)
         for c, at in self._groups(wanted):
-            inside = _log_softmax(h[at] @ self.p["inside"][c] + self.p["inside_bias"][c])
-            out[at] += inside[np.arange(len(at)), wanted[at] % CLASS_WORDS]
+            out[at] += _log_of(h[at] @ self.p["inside"][c] + self.p["inside_bias"][c], wanted[at] % CLASS_WORDS)
         return out.reshape(targets.shape), state
 
-    def train(self, inputs, starts, targets, live, state, rate: float) -> np.ndarray:
-        """One step down the gradient of a window; ``live`` marks the steps that hold text."""
+    def train(self, inputs, starts, targets, live, state, rate: float, full: int) -> np.ndarray:
+        """One step down the gradient of a window; ``live`` marks the steps that hold text. Losses are
+        divided by ``full``, the places of a full window, so that a narrow one counts for less."""
         before, after, gates, new, inner, state = self._forward(inputs, starts, state)
         p, h, wanted, on = self.p, after.reshape(-1, HIDDEN), targets.ravel(), live.ravel()
-        scale = np.float32(1 / max(1, on.sum()))
+        scale = np.float32(1 / full)
         d = {k: np.zeros_like(v) for k, v in p.items() if k in ("inside", "inside_bias")}
-        err = np.exp(_log_softmax(h @ p["classes"] + p["class_bias"]))
+        err = _softmax(h @ p["classes"] + p["class_bias"])
         err[np.arange(len(h)), self.class_of[wanted]] -= 1
         err *= on[:, None] * scale
         d["classes"], d["class_bias"] = h.T @ err, err.sum(axis=0)
         dh = err @ p["classes"].T
         for c, at in self._groups(wanted):
             hc = h[at]
-            err = np.exp(_log_softmax(hc @ p["inside"][c] + p["inside_bias"][c]))
+            err = _softmax(hc @ p["inside"][c] + p["inside_bias"][c])
             err[np.arange(len(at)), wanted[at] % CLASS_WORDS] -= 1
             err *= on[at][:, None] * scale
             d["inside"][c], d["inside_bias"][c] = hc.T @ err, err.sum(axis=0)
@@ -157,27 +168,29 @@ def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def lanes(documents: list[np.ndarray], number: int) -> list[list[int]]:
-    """Documents dealt to lanes of about equal length, longest first."""
+    """Documents dealt to lanes of about equal length; inside a lane they keep their order."""
     loads, out = np.zeros(number, dtype=np.int64), [[] for _ in range(number)]
     for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
         lane = int(loads.argmin())
         out[lane].append(i)
         loads[lane] += len(documents[i])
-    return [lane for lane in out if lane]
+    return [sorted(lane) for lane in out if lane]
 
 
 def windows(documents: list[np.ndarray], number: int, steps: int, first: int) -> Iterator[tuple]:
     """(inputs, starts, targets, owner) by window over at most ``number`` lanes of whole documents.
 
     ``owner`` is the document of each step, -1 beyond a lane's end. The input of a step is the symbol
-    before it, ``first`` at a document's start, where the state is reset. A document much longer than
-    the others gets fewer lanes beside it, so that the padding stays in proportion.
+    before it, ``first`` at a document's start, where the state is reset. Lanes come longest first, and
+    those that have ended are left out, so later windows are narrower. A very long document gets fewer
+    lanes beside it, so that they all fit ``CELLS``.
     """
     if not documents:
         return
-    longest = max(map(len, documents))
-    dealt = lanes(documents, max(1, min(number, sum(map(len, documents)) // longest)))
-    length = max(sum(len(documents[i]) for i in lane) for lane in dealt)
+    dealt = lanes(documents, max(1, min(number, CELLS // max(map(len, documents)))))
+    ends = np.array([sum(len(documents[i]) for i in lane) for lane in dealt])
+    dealt, ends = [dealt[k] for k in np.argsort(-ends, kind="stable")], -np.sort(-ends)
+    length = int(ends[0])
     shape = (length, len(dealt))
     inputs, targets, owner = np.full(shape, first, dtype=np.int32), np.zeros(shape, dtype=np.int32), np.full(shape, -1, dtype=np.int32)
     starts = np.zeros(shape, dtype=bool)
@@ -190,5 +203,5 @@ def windows(documents: list[np.ndarray], number: int, steps: int, first: int) ->
         starts[begins, k] = True
         owner[: len(tokens), k] = np.repeat(lane, sizes)
     for at in range(0, length, steps):
-        part = slice(at, at + steps)
+        part = slice(at, at + steps), slice(0, int((ends > at).sum()))
         yield inputs[part], starts[part], targets[part], owner[part]

@@ -10,19 +10,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from rankweave.llm.blocks import pack_ints, split_texts, unpack_ints, word_list
+from rankweave.llm.blocks import pack_ints, split_texts, staged_by_block, unpack_ints, word_list
 from rankweave.llm.gru import Gru, windows
 from rankweave.session import staged
 
 FOLDS, HELD_OUT = 7, 2
 #: Frequent words with a symbol of their own, and symbols that all other words share by their ending.
-WORDS, REST = 4_095, 64
+WORDS, REST = 1_024, 64
 END = b""
 #: Training documents by slice: each is used once, in growing rounds with an average after each.
 SLICES, ROUNDS = 16, (range(0, 1), range(1, 4), range(4, 9), range(9, 16))
-TRAIN_LANES, TRAIN_STEPS, RATE = 128, 24, 0.1
-SCORE_LANES, SCORE_STEPS = 256, 32
+TRAIN_LANES, TRAIN_STEPS, RATE = 128, 16, 0.1
+SCORE_LANES, SCORE_STEPS = 384, 24
+#: Symbols that a task lays out at a time.
+CHUNK = 4_000_000
 #: Models averaged at a time, and pieces of a model that are averaged apart.
 FAN, PIECES = 32, 16
 
@@ -132,9 +135,22 @@ def _encoded(documents: DataFrame, counted: DataFrame, symbols: dict[bytes, int]
     return documents.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(encode, schema)
 
 
-def _documents(row: dict) -> tuple[list, list[np.ndarray]]:
-    symbols = unpack_ints(row["symbols"])
-    return row["doc_ids"], np.split(symbols, np.cumsum(row["counts"])[:-1])
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, list], list[np.ndarray]]]:
+    """Documents of some rows together, about ``CHUNK`` symbols, so that the lanes are of use; with the
+    other columns by document."""
+    held, documents, size = {}, [], 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            symbols = unpack_ints(row.pop("symbols"))
+            documents += np.split(symbols, np.cumsum(row["counts"])[:-1])
+            for name, values in row.items():
+                held.setdefault(name, []).extend(values)
+            size += len(symbols)
+            if size >= CHUNK:
+                yield held, documents
+                held, documents, size = {}, [], 0
+    if documents:
+        yield held, documents
 
 
 def _trained(encoded: DataFrame, model: Gru, slices: range, end: int) -> np.ndarray:
@@ -145,15 +161,15 @@ def _trained(encoded: DataFrame, model: Gru, slices: range, end: int) -> np.ndar
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = shared.value, 0
-        for batch in batches:
-            for row in batch.select(["doc_ids", "counts", "symbols"]).to_pylist():
-                ids, documents = _documents(row)
-                mine = [d for i, d in zip(ids, documents) if fold(i) != HELD_OUT and slice_of(i) in slices]
-                state = None
-                for inputs, starts, targets, owner in windows(mine, TRAIN_LANES, TRAIN_STEPS, end):
-                    state = own.blank(inputs) if state is None else state
-                    state = own.train(inputs, starts, targets, owner >= 0, state, RATE)
-                    seen += int((owner >= 0).sum())
+        for columns, documents in _chunks(batches):
+            mine = [d for i, d in zip(columns["doc_ids"], documents) if fold(i) != HELD_OUT and slice_of(i) in slices]
+            # No more lanes than end together: windows of one long document would pull the model its way.
+            number = max(1, min(TRAIN_LANES, sum(map(len, mine)) // max(map(len, mine), default=1)))
+            state = None
+            for inputs, starts, targets, owner in windows(mine, number, TRAIN_STEPS, end):
+                state = own.blank(inputs) if state is None else state
+                state = own.train(inputs, starts, targets, owner >= 0, state, RATE, number * TRAIN_STEPS)
+                seen += int((owner >= 0).sum())
         if seen:
             pieces = np.array_split(own.vector().astype(np.float32), PIECES)
             worker = TaskContext.get().partitionId()
@@ -168,7 +184,7 @@ def _trained(encoded: DataFrame, model: Gru, slices: range, end: int) -> np.ndar
         first = group.slice(0, 1)
         return pa.table([first["worker"], first["piece"], pa.array([tokens.sum()]), pa.array([mean.tobytes()], pa.binary())], names=group.column_names)
 
-    models = staged(encoded.mapInArrow(train, schema), "lm-round")
+    models = staged(encoded.select("doc_ids", "counts", "symbols").mapInArrow(train, schema), "lm-round")
     workers = models.agg(F.max("worker")).first()[0]
     if workers is None:
         return model.vector()
@@ -184,29 +200,28 @@ def _trained(encoded: DataFrame, model: Gru, slices: range, end: int) -> np.ndar
 def _scored(encoded: DataFrame, model: Gru, end: int, tokens: int) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(model)
     id_type = encoded.schema["doc_ids"].dataType.elementType.simpleString()
+    id_kind = to_arrow_type(encoded.schema["doc_ids"].dataType.elementType)
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
-            for at, row in enumerate(batch.to_pylist()):
-                ids, documents = _documents(row)
-                total, state = np.array(row["rest"]), None
-                for inputs, starts, targets, owner in windows(documents, SCORE_LANES, SCORE_STEPS, end):
-                    state = own.blank(inputs) if state is None else state
-                    found, state = own.log_probabilities(inputs, starts, targets, state)
-                    live = owner >= 0
-                    total += np.bincount(owner[live], weights=found[live], minlength=len(total)) / np.log(10)
-                columns = [
-                    batch.column(0)[at].values,
-                    pa.array([fold(i) == HELD_OUT for i in ids]),
-                    pa.array(row["counts"], pa.int64()),
-                    pa.array(row["known"], pa.int64()),
-                    pa.array([tokens] * len(ids), pa.int64()),
-                    pa.array(row["base"], pa.float64()),
-                    pa.array(total, pa.float64()),
-                ]
-                yield pa.record_batch(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for columns, documents in _chunks(batches):
+            ids, total, state = columns["doc_ids"], np.array(columns["rest"]), None
+            for inputs, starts, targets, owner in windows(documents, SCORE_LANES, SCORE_STEPS, end):
+                state = own.blank(inputs) if state is None else state
+                found, state = own.log_probabilities(inputs, starts, targets, state)
+                live = owner >= 0
+                total += np.bincount(owner[live], weights=found[live], minlength=len(total)) / np.log(10)
+            arrays = [
+                pa.array(ids, id_kind),
+                pa.array([fold(i) == HELD_OUT for i in ids]),
+                pa.array(columns["counts"], pa.int64()),
+                pa.array(columns["known"], pa.int64()),
+                pa.array([tokens] * len(ids), pa.int64()),
+                pa.array(columns["base"], pa.float64()),
+                pa.array(total, pa.float64()),
+            ]
+            yield pa.record_batch(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return encoded.mapInArrow(score, schema)
 
@@ -226,7 +241,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    blocks = staged(split_texts(picked, CountedBlock, int(spark.conf.get("spark.sql.shuffle.partitions"))), "lm-blocks")
+    blocks = staged_by_block(split_texts(picked, CountedBlock, int(spark.conf.get("spark.sql.shuffle.partitions"))), "lm-blocks")
     counted = staged(_counted(blocks.where("bucket is not null")), "lm-counts")
     totals = counted.where("block is null").agg(F.sum("tokens"), F.sum("known"), F.sum("ends")).first()
     tokens, words, ends = (int(v or 0) for v in totals)
