@@ -22,7 +22,7 @@ def test_split_does_not_depend_on_partitioning(spark):
     before = sorted(map(tuple, assign_splits(ids.repartition(3)).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "5")
     try:
-        assert sorted(map(tuple, assign_splits(ids.repartition(7), hex_digits=1).collect())) == before
+        assert sorted(map(tuple, assign_splits(ids.repartition(7)).collect())) == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
@@ -37,12 +37,11 @@ def _run_rows():
     return rows
 
 
-@pytest.mark.parametrize("plain_rows", [100_000, 10])
-def test_rank_run_both_ways(spark, monkeypatch, plain_rows):
-    monkeypatch.setattr(ranking, "PLAIN_GROUP_ROWS", plain_rows)
+@pytest.mark.parametrize("depth", [None, 3000])
+def test_rank_run_both_ways(spark, depth):
     rows = _run_rows()
     run = spark.createDataFrame(rows, "query_id string, doc_id string, rank int, score double, tag string")
-    got = {(r.query_id, r.doc_id): r["rank"] for r in ranking.rank_run(run).collect()}
+    got = {(r.query_id, r.doc_id): r["rank"] for r in ranking.rank_run(run, depth).collect()}
     want = {}
     for query in {r[0] for r in rows}:
         mine = sorted((r for r in rows if r[0] == query), key=lambda r: (-r[3], r[2], r[1]))
@@ -82,10 +81,17 @@ def test_a_perfect_run_scores_one(spark):
     assert {k: round(row[k], 9) for k in ("p1", "p5", "ndcg5", "mrr", "map")} == dict.fromkeys(("p1", "p5", "ndcg5", "mrr", "map"), 1)
 
 
-def test_deep_runs_count_hits_across_chunks(spark, monkeypatch):
-    from rankweave.operators import evaluate as ev
+def test_a_hot_query_with_equal_scores_and_ranks_is_spread(spark):
+    run = spark.range(4000).selectExpr("if(id % 10 = 0, 'q', 'hot') AS query_id", "cast(id AS string) AS doc_id", "0 AS rank", "0.5D AS score", "'t' AS tag")
+    got = {(r.query_id, r.doc_id): r["rank"] for r in ranking.rank_run(run).collect()}
+    hot = sorted(d for q, d in got if q == "hot")
+    assert [got["hot", d] for d in hot] == list(range(1, 3601))
+    order = [F.col("score").desc(), F.col("doc_id").asc()]
+    ranges = run.repartitionByRange(8, F.col("query_id"), *order).groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranges) == 8 and max(r["count"] for r in ranges) < 1200
+
 
-    monkeypatch.setattr(ev, "RANK_CHUNK", 7)
+def test_deep_runs_count_hits_across_ranges(spark):
     rng = random.Random(5)
     relevant = {d for d in range(200) if rng.random() < 0.3}
     run = spark.createDataFrame([("q", f"d{i}", i + 1) for i in range(200)], "query_id string, doc_id string, rank int")

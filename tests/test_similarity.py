@@ -116,8 +116,8 @@ def test_cache_adds_only_what_is_missing(spark):
     append_cache(old, path, "m1")
     append_cache(old, path, "m2")
     now = spark.createDataFrame([("a", "one two"), ("b", "changed"), ("c", "new")], "doc_id string, text string")
-    known = read_cache(spark, path, "m1")
-    vectors = {r.doc_id: (r.terms, r.tf) for r in cached_vectors(now, path, "m1", known).collect()}
+    vectors = {r.doc_id: (r.terms, r.tf) for r in cached_vectors(now, path, "m1").collect()}
+    assert cached_vectors(now, path, "m1").count() == 3  # a second call adds nothing
     want = {r.doc_id: (r.terms, r.tf) for r in encode_terms(now, "text").collect()}
     assert vectors == want
     assert read_cache(spark, path, "m1").count() == 4  # a, b, changed b, c
@@ -143,6 +143,14 @@ def test_two_stage_invariants(spark):
     assert {r[0] for r in runs.select("tag").distinct().collect()} == {"bi-encoder", "cross-encoder"}
 
 
+def test_topics_are_cleaned_before_one_text_is_chosen(spark):
+    from rankweave.operators.retrieve import prepare_topics
+
+    rows = [("q1", ""), ("q1", "Hello!"), ("q2", "?"), ("q3", "b"), ("q3", "a"), ("", "x"), (None, "y")]
+    topics = spark.createDataFrame(rows, "query_id string, query string")
+    assert {tuple(r) for r in prepare_topics(topics, True).collect()} == {("q1", "hello"), ("q3", "a")}
+
+
 def test_two_stage_with_user_models(spark):
     def make_encoder():
         return lambda texts: np.array([[t.count("a") + 1, t.count("b")] for t in texts], dtype=np.float32)

@@ -58,11 +58,48 @@ def test_run_file_round_trip(spark, tmp_path):
     path = str(tmp_path / "run")
     writers.write_run(run, path)
     lines = [r.value for r in spark.read.text(path).collect()]
-    assert "q\tQ0\td0\t1\t1.000000000000\tt" in lines
+    assert "q\tQ0\td0\t1\t1.0\tt" in lines
     back = readers.read_run(spark, path)
     assert {(r.doc_id, r["rank"]) for r in back.collect()} == {(d, n) for _, d, n, _, _ in rows}
 
 
+def test_tiny_scores_survive_a_run_file(spark, tmp_path):
+    rows = [("q", "a", 1, 3e-13, "t"), ("q", "b", 2, 1e-14, "t"), ("q", "c", 3, 0.1 + 0.2, "t")]
+    path = str(tmp_path / "run")
+    writers.write_run(spark.createDataFrame(rows, "query_id string, doc_id string, rank int, score double, tag string"), path)
+    assert {(r.doc_id, r.score) for r in readers.read_run(spark, path).collect()} == {(d, s) for _, d, _, s, _ in rows}
+
+
+@pytest.mark.parametrize("bad", ["q\tQ0\td\t1\tabc\tt", "q\tQ0\td", "q Q0 d 1 0.5 t", "q\tQ0\td\tx\t0.5\tt", "q\tQ0\td\t1\tNaN\tt", ""])
+def test_malformed_run_lines(spark, tmp_path, bad):
+    path = _file(tmp_path, "run", f"q\tQ0\ta\t1\t0.5\tt\n{bad}\nq\tQ0\tb\t2\t0.25\tt\n")
+    with pytest.raises(PySparkException):
+        readers.read_run(spark, path).collect()
+    seen = Observation("runs")
+    kept = readers.read_run(spark, path, depth=10, mode="permissive", observation=seen)
+    assert {r.doc_id for r in kept.collect()} == {"a", "b"}
+    assert seen.get["bad_lines"] == 1
+
+
+def test_the_whole_range_of_grades(spark, tmp_path):
+    path = _file(tmp_path, "q.tsv", "q 0 a 2147483647\nq 0 b 2147483648\nq 0 c -1\n")
+    assert _set(readers.parse_qrel(spark, path, mode="permissive")) == {("q", "a", 2147483647), ("q", "c", -1)}
+
+
+def test_raw_files(spark, tmp_path):
+    topics = [{"Id": "1", "Title": "T", "Body": "<p>b</p>"}, {"Id": "2", "Title": "U"}]
+    array = _file(tmp_path, "t.json", json.dumps(topics))
+    lines = _file(tmp_path, "t.jsonl", "\n".join(map(json.dumps, topics)))
+    want = {("1", "[TITLE] T [BODY] b"), ("2", "[TITLE] U [BODY]")}
+    assert _set(pairs.compose_topics(readers.read_raw(spark, array, "topics", "array"))) == want
+    assert _set(pairs.compose_topics(readers.read_raw(spark, lines, "topics"))) == want
+    answers = _file(tmp_path, "a.jsonl", '{"Id": "a", "Text": "x"}\n{"Id": "b"}\n{"Text": "y"}\n')
+    assert _set(readers.load_raw_answers(spark, answers)) == {("a", "x")}
+    mixed = _file(tmp_path, "m.json", json.dumps([{"query_id": "q", "query": "Q?"}, {"Id": "i", "Title": "T"}]))
+    read = readers.read_raw(spark, mixed, "mixed topics", "array")
+    assert _set(pairs.resolve_topics(read, clean_queries=False)) == {("q", "Q?"), ("i", "T")}
+
+
 def test_whitespace_run(spark, tmp_path):
     path = _file(tmp_path, "run", "q Q0  a 9 0.5 t\nq\tQ0\tb 3   0.5 t\nq Q0 c 1 0.75 t\nq Q0 a 9 0.1 t\n")
     back = readers.read_run(spark, path, whitespace=True).orderBy("rank")
@@ -73,20 +110,65 @@ def _pairs(spark, rows):
     return spark.createDataFrame(rows, "query string, query_id string, doc string, doc_id string, score int")
 
 
-def test_groups_are_cut_into_bounded_parts(spark):
-    rows = [("hot", "h", f"t{i}", f"d{i}", i % 2) for i in range(500)]
+def test_choices_of_a_large_group(spark):
+    rows = [("hot", "h", f"t{i}", f"d{i}", int(i == 7)) for i in range(3000)]
     rows += [("q", "one", "p", "a", 2), ("q", "one", "n", "b", 0), ("x", "pos", "p", "a", 1), ("y", "neg", "n", "a", 0), ("q", "one", "m", "c", -1)]
-    groups = pairs.pos_neg_groups(_pairs(spark, rows), group_docs=50).collect()
-    assert {g.query_id for g in groups} == {"h", "one"}
-    hot = [g for g in groups if g.query_id == "h"]
-    assert len(hot) == 10 and max(len(g.positive) + len(g.negative) for g in hot) < 100
-    assert sorted(d for g in hot for d in g.positive) == sorted(f"t{i}" for i in range(1, 500, 2))
-    one = next(g for g in groups if g.query_id == "one")
-    assert (one.positive, one.negative) == (["p"], ["n"])
+    choices = pairs.ranked_choices(_pairs(spark, rows))
+    sizes = {(r.query_id, r.n_positive, r.n_negative): r["count"] for r in choices.groupBy("query_id", "n_positive", "n_negative").count().collect()}
+    assert sizes == {("h", 1, 2999): 3000, ("one", 1, 1): 2}
+    assert [r.doc_id for r in choices.where("positive and query_id = 'h'").collect()] == ["d7"]
     with pytest.raises(ValueError):
         pairs.require_choices(pairs.ranked_choices(_pairs(spark, rows).where("query_id = 'pos'")))
 
 
+def test_scaled_labels_without_a_positive_grade(spark):
+    labelled = pairs.graded_labels(_pairs(spark, [("q", "1", "d", "a", 0)]), scale_labels=True)
+    assert labelled.first().label == 0.0
+
+
+def test_last_wins_with_null_keys(spark):
+    from rankweave.operators.dedup import keep_last
+
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), (None, 2, "z"), (None, 5, "w")], "k string, at int, v string")
+    assert _set(keep_last(df, ["k"], F.col("at"))) == {("a", 3, "y"), (None, 5, "w")}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from rankweave import session
+
+    conf = {}
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: conf.get(k, d)))
+    with pytest.raises(ValueError):
+        session.scratch_base(cluster)
+    conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert session.scratch_base(cluster) == "hdfs://shared"
+    context.getCheckpointDir = lambda: "hdfs://own"
+    assert session.scratch_base(cluster) == "hdfs://own"
+
+
+def test_scratch_scope_removes_its_tables(spark):
+    from rankweave import session
+
+    with session.scratch_scope(spark):
+        session.staged(spark.range(3), "gone")
+        path = session.scratch_path(spark, "kept-by-name")
+        spark.range(2).write.parquet(path)
+        assert spark.read.parquet(path).count() == 2
+    with pytest.raises(PySparkException):
+        spark.read.parquet(path)
+
+
+def test_first_stage_scores_of_pairs(spark):
+    topics = spark.createDataFrame([("q", "a b b"), ("r", "z")], "query_id string, query string")
+    answers = spark.createDataFrame([("d", "b c"), ("e", "")], "doc_id string, text string")
+    ids = spark.createDataFrame([("q", "d"), ("q", "e"), ("r", "d")], "query_id string, doc_id string")
+    got = {(r.query_id, r.doc_id): r.bi_score for r in rerank.with_bi_scores(ids, topics, answers).collect()}
+    assert got == {("q", "d"): pytest.approx(2 / (5**0.5 * 2**0.5)), ("q", "e"): 0.0, ("r", "d"): 0.0}
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_salted_join_equals_the_plain_join(spark, how):
     many = spark.range(3000).select(
