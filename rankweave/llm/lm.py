@@ -23,6 +23,8 @@ END = b""
 #: Training documents by slice: each is used once, in growing rounds with an average after each.
 SLICES, ROUNDS = 16, (range(0, 1), range(1, 4), range(4, 9), range(9, 16))
 TRAIN_LANES, TRAIN_STEPS, RATE = 128, 16, 0.1
+#: Symbols of a document that are trained on in one go; all of them are used.
+SEGMENT = 2_048
 SCORE_LANES, SCORE_STEPS = 384, 24
 #: Symbols that a task lays out at a time.
 CHUNK = 4_000_000
@@ -163,7 +165,9 @@ def _trained(encoded: DataFrame, model: Gru, slices: range, end: int) -> np.ndar
         own, seen = shared.value, 0
         for columns, documents in _chunks(batches):
             mine = [d for i, d in zip(columns["doc_ids"], documents) if fold(i) != HELD_OUT and slice_of(i) in slices]
-            # No more lanes than end together: windows of one long document would pull the model its way.
+            # Long documents are cut for training, and there are no more lanes than end together: windows of
+            # one document alone would pull the model its way.
+            mine = [part for d in mine for part in np.split(d, range(SEGMENT, len(d), SEGMENT))]
             number = max(1, min(TRAIN_LANES, sum(map(len, mine)) // max(map(len, mine), default=1)))
             state = None
             for inputs, starts, targets, owner in windows(mine, number, TRAIN_STEPS, end):
