@@ -199,23 +199,23 @@ def near_duplicate_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return near_duplicates(prints).select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest id of every component, columns unchanged.
+def keep_first(named: DataFrame, component: list[str], docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of ``docs`` with the smallest id of every component, columns unchanged.
 
-    Of rows that share this id, the one with the smallest text hash stays, of repeated rows any one. Null
-    ids come last. Only the ids and hashes kept meet the texts, by id, so a large group of copies is
-    never gathered.
+    ``named`` has doc_id, text_hash and the columns ``component`` for every row. Of rows that share this
+    id, the one with the smallest text hash stays, of repeated rows any one. Null ids come last. Only the
+    ids and hashes kept meet the texts, by id, so a large group of copies is never gathered.
     """
-    prints = staged(fingerprints(docs, doc_id, text), "simhash")
-    ranked = near_duplicates(prints).withColumn("_first", F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "text_hash"))
-    kept = ranked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("_alone")).agg(F.min("_first").alias("_first"))
-    keys = staged(kept.select(_row_key("_first.doc_id", "_first.text_hash")).distinct(), "kept")
-    keyed = docs.withColumns({"_hash": F.xxhash64(text), "_id": F.col(doc_id)}).withColumn("_key", _row_key("_id", "_hash"))
+    ranked = named.withColumn("_first", F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "text_hash"))
+    kept = ranked.groupBy(*component).agg(F.min("_first").alias("_first"))
+    keys = staged(kept.select(row_key("_first.doc_id", "_first.text_hash")).distinct(), "kept")
+    keyed = docs.withColumns({"_hash": F.xxhash64(text), "_id": F.col(doc_id)}).withColumn("_key", row_key("_id", "_hash"))
     once = Window.partitionBy("_key").orderBy(text)
     wanted = keyed.join(keys, "_key", "left_semi").withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
     return wanted.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _row_key(doc_id: str, text_hash: str) -> Column:
+def row_key(doc_id: str, text_hash: str | Column) -> Column:
     """A key that is never null, so that the join and the numbering after it share one shuffle."""
-    return F.concat_ws("|", F.col(text_hash).cast("string"), F.col(doc_id).cast("string")).alias("_key")
+    hashed = F.col(text_hash) if isinstance(text_hash, str) else text_hash
+    return F.concat_ws("|", hashed.cast("string"), F.col(doc_id).cast("string")).alias("_key")
