@@ -58,19 +58,55 @@ def line_fingerprints(sequences: DataFrame, gram_words: int = GRAM_WORDS, run_wo
     return rows.select(F.col("picked.gram").alias("gram"), "key", "place", (-F.col("picked.back")).alias("at"))
 
 
+def line_passages(sequences: DataFrame, marks: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """(gram, key, place, at): the shortest runs of ``run_words`` words from each line on, and up to each line.
+
+    Every line of a longer run is in one of these that lies inside the run. ``marks`` has the lines of each
+    document at which a repeated fingerprint begins; a run without one occurs once, and is left out.
+    """
+    marked = sequences.join(marks.hint("merge"), "key")
+    rows = marked.select("key", "place", "marks", F.posexplode("lines").alias("at", "line"))
+    words = F.col("line.w").cast("long").alias("w")
+    rows = rows.select("key", "place", "at", F.col("line.h").alias("h"), words, F.array_contains("marks", F.col("at")).alias("mark"))
+    rows = rows.withColumn("end", F.sum("w").over(Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("c", F.col("end") - F.col("w"))
+    down = Window.partitionBy("key").orderBy("c").rangeBetween(0, run_words - 1)
+    up = Window.partitionBy("key").orderBy("end").rangeBetween(-(run_words - 1), 0)
+
+    def run(frame) -> Column:
+        whole = (F.sum("w").over(frame) >= run_words) & F.max("mark").over(frame)
+        gram = F.unhex(F.md5(F.array_join(F.collect_list("h").over(frame), "").cast("binary")))
+        return F.when(whole, F.struct(gram.alias("gram"), F.min("at").over(frame).alias("at")))
+
+    rows = rows.select("key", "place", run(down).alias("down"), run(up).alias("up"))
+    both = rows.select("key", "place", F.explode(F.array_distinct(F.array("down", "up"))).alias("run")).where("run is not null")
+    return both.select("run.gram", "key", "place", "run.at").distinct()
+
+
+def first_places(places: DataFrame) -> DataFrame:
+    """(gram, home_key, home_at) of the grams that have several places."""
+    first = places.groupBy("gram").agg(F.min(F.struct("place", "at", "key")).alias("home"), F.count(F.lit(1)).alias("n"))
+    return first.where("n > 1").select("gram", F.col("home.key").alias("home_key"), F.col("home.at").alias("home_at"))
+
+
 def repeated_runs(sequences: DataFrame, gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """(key, runs): the ranges of line numbers to delete, for documents that have any.
 
     Each occurrence of a fingerprint is laid against its first occurrence alone, so a fingerprint found
-    in very many documents gives one row for each of them. Along that diagonal both documents are
-    compared line by line, and runs of equal lines with ``run_words`` words or more are deleted from the
-    later one. Every deleted line has an equal line at an earlier place, so the first one stays. Joins with
-    lines or texts are sort-merge joins at every size: neither side of them has a bound.
+    in very many documents gives one row for each of them. That occurrence may stand in another, shorter
+    run; so the shortest runs of ``run_words`` words around repeated fingerprints are laid against their
+    own first occurrences too, and no repeated run of ``run_words`` words is missed. Along a diagonal
+    both documents are compared line by line, and runs of equal lines with ``run_words`` words or more are
+    deleted from the later one. Every deleted line has an equal line at an earlier place, so the first one
+    stays. Joins with lines or texts are sort-merge joins at every size: neither side of them has a bound.
     """
     prints = staged(line_fingerprints(sequences, gram_words, run_words), "line-fingerprints")
-    first = prints.groupBy("gram").agg(F.min(F.struct("place", "at", "key")).alias("home"), F.count(F.lit(1)).alias("n"))
-    homes = staged(first.where("n > 1").select("gram", F.col("home.key").alias("home_key"), F.col("home.at").alias("home_at")), "line-homes")
-    later = prints.join(homes, "gram").where("key <> home_key or at <> home_at")
+    repeated = staged(prints.join(staged(first_places(prints), "line-homes"), "gram"), "line-repeated")
+    marks = repeated.groupBy("key").agg(F.collect_set("at").alias("marks"))
+    passages = staged(line_passages(sequences, marks, run_words), "line-passages")
+    whole = passages.join(staged(first_places(passages), "passage-homes"), "gram")
+    columns = ["key", "at", "home_key", "home_at"]
+    later = repeated.select(*columns).unionByName(whole.select(*columns)).where("key <> home_key or at <> home_at")
     diagonals = staged(later.select("key", "home_key", (F.col("at") - F.col("home_at")).alias("shift")).distinct(), "line-diagonals")
     own = sequences.select("key", "lines")
     home = sequences.select(F.col("key").alias("home_key"), F.col("lines.h").alias("home_h"))

@@ -47,6 +47,20 @@ def test_a_line_in_most_documents_is_one_pair_each(spark):
     assert sum(n for _, _, n in got) == 299 and next(n for i, _, n in got if i == 0) == 0
 
 
+def test_a_run_whose_lines_first_occur_apart_goes(spark):
+    a, b = _line(1, 30), _line(2, 30)
+    rows = [(1, a), (2, b)] + [(i, f"{a}\n{b}") for i in range(3, 9)]
+    assert _cut(spark, rows) == sorted([(1, a, 0), (2, b, 0), (3, f"{a}\n{b}", 0)] + [(i, "", 2) for i in range(4, 9)], key=str)
+
+
+def test_both_ends_of_a_repeated_run_go_with_it(spark):
+    head, long, tail = _line(3, 10), _line(4, 55), _line(5, 10)
+    whole = f"{head}\n{long}\n{tail}"
+    # the long line occurs first on its own, the ends beside it only from document 2 on
+    rows = [(1, f"own\n{long}\nelse"), (2, whole), (3, f"x\n{whole}\ny")]
+    assert _cut(spark, rows) == sorted([(1, f"own\n{long}\nelse", 0), (2, f"{head}\n{tail}", 1), (3, "x\ny", 3)], key=str)
+
+
 def test_dedup_plan_is_native(spark, small_dir):
     plan = QUERIES["op4_lines"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "InArrow", "CartesianProduct", "NestedLoop"))
