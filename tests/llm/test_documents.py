@@ -78,6 +78,18 @@ def test_packing(spark, documents):
     assert len(filled) == -(-sum(r["length"] for r in got) // 4096)
 
 
+def test_packing_takes_added_tokens_as_the_library_does(spark):
+    texts = ["hello <|endoftext|> world", "a<|startoftext|>b", "<|ENDOFTEXT|> x", "<|endoftext|>", "<| endoftext |>", "Plain"]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    want = {}
+    for i, t in enumerate(texts):
+        ids = library.encode(t, add_special_tokens=False).ids + [1]
+        want[i] = len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    pieces = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path)
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in pieces.collect()} == want
+
+
 def test_configurations_hold_every_piece_once():
     rng = np.random.default_rng(3)
     lengths, counts = np.unique(np.minimum(rng.geometric(0.004, 3000), 512), return_counts=True)
