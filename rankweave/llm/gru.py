@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 HIDDEN = 16
-#: Words of a class of frequent words.
+#: Words of a class of frequent words, at least.
 CLASS_WORDS = 64
 #: Steps times lanes that are laid out at a time.
 CELLS = 1 << 24
@@ -34,21 +34,23 @@ def _log_of(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 class Gru:
     """Log-probabilities of symbols ``0 .. words + rest - 1``.
 
-    Symbols below ``words`` are frequent words in classes of ``CLASS_WORDS``, in order of frequency;
+    Symbols below ``words`` are frequent words in classes of ``CLASS_WORDS``, of about
+    the root of their number where that is more, in order of frequency;
     each of the ``rest`` symbols is a class of its own. ``counts`` sets the biases to the symbols'
     frequencies, where training starts from.
     """
 
     def __init__(self, counts: np.ndarray, words: int, rest: int, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.words, self.frequent = words, -(-words // CLASS_WORDS)
+        self.class_words = max(CLASS_WORDS, int(np.sqrt(words)))
+        self.words, self.frequent = words, -(-words // self.class_words)
         symbols, classes = words + rest, self.frequent + rest
-        of_word = np.arange(words) // CLASS_WORDS
+        of_word = np.arange(words) // self.class_words
         self.class_of = np.concatenate([of_word, self.frequent + np.arange(rest)])
         smooth = counts + 0.5
         per_class = np.bincount(self.class_of, weights=smooth, minlength=classes)
-        inside = np.full((self.frequent, CLASS_WORDS), -30.0)
-        inside[of_word, np.arange(words) % CLASS_WORDS] = np.log(smooth[:words] / per_class[of_word])
+        inside = np.full((self.frequent, self.class_words), -30.0)
+        inside[of_word, np.arange(words) % self.class_words] = np.log(smooth[:words] / per_class[of_word])
 
         def small(*shape: int) -> np.ndarray:
             return rng.normal(0, 0.1, shape).astype(np.float32)
@@ -59,7 +61,7 @@ class Gru:
             "gates": np.zeros(3 * HIDDEN, dtype=np.float32),
             "classes": small(HIDDEN, classes) * 0,
             "class_bias": np.log(per_class / per_class.sum()).astype(np.float32),
-            "inside": small(self.frequent, HIDDEN, CLASS_WORDS) * 0,
+            "inside": small(self.frequent, HIDDEN, self.class_words) * 0,
             "inside_bias": inside.astype(np.float32),
         }
         self.squares = {k: np.full_like(v, 1e-4) for k, v in self.p.items()}
@@ -111,7 +113,7 @@ class Gru:
         h, wanted = after.reshape(-1, HIDDEN), targets.ravel()
         out = _log_of(h @ self.p["classes"] + self.p["class_bias"], self.class_of[wanted]).astype(np.float64)
         for c, at in self._groups(wanted):
-            out[at] += _log_of(h[at] @ self.p["inside"][c] + self.p["inside_bias"][c], wanted[at] % CLASS_WORDS)
+            out[at] += _log_of(h[at] @ self.p["inside"][c] + self.p["inside_bias"][c], wanted[at] % self.class_words)
         return out.reshape(targets.shape), state
 
     def train(self, inputs, starts, targets, live, state, rate: float, full: int) -> np.ndarray:
@@ -120,7 +122,7 @@ class Gru:
         before, after, gates, new, inner, state = self._forward(inputs, starts, state)
         p, h, wanted, on = self.p, after.reshape(-1, HIDDEN), targets.ravel(), live.ravel()
         scale = np.float32(1 / full)
-        d = {k: np.zeros_like(v) for k, v in p.items() if k in ("inside", "inside_bias")}
+        d, met, weights, biases = {}, [], [], []
         err = _softmax(h @ p["classes"] + p["class_bias"])
         err[np.arange(len(h)), self.class_of[wanted]] -= 1
         err *= on[:, None] * scale
@@ -129,9 +131,11 @@ class Gru:
         for c, at in self._groups(wanted):
             hc = h[at]
             err = _softmax(hc @ p["inside"][c] + p["inside_bias"][c])
-            err[np.arange(len(at)), wanted[at] % CLASS_WORDS] -= 1
+            err[np.arange(len(at)), wanted[at] % self.class_words] -= 1
             err *= on[at][:, None] * scale
-            d["inside"][c], d["inside_bias"][c] = hc.T @ err, err.sum(axis=0)
+            met.append(c)
+            weights.append(hc.T @ err)
+            biases.append(err.sum(axis=0))
             dh[at] += err @ p["inside"][c].T
         dh = dh.reshape(after.shape)
         dx = np.empty((*inputs.shape, 3 * HIDDEN), dtype=np.float32)
@@ -150,13 +154,17 @@ class Gru:
         d["gates"] = flat.sum(axis=0)
         d["state"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
         used, sums = _summed(inputs.ravel(), flat)
-        size = np.sqrt(sum(float((v * v).sum()) for v in d.values()) + float((sums * sums).sum()))
+        parts = {"input": (used, sums)}
+        if met:
+            parts |= {"inside": (met, np.stack(weights)), "inside_bias": (met, np.stack(biases))}
+        size = np.sqrt(sum(float((v * v).sum()) for v in [*d.values(), *(v for _, v in parts.values())]))
         rate *= min(1.0, 1.0 / max(size, 1e-9))
         for k, v in d.items():
             self.squares[k] += v * v
             p[k] -= rate * v / np.sqrt(self.squares[k])
-        self.squares["input"][used] += sums * sums
-        p["input"][used] -= rate * sums / np.sqrt(self.squares["input"][used])
+        for k, (at, v) in parts.items():
+            self.squares[k][at] += v * v
+            p[k][at] -= rate * v / np.sqrt(self.squares[k][at])
         return state
 
 

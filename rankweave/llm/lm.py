@@ -17,14 +17,13 @@ from rankweave.llm.gru import Gru, windows
 from rankweave.session import staged
 
 FOLDS, HELD_OUT = 7, 2
-#: Frequent words with a symbol of their own, and symbols that all other words share by their ending.
-WORDS, REST = 1_024, 64
+#: The fewest symbols for frequent words and document ends, of how many distinct training words one has a
+#: symbol of its own where that is more, and symbols that all other words share by their ending.
+WORDS, SHARE, REST = 4_095, 16, 64
 END = b""
 #: Training documents by slice: each is used once, in growing rounds with an average after each.
 SLICES, ROUNDS = 16, (range(0, 1), range(1, 4), range(4, 9), range(9, 16))
-TRAIN_LANES, TRAIN_STEPS, RATE = 128, 16, 0.1
-#: Symbols of a document that are trained on in one go; all of them are used.
-SEGMENT = 2_048
+TRAIN_LANES, TRAIN_STEPS, RATE = 128, 24, 0.1
 SCORE_LANES, SCORE_STEPS = 384, 24
 #: Symbols that a task lays out at a time.
 CHUNK = 4_000_000
@@ -41,9 +40,21 @@ def slice_of(doc_id: object) -> int:
     return zlib.crc32(b"slice%a" % (doc_id,)) % SLICES
 
 
-def rest_symbol(word: bytes) -> int:
-    """Of a word without a symbol of its own: a hash of its last two characters."""
-    return WORDS + zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % REST
+def own_symbols(distinct: int) -> int:
+    """Symbols for single words, and the end, of a corpus with so many distinct training words."""
+    return max(WORDS, distinct // SHARE)
+
+
+def rest_of(word: bytes) -> int:
+    """Which of the ``REST`` symbols a word without its own has: a hash of its last two characters."""
+    return zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % REST
+
+
+def training_windows(documents: list[np.ndarray], end: int) -> tuple[int, Iterator[tuple]]:
+    """Lanes and windows to train on whole documents, the state kept to each one's end. There are no more
+    lanes than end together: windows of one document alone would pull the model its way."""
+    number = max(1, min(TRAIN_LANES, sum(map(len, documents)) // max(map(len, documents), default=1)))
+    return number, windows(documents, number, TRAIN_STEPS, end)
 
 
 REST_TYPE = pa.list_(pa.struct([("symbol", pa.int32()), ("tokens", pa.int64()), ("words", pa.int64())]))
@@ -89,13 +100,12 @@ def _counted(words: DataFrame) -> DataFrame:
             (block.as_py(), numbers.as_py(), pack_ints(np.array([total[w] for w in word_list(body.as_py())])), body.as_py(), *[None] * 5)
             for block, numbers, body in zip(bucket["block"], bucket["numbers"], bucket["body"])
         ]
-        top = sorted(((w, c) for w, c in total.items() if c and w != END), key=lambda x: (-x[1], x[0]))[:WORDS]
-        named = [{"word": w, "count": c} for w, c in top]
+        named = [{"word": w, "count": c} for w, c in total.items() if c and w != END]
         seen, different = np.zeros((2, REST), dtype=np.int64)
         for word, c in total.items():
             if c and word != END:
-                seen[rest_symbol(word) - WORDS] += c
-                different[rest_symbol(word) - WORDS] += 1
+                seen[rest_of(word)] += c
+                different[rest_of(word)] += 1
         rest = [{"symbol": k, "tokens": int(seen[k]), "words": int(different[k])} for k in range(REST)]
         rows.append((None, None, None, None, sum(total.values()), sum(c > 0 for c in total.values()), total.get(END, 0), rest, named))
         kinds = [pa.string(), pa.binary(), pa.binary(), pa.binary(), *[pa.int64()] * 3, REST_TYPE, TOP_TYPE]
@@ -105,7 +115,7 @@ def _counted(words: DataFrame) -> DataFrame:
     return words.groupBy("bucket").applyInArrow(count, schema)
 
 
-def _encoded(documents: DataFrame, counted: DataFrame, symbols: dict[bytes, int], tokens: int, words: int, rest: np.ndarray) -> DataFrame:
+def _encoded(documents: DataFrame, counted: DataFrame, symbols: dict[bytes, int], own_number: int, tokens: int, words: int, rest: np.ndarray) -> DataFrame:
     """Documents as symbols, with what their words alone give to the scores."""
     id_type = documents.schema["doc_ids"].dataType.simpleString()
     schema = f"doc_ids {id_type}, counts array<int>, known array<long>, base array<double>, rest array<double>, symbols binary"
@@ -120,11 +130,11 @@ def _encoded(documents: DataFrame, counted: DataFrame, symbols: dict[bytes, int]
             for word in word_list(body.as_py()):
                 found = symbols.get(word)
                 own.append(found is not None)
-                symbol.append(rest_symbol(word) if found is None else found)
+                symbol.append(own_number + rest_of(word) if found is None else found)
         order = np.argsort(np.concatenate(numbers))
         count, symbol, own = np.concatenate(counts)[order], np.array(symbol)[order], np.array(own)[order]
         base = np.log10((count + 1) / (tokens + words + 1))
-        inside = np.where(own, 0, np.log10((count + 1) / (rest[np.where(own, 0, symbol - WORDS)] + 1)))
+        inside = np.where(own, 0, np.log10((count + 1) / (rest[np.where(own, 0, symbol - own_number)] + 1)))
         rows = []
         for doc_ids, sizes, body in zip(documents["doc_ids"], documents["counts"], documents["body"]):
             at, sizes = unpack_ints(body.as_py()), sizes.values.to_numpy()
@@ -165,12 +175,8 @@ def _trained(encoded: DataFrame, model: Gru, slices: range, end: int) -> np.ndar
         own, seen = shared.value, 0
         for columns, documents in _chunks(batches):
             mine = [d for i, d in zip(columns["doc_ids"], documents) if fold(i) != HELD_OUT and slice_of(i) in slices]
-            # Long documents are cut for training, and there are no more lanes than end together: windows of
-            # one document alone would pull the model its way.
-            mine = [part for d in mine for part in np.split(d, range(SEGMENT, len(d), SEGMENT))]
-            number = max(1, min(TRAIN_LANES, sum(map(len, mine)) // max(map(len, mine), default=1)))
-            state = None
-            for inputs, starts, targets, owner in windows(mine, number, TRAIN_STEPS, end):
+            state, (number, laid) = None, training_windows(mine, end)
+            for inputs, starts, targets, owner in laid:
                 state = own.blank(inputs) if state is None else state
                 state = own.train(inputs, starts, targets, owner >= 0, state, RATE, number * TRAIN_STEPS)
                 seen += int((owner >= 0).sum())
@@ -235,7 +241,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Documents of one fold of their ids are held out: they are scored by counts and a model that come
     from all the others. ``base_score`` is the add-one unigram score. ``score`` is that of the recurrent
-    model: symbols for the ``WORDS`` most frequent words, and ``REST`` symbols for all others, inside
+    model: symbols for the ``own_symbols`` most frequent words, and ``REST`` symbols for all others, inside
     each of which a word has its add-one share, with one share for all unknown words. Null and empty texts are an end alone. Rows that repeat an id are documents of
     their own; other columns are not read.
 
@@ -249,21 +255,22 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     counted = staged(_counted(blocks.where("bucket is not null")), "lm-counts")
     totals = counted.where("block is null").agg(F.sum("tokens"), F.sum("known"), F.sum("ends")).first()
     tokens, words, ends = (int(v or 0) for v in totals)
-    listed = counted.where("block is null").select(F.inline("top")).orderBy(F.desc("count"), "word").limit(WORDS - 1).collect()
+    own_number = own_symbols(words)
+    listed = counted.where("block is null").select(F.inline("top")).orderBy(F.desc("count"), "word").limit(own_number - 1).collect()
     symbols = {END: 0} | {bytes(r["word"]): i for i, r in enumerate(listed, 1)}
     # What each rest symbol has of tokens and different words, without those that have their own symbol.
     rest = np.zeros((2, REST), dtype=np.int64)
     for r in counted.where("block is null").select(F.inline("rest")).groupBy("symbol").agg(F.sum("tokens"), F.sum("words")).collect():
         rest[:, r[0]] = r[1:]
     for r in listed:
-        rest[:, rest_symbol(bytes(r["word"])) - WORDS] -= (r["count"], 1)
+        rest[:, rest_of(bytes(r["word"]))] -= (r["count"], 1)
     documents = blocks.where("bucket is null").select("block", "doc_ids", "counts", "body")
     rows = counted.where("block is not null").select("block", "numbers", "counts", "words")
-    encoded = staged(_encoded(documents, rows, symbols, tokens, words, rest.sum(axis=0)), "lm-symbols")
-    counts = np.zeros(WORDS + REST)
+    encoded = staged(_encoded(documents, rows, symbols, own_number, tokens, words, rest.sum(axis=0)), "lm-symbols")
+    counts = np.zeros(own_number + REST)
     counts[0], counts[1 : len(listed) + 1] = ends, [r["count"] for r in listed]
-    counts[WORDS:] = rest[0]
-    model = Gru(counts, WORDS, REST)
+    counts[own_number:] = rest[0]
+    model = Gru(counts, own_number, REST)
     for slices in ROUNDS:
         model.load(_trained(encoded, model, slices, 0))
     return _scored(encoded, model, 0, tokens)

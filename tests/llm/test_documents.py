@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from rankweave.llm import byte_bpe, gru, packing, pipeline, quality, simhash, sharding
+from rankweave.llm import byte_bpe, gru, lm, packing, pipeline, quality, simhash, sharding
 from rankweave.llm.queries import QUERIES
 
 SPACES = "[^\x20\x09-\x0d]+"
@@ -129,6 +129,20 @@ def test_language_model_beats_the_unigram_score_on_held_out_documents(spark):
     assert model > base
 
 
+def test_own_symbols_grow_with_the_words_and_training_keeps_the_state_of_long_documents():
+    assert lm.own_symbols(10) == 4_095 and lm.own_symbols(10_000_000) == 625_000
+    grown = gru.Gru(np.ones(10_064), 10_000, 64)
+    assert grown.class_words == 100 and grown.frequent == 100
+    lengths = [5_000, 7, 2_100]
+    number, laid = lm.training_windows([np.arange(n) for n in lengths], 0)
+    begun, seen = 0, np.zeros(3, dtype=int)
+    for inputs, starts, _, owner in laid:
+        assert len(inputs) <= 24
+        begun += int((starts & (owner >= 0)).sum())
+        seen += np.bincount(owner[owner >= 0], minlength=3)
+    assert begun == 3 and seen.tolist() == lengths and number == 1
+
+
 def test_the_recurrent_model_is_a_distribution_and_its_gradient_is_right():
     model = gru.Gru(np.arange(1.0, 81.0)[::-1], 70, 10)
     rng = np.random.default_rng(1)
