@@ -31,9 +31,12 @@ IDENTIFIER = re.compile(r"[A-Za-z0-9]+(?:[ -]?[A-Za-z0-9]+)*")
 SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])")
 ACCOUNT = re.compile(r"[A-Za-z0-9]{0,4}[0-9]{6,20}(?![A-Za-z0-9])")
-SECRET = re.compile(r"[A-Za-z0-9+/_-]{16,256}={0,2}(?![A-Za-z0-9+/_=-])")
+SECRET = re.compile(r"[A-Za-z0-9+/_-]{16,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 
-#: Cues and the kind that may follow each.
+#: A-Z in lower case, all else as it is, so that places stay the same.
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+#: Cues and the kind that may follow each, in any case; their words may be parted by space, hyphen or underscore.
 CUES = {
     "iban": "iban",
     "ssn": "ssn",
@@ -61,8 +64,8 @@ def anchors() -> ahocorasick.Automaton:
     for sign, use in [("@", "at"), ("+", "plus"), ("://", "scheme"), *((d, "digit") for d in DIGITS)]:
         found.add_word(sign, (use, len(sign)))
     for cue, kind in CUES.items():
-        for written in (cue, cue.capitalize(), cue.upper()):
-            found.add_word(written, (kind, len(cue)))
+        for written in {cue, *(cue.replace("_", " ").replace(" ", mark) for mark in " _-")}:
+            found.add_word(written, (kind, len(written)))
     found.make_automaton()
     return found
 
@@ -171,7 +174,7 @@ def find_spans(text: str | None) -> list[Span]:
         return []
     out: dict[str, list[Span]] = {kind: [] for kind in KINDS}
     email_end = number_end = phone_end = 0
-    for last, (use, size) in anchors().iter(text):
+    for last, (use, size) in anchors().iter(text.translate(LOWER)):
         at = last - size + 1
         if use == "digit":
             if at >= number_end:

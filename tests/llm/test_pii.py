@@ -81,3 +81,18 @@ def test_query_on_odd_rows(spark, tmp_path):
     got = sorted(QUERIES["op8_pii"](spark, path).collect(), key=str)
     assert [r.doc_id for r in got] == [1, 1, 2, 3, None]
     assert got[0].spans == "email:0:5,ip:6:13" and got[3].spans == "email:50000:50005" and got[4].n_ip == 0
+
+
+@pytest.mark.parametrize(
+    "text,kind,value",
+    [
+        ("Social Security Number: 123-45-6789", "account", "123-45-6789"),
+        ("Social-Security 123-45-6789", "account", "123-45-6789"),
+        ("API key: 9b0b3c6a43eb78aa99cb", "secret", "9b0b3c6a43eb78aa99cb"),
+        ("ApiKey=9b0b3c6a43eb78aa99cb", "secret", "9b0b3c6a43eb78aa99cb"),
+        ("\u0130 Api-Key: 9b0b3c6a43eb78aa99cb", "secret", "9b0b3c6a43eb78aa99cb"),
+        ("token: " + "a1" * 400, "secret", "a1" * 400),
+    ],
+)
+def test_cues_in_any_spelling_and_long_secrets(text, kind, value):
+    assert [(s.kind, text[s.start : s.end]) for s in pii.find_spans(text)] == [(kind, value)]
