@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import byte_bpe, lines, lm, packing, pii, pipeline, quality, sharding, simhash, urls, vectors
+from rankweave.llm import byte_bpe, lines, lm, packing, pii, pipeline, quality, sharding, simhash, tokenfile, urls, vectors
+from rankweave.session import scratch_path
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -78,6 +79,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"stats.{c}" for c in named], "base_failed", "kept", "quality")
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenfile.write_ids(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return tokenfile.read_documents(spark, path, digests=True)
+
+
 OP9_SQL = r"""
 WITH parts AS (
   SELECT page_id,
@@ -150,6 +157,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_quality": op10_quality,
+    "op13_token_files": op13_token_files,
     "pipeline": pipeline.run,
 }
 
