@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import byte_bpe, lines, lm, packing, pii, pipeline, quality, sharding, simhash, tokenfile, urls, vectors
+from rankweave.llm import alignment, byte_bpe, lines, lm, packing, pii, pipeline, quality, sharding, simhash, tokenfile, urls, vectors
 from rankweave.session import scratch_path
 
 URL_RULES = (
@@ -79,6 +79,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"stats.{c}" for c in named], "base_failed", "kept", "quality")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), *names)
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     tokenfile.write_ids(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
@@ -157,6 +162,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_quality": op10_quality,
+    "op12_alignment": op12_alignment,
     "op13_token_files": op13_token_files,
     "pipeline": pipeline.run,
 }
