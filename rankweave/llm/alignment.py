@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,51 +20,64 @@ from rankweave.llm.blocks import pack_ints, ragged, unpack_ints
 from rankweave.llm.wordbpe import BYTE_CHARS
 from rankweave.session import staged
 
-#: Bytes of text in a block, of which a longer text is not cut, and segments that a task remembers.
-BLOCK_BYTES, REMEMBERED = 16 << 20, 400_000
+#: Bytes of text in a block; a longer text is not cut.
+BLOCK_BYTES = 32 << 20
 SPACE, MARK = 0x20, "▁"
+#: Above any id of B.
+SHIFT = 1 << 24
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def gallop(ends: list[int], wanted: int, low: int) -> int:
-    """The first place from ``low`` on whose end is not below ``wanted``: doubling steps, then a binary
-    search between the last two."""
-    step, high = 1, low
-    while high < len(ends) and ends[high] < wanted:
-        low = high + 1
-        high += step
+def gallop(ends: np.ndarray, wanted: np.ndarray, low: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each wanted end the first place from ``low`` to ``last`` whose end is not below it: doubling
+    steps, then a binary search between the last two. The end at ``last`` is never below."""
+    low, high, step = low.copy(), low.copy(), 1
+    far = np.flatnonzero(ends[high] < wanted)
+    while len(far):
+        low[far] = high[far] + 1
+        high[far] = np.minimum(high[far] + step, last[far])
         step *= 2
-    return bisect_left(ends, wanted, low, min(high, len(ends)))
+        far = far[ends[high[far]] < wanted[far]]
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        below = ends[middle] < wanted[open_]
+        low[open_[below]] = middle[below] + 1
+        high[open_[~below]] = middle[~below]
+        open_ = open_[low[open_] < high[open_]]
+    return low
 
 
 @dataclass
 class Alignment:
-    """Token slices between common ends, and all pairs of tokens whose bytes overlap."""
+    """Of two token lists laid end to end by segment: the group of each token (slices between common ends,
+    numbered through), and all pairs of tokens whose bytes overlap."""
 
-    groups: list[tuple[int, int, int, int]]
-    links: list[tuple[int, int]]
+    group_short: np.ndarray
+    group_long: np.ndarray
+    link_short: np.ndarray
+    link_long: np.ndarray
 
 
-def align(ends_a: list[int], ends_b: list[int]) -> Alignment:
-    """Both lists rise to the same last end. The shorter one drives the search in the longer one.
+def align(ends_short: np.ndarray, sizes_short: np.ndarray, ends_long: np.ndarray, sizes_long: np.ndarray) -> Alignment:
+    """Ends of the tokens of both sides, counted through all segments, and how many tokens each segment has
+    of them. The shorter list drives the search in the longer one.
 
     The rank of an end is how many of the other's ends lie below it. A token overlaps the other's tokens
     from where its start ranks (one further on if the start is a common end) to where its end ranks.
     """
-    swapped = len(ends_a) > len(ends_b)
-    short, long = (ends_b, ends_a) if swapped else (ends_a, ends_b)
-    groups, links = [], []
-    first = at = begun = 0  # of the longer list: where the next token's overlap begins, and the group
-    group = 0
-    for k, end in enumerate(short):
-        at = gallop(long, end, at)
-        links += [(j, k) if swapped else (k, j) for j in range(first, at + 1)]
-        first = at
-        if long[at] == end:
-            first = at + 1
-            groups.append((begun, first, group, k + 1) if swapped else (group, k + 1, begun, first))
-            begun, group = first, k + 1
-    return Alignment(groups, links)
+    after_long = np.cumsum(sizes_long)
+    begun, last = (np.repeat(v, sizes_short) for v in (after_long - sizes_long, after_long - 1))
+    at = gallop(ends_long, ends_short, begun, last)
+    common = ends_long[at] == ends_short
+    first = np.empty_like(at)
+    first[:1] = 0
+    first[1:] = at[:-1] + common[:-1]
+    many = at - first + 1
+    marks = np.zeros(len(ends_long), dtype=np.int64)
+    marks[at[common]] = 1
+    groups = [np.cumsum(v) - v for v in (common.astype(np.int64), marks)]
+    return Alignment(*groups, np.repeat(np.arange(len(at)), many), ragged(first, many))
 
 
 class Tokens:
@@ -84,6 +97,12 @@ class Tokens:
             piece = self.b.id_to_piece(number)
             self.bytes_b.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(number) else piece.replace(MARK, " ").encode())
 
+        table = [self.bytes_a[i] for i in range(max(self.bytes_a) + 1)]
+        self.bytes_a = table
+        self.widths = [np.array([len(v) for v in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b)]
+        #: Each id of A with a comma and a bar, then each of B with a comma and a semicolon.
+        self.said = [f"{i}{c}" for t, mark in ((self.bytes_a, "|"), (self.bytes_b, ";")) for i in range(len(t)) for c in f",{mark}"]
+        self.said_from, self.said_width = (0, 2 * len(self.bytes_a)), np.array([len(v) for v in self.said], dtype=np.int64)
         if any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(self.b.get_piece_size())):
             raise ValueError("a piece reaches over the space between words")
 
@@ -100,33 +119,83 @@ class Tokens:
 
 
 @dataclass
-class Segment:
-    """What a segment gives to its document; ``pairs`` are the id pairs of its links, ``groups`` their text.
-    ``whole`` is false where the tokens of one side do not make up the segment's bytes."""
-
-    whole: bool
-    counts: tuple[int, int, int, int]
-    pairs: list[tuple[int, int]]
-    groups: str
-
-
-def aligned(tokens: Tokens, segment: bytes, ids_a: list[int], ids_b: list[int]) -> Segment:
-    parts_a, parts_b = [tokens.bytes_a[i] for i in ids_a], [tokens.bytes_b[i] for i in ids_b]
-    if b"".join(parts_a) != segment or b"".join(parts_b) != segment:
-        return Segment(False, (0, 0, 0, 0), [], "")
-    ends = []
-    for parts in (parts_a, parts_b):
-        at, own = 0, []
-        for part in parts:
-            at += len(part)
-            own.append(at)
-        ends.append(own)
-    found = align(*ends)
-    said = ";".join(
-        ",".join(map(str, ids_a[i:j])) + "|" + ",".join(map(str, ids_b[k:n])) for i, j, k, n in found.groups
+class Segments:
+    """What segments give to their documents. ``whole`` is false where the tokens of one side do not make up
+    the segment's bytes; such a segment has nothing else. ``links`` are id pairs, A's id times ``SHIFT`` and
+    B's, ``texts`` the groups as decimal ids, closed by a semicolon."""
+
+    names: list[bytes]
+    whole: np.ndarray
+    counts: np.ndarray
+    links: np.ndarray
+    texts: list[str]
+
+
+def aligned(tokens: Tokens, names: list[bytes]) -> Segments:
+    names, *ids = zip(*tokens.encode(names))
+    sizes = [np.fromiter(map(len, i), dtype=np.int64, count=len(names)) for i in ids]
+    flat = [np.fromiter(chain.from_iterable(i), dtype=np.int64, count=int(n.sum())) for i, n in zip(ids, sizes)]
+    lengths = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
+    whole = np.ones(len(names), dtype=bool)
+    for i, n, table, width in zip(flat, sizes, (tokens.bytes_a, tokens.bytes_b), tokens.widths):
+        whole &= _summed(width[i], np.concatenate([[0], np.cumsum(n)])) == lengths
+    for side, table in enumerate((tokens.bytes_a, tokens.bytes_b)):
+        fits = np.repeat(whole, sizes[side])
+        made = np.frombuffer(b"".join([table[i] for i in flat[side][fits].tolist()]), dtype=np.uint8)
+        asked = np.frombuffer(b"".join([s for s, w in zip(names, whole.tolist()) if w]), dtype=np.uint8)
+        owner = np.repeat(np.flatnonzero(whole), lengths[whole])
+        whole[owner[made != asked]] = False
+    of = [np.repeat(np.arange(len(names)), n) for n in sizes]
+    order, parts = [], []
+    for swapped in (False, True):
+        # The side with fewer tokens in a segment leads.
+        mine = whole & ((sizes[0] > sizes[1]) == swapped)
+        sides = [(1, 0), (0, 1)][not swapped]
+        kept = [flat[k][mine[of[k]]] for k in sides]
+        many = [sizes[k][mine] for k in sides]
+        base = np.repeat(np.cumsum(lengths[mine]) - lengths[mine], many[0]), np.repeat(np.cumsum(lengths[mine]) - lengths[mine], many[1])
+        ends = [_ends(tokens.widths[k][i], n) + b for k, i, n, b in zip(sides, kept, many, base)]
+        found = align(ends[0], many[0], ends[1], many[1])
+        groups = {sides[0]: found.group_short, sides[1]: found.group_long}
+        links = {sides[0]: kept[0][found.link_short], sides[1]: kept[1][found.link_long]}
+        after = {k: np.cumsum(n) for k, n in zip(sides, many)}
+        per_segment = np.searchsorted(found.link_short, np.concatenate([[0], after[sides[0]]]))
+        n_groups = _summed(np.diff(groups[0], append=groups[0][-1:] + 1), np.concatenate([[0], after[0]]))
+        counts = np.stack([sizes[0][mine], sizes[1][mine], n_groups, np.diff(per_segment)], axis=1)
+        texts = _texts(tokens, dict(zip(sides, kept)), groups, after)
+        order.append(np.flatnonzero(mine))
+        parts.append((counts, links[0] * SHIFT + links[1], texts))
+    odd = np.flatnonzero(~whole)
+    listed = np.concatenate([*order, odd])
+    return Segments(
+        [names[i] for i in listed.tolist()],
+        whole[listed],
+        np.concatenate([*[p[0] for p in parts], np.zeros((len(odd), 4), dtype=np.int64)]),
+        np.concatenate([p[1] for p in parts]),
+        [*parts[0][2], *parts[1][2], *[""] * len(odd)],
     )
-    pairs = [(ids_a[i], ids_b[j]) for i, j in found.links]
-    return Segment(True, (len(ids_a), len(ids_b), len(found.groups), len(pairs)), pairs, said)
+
+
+def _ends(widths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ends of tokens inside their segments."""
+    ends = np.cumsum(widths)
+    firsts = np.cumsum(sizes) - sizes
+    return ends - np.repeat(np.concatenate([[0], ends])[firsts], sizes)
+
+
+def _texts(tokens: Tokens, ids: dict[int, np.ndarray], groups: dict[int, np.ndarray], after: dict[int, np.ndarray]) -> list[str]:
+    """The groups of each segment: ids of A by commas, a bar, ids of B by commas, a semicolon."""
+    number = int(groups[0][-1]) + 1 if len(groups[0]) else 0
+    per_group = [np.bincount(groups[k], minlength=number) for k in (0, 1)]
+    before = [np.concatenate([[0], np.cumsum(n)]) for n in per_group]
+    code = np.empty(len(ids[0]) + len(ids[1]), dtype=np.int64)
+    for k in (0, 1):
+        last = np.diff(groups[k], append=number) > 0
+        at = np.arange(len(ids[k])) + before[1 - k][groups[k] + k]
+        code[at] = tokens.said_from[k] + 2 * ids[k] + last
+    said = "".join([tokens.said[c] for c in code.tolist()])
+    ends = np.concatenate([[0], np.cumsum(tokens.said_width[code])])[after[0] + after[1]].tolist()
+    return [said[low:high] for low, high in zip([0, *ends], ends)]
 
 
 def segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -167,20 +236,24 @@ class _Block:
 
     def __init__(self):
         self.numbers: dict[bytes, int] = {}
-        self.kept: list[Segment] = []
-        self.pairs: dict[tuple[int, int], int] = {}
-        self.links: list[int] = []
-        self.sizes: list[int] = []
-        self.counts: list[tuple[int, int, int, int]] = []
-
-    def add(self, segment: bytes, found: Segment) -> int:
-        number = self.numbers[segment] = len(self.numbers)
-        pairs = self.pairs
-        self.kept.append(found)
-        self.links += [pairs.setdefault(p, len(pairs)) for p in found.pairs]
-        self.sizes.append(len(found.pairs))
-        self.counts.append(found.counts)
-        return number
+        self.pairs: dict[int, int] = {}
+        self.whole, self.links = np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
+        self.counts = np.zeros((0, 4), dtype=np.int64)
+        self.texts: list[str] = []
+
+    def add(self, found: Segments) -> None:
+        numbers, pairs = self.numbers, self.pairs
+        for name in found.names:
+            numbers[name] = len(numbers)
+        different, at = np.unique(found.links, return_inverse=True)
+        named = np.array([pairs.setdefault(p, len(pairs)) for p in different.tolist()], dtype=np.int64)
+        self.whole = np.concatenate([self.whole, found.whole])
+        self.links = np.concatenate([self.links, named[at]])
+        self.counts = np.concatenate([self.counts, found.counts])
+        self.texts += found.texts
+
+    def link_sizes(self) -> np.ndarray:
+        return self.counts[:, 3]
 
 
 def _summed(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -204,7 +277,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int) -> Data
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens, remembered = Tokens(path_a, path_b), {}
+        tokens = Tokens(path_a, path_b)
         partition, serial, block, size = TaskContext.get().partitionId(), 0, _Block(), 0
         per_pair = np.zeros(0, dtype=np.int64)
         kinds = None
@@ -213,37 +286,27 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int) -> Data
             full = {f.name: columns.get(f.name, pa.nulls(number, kinds[f.name])) for f in schema.fields[1:]}
             return pa.record_batch({"block": pa.array([f"{partition}-{serial}"] * number), **full})
 
-        def learnt(new: list[bytes]) -> None:
-            if len(remembered) > REMEMBERED:
-                remembered.clear()
-            fresh = [s for s in new if s not in remembered]
-            for segment, ids_a, ids_b in tokens.encode(fresh):
-                remembered[segment] = aligned(tokens, segment, ids_a, ids_b)
-            for s in new:
-                block.add(s, remembered[s])
-
         def documents(batch: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal per_pair
             parts, starts = segments(batch.column(1))
             coded = parts.dictionary_encode()
             listed = coded.dictionary.to_pylist()
-            learnt([s for s in listed if s not in block.numbers])
+            if new := [s for s in listed if s not in block.numbers]:
+                block.add(aligned(tokens, new))
             named = np.array([block.numbers[s] for s in listed], dtype=np.int64)
             at = named[coded.indices.to_numpy(zero_copy_only=False)] if len(listed) else np.zeros(0, dtype=np.int64)
-            whole = np.array([s.whole for s in block.kept], dtype=bool)
-            counts = np.array(block.counts, dtype=np.int64).reshape(-1, 4)
-            bad = _summed(~whole[at], starts) > 0
-            texts, shas = [s.groups for s in block.kept], []
+            counts, texts, shas = block.counts, block.texts, []
+            bad = _summed(~block.whole[at], starts) > 0
             for low, high, odd in zip(starts[:-1].tolist(), starts[1:].tolist(), bad.tolist()):
-                said = "" if odd or low == high else ";".join([texts[i] for i in at[low:high].tolist()])
-                shas.append(hashlib.sha256(said.encode()).hexdigest() if said else "")
+                said = "" if odd else "".join([texts[i] for i in at[low:high].tolist()])
+                shas.append(hashlib.sha256(said[:-1].encode()).hexdigest() if said else "")
             sizes = np.where(bad, 0, starts[1:] - starts[:-1])
             at = at[ragged(starts[:-1], sizes)]
             begun = np.concatenate([[0], np.cumsum(sizes)])
             # Each document counts once for a pair, however often it links it.
             owner = np.repeat(np.arange(len(sizes)), sizes)
             owner, used = np.divmod(np.unique(owner * (len(texts) + 1) + at), len(texts) + 1)
-            link_sizes, links = np.array(block.sizes, dtype=np.int64), np.array(block.links, dtype=np.int64)
+            link_sizes, links = block.link_sizes(), block.links
             first = np.cumsum(link_sizes) - link_sizes
             held = links[ragged(first[used], link_sizes[used])]
             owner = np.repeat(owner, link_sizes[used])
@@ -262,9 +325,10 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int) -> Data
             )
 
         def finished() -> Iterator[pa.RecordBatch]:
-            yield rows(1, link_sizes=pa.array([pack_ints(np.array(block.sizes))], pa.binary()), links=pa.array([pack_ints(np.array(block.links))], pa.binary()))
+            yield rows(1, link_sizes=pa.array([pack_ints(block.link_sizes())], pa.binary()), links=pa.array([pack_ints(block.links)], pa.binary()))
             listed = np.flatnonzero(per_pair)
-            pairs = np.array(list(block.pairs), dtype=np.int32).reshape(-1, 2)[listed]
+            codes = np.array(list(block.pairs), dtype=np.int64)[listed]
+            pairs = np.stack(np.divmod(codes, SHIFT), axis=1).astype(np.int32)
             for low in range(0, len(listed), 50_000):
                 part = slice(low, low + 50_000)
                 yield rows(len(listed[part]), pair=pa.array(listed[part].astype(np.int32)), a=pa.array(pairs[part, 0]), b=pa.array(pairs[part, 1]), docs=pa.array(per_pair[listed[part]]))

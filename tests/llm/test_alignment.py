@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -35,13 +36,21 @@ def overlaps(ends_a, ends_b):
 
 def test_galloping_finds_every_group_and_link():
     rng = random.Random(2)
-    for _ in range(1500):
-        n = rng.randint(1, 40)
-        ends = [sorted({*rng.sample(range(1, n + 1), rng.randint(1, n)), n}) for _ in range(2)]
-        found = alignment.align(*ends)
-        groups, links = overlaps(*ends)
-        assert found.groups == groups
-        assert sorted(found.links) == links
+    for _ in range(300):
+        every, base = [], 0
+        for _ in range(rng.randint(1, 6)):  # segments, of which the first side has fewer tokens or as many
+            n = rng.randint(1, 40)
+            ends = sorted((sorted({*rng.sample(range(1, n + 1), rng.randint(1, n)), n}) for _ in range(2)), key=len)
+            every.append([[e + base for e in side] for side in ends])
+            base += n
+        flat = [np.array([e for ends in every for e in ends[k]]) for k in (0, 1)]
+        sizes = [np.array([len(ends[k]) for ends in every]) for k in (0, 1)]
+        found = alignment.align(flat[0], sizes[0], flat[1], sizes[1])
+        groups, links = overlaps(*[side.tolist() for side in flat])
+        assert list(zip(found.link_short.tolist(), found.link_long.tolist())) == links
+        for number, (i, j, k, n) in enumerate(groups):
+            assert found.group_short[i:j].tolist() == [number] * (j - i)
+            assert found.group_long[k:n].tolist() == [number] * (n - k)
 
 
 def test_segments_are_encoded_as_the_whole_text_is():
@@ -51,7 +60,9 @@ def test_segments_are_encoded_as_the_whole_text_is():
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(3000)]
     segments, starts = alignment.segments(pa.array(texts))
     every = segments.to_pylist()
-    known = {s: (a, b, alignment.aligned(tokens, s, a, b).whole) for s, a, b in tokens.encode(list(dict.fromkeys(every)))}
+    found = alignment.aligned(tokens, list(dict.fromkeys(every)))
+    made_whole = dict(zip(found.names, found.whole.tolist()))
+    known = {s: (a, b, made_whole[s]) for s, a, b in tokens.encode(list(dict.fromkeys(every)))}
     for k, text in enumerate(texts):
         own = every[starts[k] : starts[k + 1]]
         assert b"".join(own) == ((" " + text).encode() if text else b"")
