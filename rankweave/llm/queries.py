@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import alignment, byte_bpe, lines, lm, packing, pii, pipeline, quality, sharding, simhash, tokenfile, urls, vectors
+from rankweave.llm import alignment, byte_bpe, collocations, lines, lm, packing, pii, pipeline, quality, sharding, simhash, tokenfile, urls, vectors
 from rankweave.session import scratch_path
 
 URL_RULES = (
@@ -79,6 +79,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"stats.{c}" for c in named], "base_failed", "kept", "quality")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align_documents(_table(spark, sf_dir, "documents"), *names)
@@ -151,6 +155,44 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(j.text, '') EN
 FROM documents d LEFT JOIN joined j USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), sized AS (
+  SELECT lang, w, unnest(range(1, least(len(w), 5) + 1)) AS size FROM worded
+), grams AS (
+  SELECT lang, size, w[i:i + size - 1] AS p FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized)
+), counted AS (
+  SELECT lang, p, any_value(size) AS size, count(*) AS a FROM grams GROUP BY lang, p
+), candidates AS (
+  SELECT * FROM counted WHERE size > 1 AND a >= 100
+), smaller AS (
+  SELECT lang, p, size, a, unnest(range(2, size)) AS m FROM candidates
+), inside AS (
+  SELECT lang, p[i:i + m - 1] AS p, max(a) AS longer
+  FROM (SELECT lang, p, a, m, unnest(range(1, size - m + 2)) AS i FROM smaller) GROUP BY 1, 2
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inside i ON c.lang = i.lang AND c.p = i.p WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.a
+), cuts AS (
+  SELECT lang, p, size, a, unnest(range(1, size)) AS k FROM kept
+), scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r, t.n, ((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN counted y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
@@ -162,9 +204,10 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_urls": op9_urls,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_alignment": op12_alignment,
     "op13_token_files": op13_token_files,
     "pipeline": pipeline.run,
 }
 
-ORACLE_SQL = {"op4_lines": OP4_SQL, "op9_urls": OP9_SQL}
+ORACLE_SQL = {"op4_lines": OP4_SQL, "op9_urls": OP9_SQL, "op11_collocations": OP11_SQL}
