@@ -80,6 +80,20 @@ def term_vector(text: Column, buckets: int | None = None) -> Column:
     return F.arrow_udf(encode, TERM_VECTOR)(text)
 
 
+def dense_terms(text: Column, dim: int) -> Column:
+    """The counts of the words by bucket, ``dim`` of them, scaled to length one (zeros without words)."""
+
+    def encode(texts: pa.Array) -> pa.Array:
+        row, code, hashes = _coded_words(texts, 15)
+        bucket = (hashes % np.uint64(dim)).astype(np.int64)
+        counts = np.bincount(row * dim + bucket[code], minlength=len(texts) * dim).astype(np.float64).reshape(len(texts), dim)
+        norms = np.sqrt(np.einsum("ij,ij->i", counts, counts))[:, None]
+        unit = np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * dim, pa.int32()), pa.array(unit.ravel()))
+
+    return F.arrow_udf(encode, T.ArrayType(T.DoubleType()))(text)
+
+
 def word_sets(text: Column) -> Column:
     """struct(words, bigrams): the distinct words and adjacent word pairs as 64-bit hashes.
 

@@ -13,24 +13,29 @@ from pyspark.sql import types as T
 SCORE_DECIMALS = 10
 
 
-def l2_norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-
-
-def normalize(a: Column, norm: Column) -> Column:
-    return F.transform(a, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
-
-
 def _unit_rows(vectors: pa.Array) -> np.ndarray:
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
     if len(lengths) and (lengths != lengths[0]).any():
         raise ValueError("vectors of different lengths")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(vectors), -1)
+    rows = flat.reshape(len(vectors), int(lengths[0]) if len(lengths) else 0)
     norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
+def normalize(a: Column) -> Column:
+    """Vectors of one length scaled to length one, as ``array<double>``; zeros stay zeros, null stays null."""
+
+    def unit(vectors: pa.Array) -> pa.Array:
+        known = vectors.drop_null()
+        rows = _unit_rows(known)
+        sizes = np.where(vectors.is_valid().to_numpy(zero_copy_only=False), rows.shape[1] if len(known) else 0, 0)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()), mask=vectors.is_null() if vectors.null_count else None)
+
+    return F.arrow_udf(unit, T.ArrayType(T.DoubleType()))(a)
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two non-null vectors of one length, 0 where either is all zeros."""
 

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankweave.functions.terms import term_vector
-from rankweave.functions.vectors import dense_from_terms, l2_norm, normalize
+from rankweave.functions.terms import dense_terms, term_vector
 from rankweave.session import staged
 
 ENCODE_BATCH = 32  # fixed value: texts per model call
@@ -38,10 +37,8 @@ def encode_terms(df: DataFrame, text: str, buckets: int | None = None) -> DataFr
 
 def encode_dense_terms(df: DataFrame, text: str, dim: int) -> DataFrame:
     """Unit-length dense hashed term vectors (``embedding``) in place of ``text``."""
-    sparse = encode_terms(df, text, dim)
-    dense = sparse.withColumn("embedding", dense_from_terms(F.col("terms").cast("array<int>"), F.col("tf"), dim))
-    scaled = normalize(F.col("embedding"), l2_norm(F.col("tf")))
-    return dense.withColumn("embedding", scaled).drop("terms", "tf")
+    others = [c for c in df.columns if c != text]
+    return df.select(*others, dense_terms(F.col(text), dim).alias("embedding"))
 
 
 def encode_model(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions import text as tx
-from rankweave.functions.vectors import cosine, l2_norm, normalize
+from rankweave.functions.vectors import cosine, normalize
 from rankweave.operators import encode, evaluate, fit, pairs, rerank, retrieve
 from rankweave.operators.dedup import keep_highest, keep_last
 from rankweave.operators.similarity import DEPTH, cosine_topk
@@ -313,8 +313,8 @@ def embed_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = si.table(spark, sf_dir, "embeddings").withColumn("norm", l2_norm(F.col("embedding")))
-    unit = rows.select("vec_id", F.posexplode(normalize(F.col("embedding"), F.col("norm"))).alias("dim", "value"))
+    rows = si.table(spark, sf_dir, "embeddings").select("vec_id", normalize(F.col("embedding")).alias("unit"))
+    unit = rows.select("vec_id", F.posexplode("unit").alias("dim", "value"))
     return unit.select("vec_id", "dim", shown("value"))
 
 
@@ -340,8 +340,9 @@ def cosine_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cosine_topk_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The block grid, which serves query sets too large to broadcast; blocks of about 1 MB here."""
-    return _vector_topk(spark, sf_dir, broadcast_bytes=0, block_bytes=1 << 20)
+    """A pass for each block of queries, as for sets too large to broadcast, and floors from one document
+    in four; blocks of about 1 MB here."""
+    return _vector_topk(spark, sf_dir, block_bytes=1 << 20, floor_share=4, stored=True)
 
 
 def sparse_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -505,7 +506,7 @@ def val_mrr10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unit(name: str) -> Column:
-    return normalize(F.col(name), l2_norm(F.col(name))).alias(name)
+    return normalize(F.col(name)).alias(name)
 
 
 def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

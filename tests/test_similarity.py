@@ -1,8 +1,11 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankweave.functions.vectors import dense_from_terms
+from rankweave.functions.vectors import dense_from_terms, normalize
+from rankweave.operators import similarity
 from rankweave.operators.encode import (
     append_cache,
     cached_vectors,
@@ -16,7 +19,7 @@ from rankweave.operators.retrieve import run_rows, two_stage
 from rankweave.operators.similarity import cosine_topk
 from rankweave.session import scratch_path
 
-PATHS = {"broadcast": {}, "grid": {"broadcast_bytes": -1, "block_bytes": 4096}}
+PATHS = {"one block": {}, "passes": {"block_bytes": 4096}, "floors": {"floor_share": 3}, "floored passes": {"block_bytes": 4096, "floor_share": 2, "stored": True}}
 
 
 def _brute(queries, docs, k, normalize=True):
@@ -71,6 +74,77 @@ def test_sparse_equals_dense_on_hashed_vectors(spark, path):
     assert _got(sparse) == _got(dense)
 
 
+def _skewed(rng, n, terms=4000):
+    """Documents of a few very common words and some rare ones, so that bounds tell them apart."""
+    common = [f"c{i}" for i in range(12)]
+    rare = [f"r{i}" for i in range(terms)]
+    return [" ".join([*rng.choice(common, size=rng.integers(3, 30)), *rng.choice(rare, size=rng.integers(5, 20))]) for _ in range(n)]
+
+
+def test_skipped_blocks_and_cells_change_no_row(spark):
+    rng = np.random.default_rng(3)
+    texts = _skewed(rng, 3000)
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    queries = [(f"q{i}", " ".join(rng.choice(texts[i * 7].split(), size=12))) for i in range(40)]
+    asked = encode_terms(spark.createDataFrame(queries, "query_id string, query string"), "query")
+    vectors = encode_terms(docs.repartition(2), "text")
+    scored, cells = (spark.sparkContext.accumulator(0) for _ in range(2))
+    got = _got(cosine_topk(asked, vectors, 10, floor_share=4, cells=(scored, cells)))
+    assert cells.value == 40 * 3000
+    assert 2 * scored.value < cells.value
+    as_rows = [[(r[0], dict(zip(r.terms, r.tf))) for r in df.collect()] for df in (asked, vectors)]
+    want = set()
+    for q, own in as_rows[0]:
+        ranked = []
+        for d, other in as_rows[1]:
+            scale = np.sqrt(sum(v * v for v in own.values()) * sum(v * v for v in other.values()))
+            ranked.append((-round(sum(v * other.get(t, 0) for t, v in own.items()) / scale, 10), d))
+        want |= {(q, d, n) for n, (_, d) in enumerate(sorted(ranked)[:10], 1)}
+    assert got == want
+
+
+def test_floors_leave_fewer_partial_rows(spark):
+    rng = np.random.default_rng(5)
+    docs = spark.createDataFrame([(f"d{i}", rng.normal(size=8).tolist()) for i in range(4000)], "doc_id string, embedding array<double>").repartition(16)
+    queries = spark.createDataFrame([(f"q{i}", rng.normal(size=8).tolist()) for i in range(5)], "query_id string, embedding array<double>")
+    block = queries.toArrow()
+    floor = similarity._floors(block, docs, similarity._DenseQueries, True, 50, 4)
+    rows = [similarity._best(block, f, docs, similarity._DenseQueries, True, 50, None)[1].count() for f in (np.full(5, -np.inf), floor)]
+    assert rows[0] == 16 * 5 * 50
+    assert rows[1] < rows[0] / 3
+
+
+def test_documents_are_neither_exchanged_nor_sorted(spark, tmp_path):
+    spark.range(500).selectExpr("cast(id as string) as doc_id", "array(rand(1), rand(2)) as embedding").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    block = docs.limit(20).withColumnRenamed("doc_id", "query_id").toArrow()
+    partial = similarity._best(block, np.full(20, -np.inf), docs, similarity._DenseQueries, True, 5, None)[1]
+    plan = partial._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_normalizing_is_linear_in_the_entries(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(7)] + [(7, None), (8, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").select("id", normalize(F.col("v")).alias("u"))
+    got = {r.id: r.u for r in df.collect()}
+    assert got[7] is None and got[8] == [0.0] * 6
+    for i, v in rows[:7]:
+        assert np.allclose(got[i], np.array(v) / np.linalg.norm(v))
+
+    def seconds(entries):
+        many = spark.range(1500).select(F.transform(F.sequence(F.lit(1), F.lit(entries)), lambda x: x + F.rand(1)).alias("v"))
+        many.cache().count()
+        started = time.perf_counter()
+        many.select(normalize(F.col("v")).alias("u")).write.format("noop").mode("overwrite").save()
+        taken = time.perf_counter() - started
+        many.unpersist()
+        return taken
+
+    seconds(64)
+    assert seconds(2048) < 4 * max(0.3, seconds(1024))
+
+
 def test_dense_from_terms(spark):
     df = spark.createDataFrame([([0, 3], [1.0, 2.0]), ([], []), ([4], [7.0])], "terms array<int>, tf array<double>")
     got = [r[0] for r in df.select(dense_from_terms(F.col("terms"), F.col("tf"), 5)).collect()]
