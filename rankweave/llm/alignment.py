@@ -20,8 +20,8 @@ from rankweave.llm.blocks import pack_ints, ragged, unpack_ints
 from rankweave.llm.wordbpe import BYTE_CHARS
 from rankweave.session import staged
 
-#: Bytes of text in a block; a longer text is not cut.
-BLOCK_BYTES = 32 << 20
+#: Bytes of text in a block, of which a longer text is not cut, and segments aligned at a time.
+BLOCK_BYTES, ALIGNED = 24 << 20, 20_000
 SPACE, MARK = 0x20, "▁"
 #: Above any id of B.
 SHIFT = 1 << 24
@@ -291,8 +291,9 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, block_bytes: int) -> Data
             parts, starts = segments(batch.column(1))
             coded = parts.dictionary_encode()
             listed = coded.dictionary.to_pylist()
-            if new := [s for s in listed if s not in block.numbers]:
-                block.add(aligned(tokens, new))
+            new = [s for s in listed if s not in block.numbers]
+            for low in range(0, len(new), ALIGNED):
+                block.add(aligned(tokens, new[low : low + ALIGNED]))
             named = np.array([block.numbers[s] for s in listed], dtype=np.int64)
             at = named[coded.indices.to_numpy(zero_copy_only=False)] if len(listed) else np.zeros(0, dtype=np.int64)
             counts, texts, shas = block.counts, block.texts, []
