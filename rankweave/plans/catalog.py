@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions import text as tx
 from rankweave.functions.vectors import cosine, normalize
-from rankweave.operators import encode, evaluate, fit, pairs, rerank, retrieve
+from rankweave.operators import encode, evaluate, fit, idf, pairs, rerank, retrieve
 from rankweave.operators.dedup import keep_highest, keep_last
 from rankweave.operators.similarity import DEPTH, cosine_topk
 from rankweave.operators.split import TWO_WAY, assign_splits
@@ -351,6 +351,28 @@ def sparse_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_topk(queries, docs).select("query_id", "doc_id", "rank", shown("score"))
 
 
+def _idf_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """The encoder fitted on the documents, through the store."""
+    path = scratch_path(spark, "encoders")
+    idf.save_idf(idf.fit_idf(docs, "text"), path, "documents")
+    return idf.load_idf(spark, path, "documents")
+
+
+def embed_docs_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = retrieve.clean_answers(si.text_answers(spark, sf_dir))
+    vectors = idf.encode_idf(docs, "text", _idf_model(spark, sf_dir, docs))
+    return encode.explode_terms(vectors, ["doc_id"]).select("doc_id", "term", shown("tf"))
+
+
+def idf_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search of ``sparse_cosine_topk`` under the fitted encoder."""
+    docs = retrieve.clean_answers(si.text_answers(spark, sf_dir))
+    fitted = _idf_model(spark, sf_dir, docs)
+    queries = idf.encode_idf(retrieve.prepare_topics(si.text_topics(spark, sf_dir), True), "query", fitted, "query_id")
+    found = cosine_topk(queries, idf.encode_idf(docs, "text", fitted))
+    return found.select("query_id", "doc_id", "rank", shown("score"))
+
+
 # --- second stage ------------------------------------------------------------------------------------
 
 
@@ -513,7 +535,7 @@ def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judged vector pairs (unit vectors, label, split)."""
     judged = si.vector_judgments(spark, sf_dir).withColumn("label", F.col("relevance").cast("double"))
     splits = assign_splits(judged.select("query_id").distinct()).select("query_id", "split")
-    return staged(judged.join(splits, "query_id").select(_unit("query_vec"), _unit("doc_vec"), "label", "split"), "judged")
+    return staged(judged.join(splits, "query_id").select("query_id", "doc_id", _unit("query_vec"), _unit("doc_vec"), "label", "split"), "judged")
 
 
 def tuned_bi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,6 +556,30 @@ def tuned_bi_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.bi_gradient(train, weights).select("dim", (F.round("gradient", 5) + F.lit(0.0)).alias("gradient"))
 
 
+def bi_epoch_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both errors after each epoch of the descent, eight workers of two batches."""
+    placed = _labelled_vectors(spark, sf_dir)
+    train, val = (placed.where(F.col("split") == part) for part in ("train", "val"))
+    _, history = fit.descend_bi_weights(train, val, workers=8, batches=2)
+    return history.select("epoch", shown("mse"), shown("val_mse"))
+
+
+def tuned_ce_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slope of the log loss at an unregularised logistic fit, 0 in every coefficient and the intercept."""
+    train = _pair_features(spark, sf_dir).where(F.col("split") == "train")
+    model = fit.reloaded(fit.pair_estimator("logistic", 0.0, 500).fit(fit.positive_labels(train)), spark)
+    return fit.logistic_gradient(train, model).select("term", (F.round("gradient", 4) + F.lit(0.0)).alias("gradient"))
+
+
+def tuned_tree_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each boosted tree the rows that its leaves hold and how far a leaf lies from the mean of its rows."""
+    train = _pair_features(spark, sf_dir).where(F.col("split") == "train")
+    model = fit.reloaded(fit.pair_estimator("trees", 3, fit.EPOCHS).fit(fit.positive_labels(train)), spark)
+    leaves = fit.tree_leaves(train, model)
+    gap = F.round(F.max(F.abs(F.col("value") - F.col("expected"))), 6)
+    return leaves.groupBy("tree").agg(F.sum("rows").alias("rows"), gap.alias("gap"))
+
+
 def _fine_tuned(spark: SparkSession, sf_dir: str) -> tuple[list[float], rerank.Scorer]:
     """Both stages fitted on the training pairs and chosen on the validation pairs."""
     labelled = pairs.graded_labels(_split_pairs(spark, sf_dir), scale_labels=True)
@@ -619,6 +665,8 @@ QUERIES: dict[str, Query] = {
     "cosine_topk": cosine_top,
     "cosine_topk_blocked": cosine_topk_blocked,
     "sparse_cosine_topk": sparse_cosine_topk,
+    "embed_docs_idf": embed_docs_idf,
+    "idf_cosine_topk": idf_cosine_topk,
     "rerank_pairs": rerank_pairs,
     "rerank_topk": rerank_topk,
     "two_stage_run": two_stage_run,
@@ -633,6 +681,9 @@ QUERIES: dict[str, Query] = {
     "val_mrr10": val_mrr10,
     "tuned_bi_topk": tuned_bi_topk,
     "tuned_bi_optimality": tuned_bi_optimality,
+    "bi_epoch_losses": bi_epoch_losses,
+    "tuned_ce_optimality": tuned_ce_optimality,
+    "tuned_tree_leaves": tuned_tree_leaves,
     "tuned_ce_topk": tuned_ce_topk,
     "tuned_ce_permutation": tuned_ce_permutation,
     "two_stage_run_tuned": two_stage_run_tuned,

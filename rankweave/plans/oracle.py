@@ -293,6 +293,58 @@ def _ski_jump(tail: str) -> str:
     )
 
 
+IDF = f"""WITH {TEXT},
+idf_docs AS (SELECT count(*)::DOUBLE AS n FROM text_answers),
+idf AS (SELECT term, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf FROM text_terms, idf_docs GROUP BY term),
+idf_raw AS (SELECT id, term, tf * idf AS w FROM text_terms JOIN idf USING (term)),
+idf_terms AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM idf_raw)"""
+
+WORKERS, BATCHES = 8, 2
+# Mini-batch descent on each worker's rows as matrices: a batch's step needs only its mean products.
+DESCENT = f"""WITH RECURSIVE {VECTORS},
+v_split AS (
+  SELECT query_id,
+         CASE WHEN pos <= floor(n::DOUBLE * 0.8::DOUBLE) THEN 'train'
+              WHEN pos <= floor(n::DOUBLE * 0.8::DOUBLE) + floor(n::DOUBLE * 0.1::DOUBLE) THEN 'val'
+              ELSE 'test' END AS split
+  FROM (SELECT query_id, row_number() OVER (ORDER BY md5('42|' || query_id), query_id) AS pos,
+               count(*) OVER () AS n FROM (SELECT DISTINCT query_id FROM vector_qrels))),
+products AS MATERIALIZED (
+  SELECT split, relevance::DOUBLE AS y, md5(query_id || '|' || doc_id) AS h,
+         [query_vec[i] * doc_vec[i] / (sqrt(list_dot_product(query_vec, query_vec)) * sqrt(list_dot_product(doc_vec, doc_vec)))
+          for i in range(1, len(query_vec) + 1)] AS x
+  FROM vector_qrels JOIN v_split USING (query_id)),
+train AS MATERIALIZED (
+  SELECT x, y, ('0x' || substr(h, 1, 4))::BIGINT % {WORKERS} AS worker, ('0x' || substr(h, 5, 4))::BIGINT % {BATCHES} AS batch
+  FROM products WHERE split = 'train'),
+size AS (SELECT any_value(len(x)) AS dim, 0.5::DOUBLE / avg(list_dot_product(x, x)) AS step FROM train),
+entries AS MATERIALIZED (
+  SELECT worker, batch, y, i, x[i] AS xi, x FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM train)),
+cells AS (
+  SELECT worker, batch, i, j, sum(xi * x[j]) / count(*) AS g
+  FROM (SELECT worker, batch, i, xi, x, unnest(range(1, len(x) + 1)) AS j FROM entries) GROUP BY ALL),
+lines AS (SELECT worker, batch, i, list(g ORDER BY j) AS line FROM cells GROUP BY ALL),
+sides AS (SELECT worker, batch, i, sum(xi * y) / count(*) AS b FROM entries GROUP BY ALL),
+of_batch AS (
+  SELECT worker, batch, list(line ORDER BY i) AS g, list(b ORDER BY i) AS b FROM lines JOIN sides USING (worker, batch, i) GROUP BY ALL),
+of_worker AS (SELECT worker, list(g ORDER BY batch) AS g, list(b ORDER BY batch) AS b FROM of_batch GROUP BY worker),
+given AS MATERIALIZED (
+  SELECT list(g ORDER BY worker) AS g, list(b ORDER BY worker) AS b, list(n ORDER BY worker) AS n, sum(n) AS total
+  FROM of_worker JOIN (SELECT worker, count(*)::DOUBLE AS n FROM train GROUP BY worker) USING (worker)),
+steps AS (
+  SELECT 0 AS s, [[1.0::DOUBLE for i in range(1, dim + 1)] for k in range(1, {WORKERS} + 1)] AS w FROM size
+  UNION ALL
+  SELECT s + 1, CASE WHEN (s + 1) % {BATCHES} = 0
+    THEN [[list_sum([n[k] * moved[k][i] for k in range(1, {WORKERS} + 1)]) / total for i in range(1, dim + 1)] for m in range(1, {WORKERS} + 1)]
+    ELSE moved END
+  FROM (
+    SELECT s, n, total, dim,
+           [[w[k][i] - step * 2 * (list_dot_product(g[k][s % {BATCHES} + 1][i], w[k]) - b[k][s % {BATCHES} + 1][i])
+             for i in range(1, dim + 1)] for k in range(1, {WORKERS} + 1)] AS moved
+    FROM steps, given, size WHERE s < {10 * BATCHES})),
+epochs AS MATERIALIZED (SELECT (s // {BATCHES})::INTEGER AS epoch, w[1] AS w FROM steps WHERE s % {BATCHES} = 0)"""
+
+
 def oracle_queries() -> dict[str, str]:
     qrel_lines = "SELECT query_id, doc_id, relevance FROM chat_qrels"
     return {
@@ -414,6 +466,19 @@ SELECT round(avg(pow(list_cosine_similarity(query_vec, doc_vec) - relevance, 2))
         "sparse_cosine_topk": f"""WITH {TEXT},
 {_two_stage("found", "text_clean_topics", "text_answers", LEXICAL_WEIGHTS, "text_terms").strip()}
 SELECT query_id, doc_id, bi_rank::INTEGER AS rank, round(bi_score, 6) AS score FROM found_bi""",
+        "embed_docs_idf": f"""{IDF}
+SELECT id AS doc_id, term, round(w, 6) AS tf FROM idf_terms""",
+        "idf_cosine_topk": f"""{IDF},
+{_terms("idf_q", "text_clean_topics", "query_id", "query").strip()},
+idf_asked AS (
+  SELECT id, term, tf * coalesce(idf, ln(1 + n) + 1) AS w FROM idf_q LEFT JOIN idf USING (term), idf_docs),
+idf_unit AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM idf_asked),
+idf_dots AS (SELECT q.id AS query_id, d.id AS doc_id, sum(q.w * d.w) AS dot FROM idf_unit q JOIN idf_terms d USING (term) GROUP BY ALL)
+SELECT query_id, doc_id, rank::INTEGER AS rank, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
+    SELECT t.query_id, a.doc_id, coalesce(round(dot, 10), 0.0::DOUBLE) AS score
+    FROM text_clean_topics t CROSS JOIN text_answers a LEFT JOIN idf_dots USING (query_id, doc_id)))
+WHERE rank <= 100""",
         "rerank_pairs": f"""WITH {CHAT_FEATURES}
 SELECT query_id, doc_id, score, {", ".join(_round(f) for f in (*FEATURES, "ce_score"))} FROM pair_scores""",
         "rerank_topk": f"""{TEXT_STAGES}
@@ -437,6 +502,13 @@ SELECT system, {_metrics()} FROM metrics GROUP BY system""",
 FROM metrics"""
         ),
         "tuned_bi_optimality": "SELECT (i - 1)::INTEGER AS dim, 0.0::DOUBLE AS gradient FROM (SELECT unnest(range(1, len(embedding) + 1)) AS i FROM (SELECT embedding FROM embeddings LIMIT 1))",
+        "bi_epoch_losses": f"""{DESCENT}
+SELECT epoch, round(avg(e) FILTER (split = 'train'), 6) AS mse, round(avg(e) FILTER (split = 'val'), 6) AS val_mse
+FROM (SELECT epoch, split, pow(list_dot_product(x, w) - y, 2) AS e FROM products, epochs) GROUP BY epoch""",
+        "tuned_ce_optimality": f"""SELECT unnest(['intercept', {", ".join(f"'{f}'" for f in FEATURES)}]) AS term, 0.0::DOUBLE AS gradient""",
+        "tuned_tree_leaves": f"""WITH {CHAT}
+SELECT unnest(range(10))::INTEGER AS tree, count(*) AS rows, 0.0::DOUBLE AS gap
+FROM judged JOIN split USING (query_id) WHERE split = 'train'""",
         "tuned_ce_permutation": f"""WITH {CHAT}
 SELECT query_id, least(100, (SELECT count(*) FROM chat_answers)) AS n, true AS distinct_docs, true AS bi_gapless, true AS ce_gapless
 FROM (SELECT DISTINCT query_id, query FROM judged JOIN split USING (query_id) WHERE split = 'test')
