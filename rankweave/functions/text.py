@@ -6,12 +6,11 @@ pattern, so the patterns below keep and drop the same characters as Python's ``r
 
 from __future__ import annotations
 
-import html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The cleaning patterns and the composed-query markers.
 SPACE = r"\s\x1c-\x1f"
@@ -25,11 +24,66 @@ UNSHOWN_TAGS = ("script", "style", "template")
 TAGS = r"</?[a-zA-Z!?][^>]*>"
 
 
+def _shown(code: int) -> str:
+    """What a numeric reference shows: the old single-byte code page where it has a character there."""
+    if 0x80 <= code < 0xA0:
+        return bytes([code]).decode("cp1252", "ignore") or chr(code)
+    return "\ufffd" if code == 0 else chr(code)
+
+
+#: Named references with and without the semicolon, as the standard table has them; those without one also count
+#: where more letters follow.
+NAMED = json.dumps(html5)
+LONGEST_OPEN = max(len(name) for name in html5 if not name.endswith(";"))
+#: Numbers that show other characters than their own, and numbers that show nothing.
+ODD_NUMBERS = json.dumps({str(code): _shown(code) for code in (0, 0x0D, *range(0x80, 0xA0))})
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _constant(table: str) -> Column:
+    """A literal map of strings; folded once, when the query is planned."""
+    return F.from_json(F.lit(table), "map<string,string>")
+
+
+def _number(reference: Column) -> Column:
+    """The character of ``#...`` or ``#x...``."""
+    hexadecimal = F.substring(reference, 2, 1).isin("x", "X")
+    digits = F.regexp_replace(reference, "^#[xX]?0*|;$", "")
+    long = F.length(digits) > 8
+    known = F.when(long | (digits == ""), F.lit("0")).otherwise(digits)
+    code = F.when(hexadecimal, F.conv(known, 16, 10)).otherwise(known).cast("long")
+    low = code % 0x10000
+    nothing = code.between(1, 8) | code.between(0x0E, 0x1F) | code.between(0x7F, 0x9F) | code.between(0xFDD0, 0xFDEF) | (code == 0x0B) | (low >= 0xFFFE)
+    plain = F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(code), 8, "0"))), "UTF-32")  # a byte-order mark leads
+    return (
+        F.when(long | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+        .when((code == 0) | (code == 0x0D) | code.between(0x80, 0x9F), F.element_at(_constant(ODD_NUMBERS), code.cast("string")))
+        .when(nothing, F.lit(""))
+        .otherwise(plain)
+    )
+
+
+def _name(reference: Column) -> Column:
+    """The characters of a name, else of its longest beginning that is one, else the reference as it stands."""
+    names = _constant(NAMED)
+    found = [F.try_element_at(names, reference)]
+    for length in range(LONGEST_OPEN, 1, -1):
+        begun = F.try_element_at(names, F.substring(reference, 1, length))
+        found.append(F.when(F.length(reference) > length, F.concat(begun, F.substr(reference, F.lit(length + 1)))))
+    return F.coalesce(*found, F.concat(F.lit("&"), reference))
+
+
 def _decode_entities(text: Column) -> Column:
-    def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+    """Character references decoded, as expressions; the parts after each ampersand are looked at alone."""
+    parts = F.split(text, "&")
+
+    def decoded(part: Column) -> Column:
+        reference = F.regexp_extract(part, REFERENCE, 1)
+        shown = F.when(reference == "", F.lit("&")).when(reference.startswith("#"), _number(reference)).otherwise(_name(reference))
+        return F.concat(shown, F.substr(part, F.length(reference) + 1))
 
-    return F.pandas_udf(unescape, T.StringType())(text)
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.when(text.contains("&"), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(text)
 
 
 def _without_tags(text: Column) -> Column:
@@ -40,8 +94,7 @@ def _without_tags(text: Column) -> Column:
 
 
 def _as_text(text: Column, is_markup: Column) -> Column:
-    # The Python worker sees NULL in place of all other texts.
-    return F.when(is_markup, _decode_entities(F.when(is_markup, _without_tags(text)))).otherwise(text)
+    return F.when(is_markup, _decode_entities(_without_tags(text))).otherwise(text)
 
 
 def html_to_text(text: Column) -> Column:

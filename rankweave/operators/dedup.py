@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 def keep_last(df: DataFrame, keys: Sequence[str], position: Column) -> DataFrame:
     """One row per key: the one with the highest ``position``, which no two rows of a key share.
 
-    Only keys and positions are aggregated; the winning positions then pick their rows.
+    Rows are read once, so a position that comes from the scan means the same row throughout. A task sends
+    one row for each of its keys.
     """
-    placed = df.withColumn("_place", position)
-    last = placed.groupBy(*keys).agg(F.max("_place").alias("_last"))
-    named = last.select(*[F.col(k).alias(f"_{k}") for k in keys], "_last")
-    same = F.col("_place") == F.col("_last")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return placed.join(named, same, "left_semi").select(*df.columns)
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*others), position).alias("_last"))
+    return last.select(*[f"_last.{c}" if c in others else c for c in df.columns])
 
 
 def keep_highest(qrels: DataFrame) -> DataFrame:

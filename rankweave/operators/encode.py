@@ -11,20 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankweave.functions.terms import dense_terms, term_vector
-from rankweave.session import staged
+from rankweave.operators.vector_table import VectorTable
 
 ENCODE_BATCH = 32  # fixed value: texts per model call
 
-CACHE = T.StructType(
-    [
-        T.StructField("doc_id", T.StringType()),
-        T.StructField("text_hash", T.StringType()),
-        T.StructField("terms", T.ArrayType(T.LongType())),
-        T.StructField("tf", T.ArrayType(T.DoubleType())),
-        T.StructField("model_id", T.StringType()),
-    ]
-)
-
 Encoder = Callable[[list[str]], np.ndarray]
 
 
@@ -69,9 +59,11 @@ def with_text_hash(docs: DataFrame) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, path: str, model_id: str) -> DataFrame:
-    """Vectors of one model; the partition filter reads no other model's files."""
-    cached = spark.read.schema(CACHE).parquet(path)
-    return cached.where(F.col("model_id") == model_id).drop("model_id")
+    """The stored term vectors of one model: doc_id, text_hash, terms, tf."""
+    rows = VectorTable(spark, path, model_id).rows()
+    if rows is None:
+        raise ValueError(f"no vectors of {model_id!r} below {path}")
+    return rows.select("doc_id", "text_hash", "terms", "tf")
 
 
 def not_cached(docs: DataFrame, cached: DataFrame) -> DataFrame:
@@ -81,10 +73,13 @@ def not_cached(docs: DataFrame, cached: DataFrame) -> DataFrame:
     )
 
 
+def _stored_terms(docs: DataFrame) -> DataFrame:
+    return encode_terms(docs, "text")
+
+
 def append_cache(docs: DataFrame, path: str, model_id: str) -> None:
-    """Encode ``docs`` and add them to the table, partitioned by model."""
-    encoded = encode_terms(with_text_hash(docs), "text").withColumn("model_id", F.lit(model_id))
-    encoded.select(*CACHE.names).write.mode("append").partitionBy("model_id").parquet(path)
+    """Add the term vectors of ``docs`` to the table of the model."""
+    VectorTable(docs.sparkSession, path, model_id).update(docs.select("doc_id", "text"), _stored_terms)
 
 
 def cached_vectors(docs: DataFrame, path: str, model_id: str) -> DataFrame:
@@ -92,21 +87,8 @@ def cached_vectors(docs: DataFrame, path: str, model_id: str) -> DataFrame:
 
     ``docs`` has unique ids. The table is read here, at the time of the call, and may not exist yet.
     """
-    spark = docs.sparkSession
-    current = staged(with_text_hash(docs), "hashed-texts")
-    missing = current
-    if _exists(spark, path):
-        known = read_cache(spark, path, model_id).select("doc_id", "text_hash")
-        missing = current.join(known, ["doc_id", "text_hash"], "left_anti")
-    append_cache(missing.select("doc_id", "text"), path, model_id)
-    stored = read_cache(spark, path, model_id).join(current.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi")
-    # Two writers at a time may both have added a document; one row for each key is kept.
-    return stored.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "terms", "tf")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    found = VectorTable(docs.sparkSession, path, model_id).vectors(docs.select("doc_id", "text"), _stored_terms)
+    return found.select("doc_id", "terms", "tf")
 
 
 def explode_terms(vectors: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from rankweave.operators import encode, evaluate, fit, idf, pairs, rerank, retri
 from rankweave.operators.dedup import keep_highest, keep_last
 from rankweave.operators.similarity import DEPTH, cosine_topk
 from rankweave.operators.split import TWO_WAY, assign_splits
+from rankweave.operators.vector_table import VectorTable
 from rankweave.plans import standins as si
 from rankweave.session import scratch_path, staged
 from rankweave.sources import readers, writers
@@ -40,21 +41,43 @@ def load_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.load_topics(spark, [f"{path}/1-drafts", f"{path}/2-final"])
 
 
-def load_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents (no ``doc`` key for one source), pages (some null), then revised labelled documents."""
-    path = scratch_path(spark, "answers")
+def _answer_parts(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, bool]]:
+    """Documents (no ``doc`` key for one source), pages (some null), then revised labelled documents, with
+    whether a null is written."""
     docs = si.table(spark, sf_dir, "documents")
     ident = F.col("doc_id").cast("string").alias("doc_id")
-    docs.select(ident, F.when(F.col("source") != "src0", F.col("text")).alias("doc")).write.json(f"{path}/1-docs")
-    pages = si.table(spark, sf_dir, "pages")
-    pages.select(
+    plain = docs.select(ident, F.when(F.col("source") != "src0", F.col("text")).alias("doc"))
+    pages = si.table(spark, sf_dir, "pages").select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("doc_id"),
         F.when(~F.col("html").contains("&copy;"), F.col("html")).alias("doc"),
-    ).write.option("ignoreNullFields", False).json(f"{path}/2-pages")
+    )
     labelled = docs.join(si.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    revised = F.concat(F.lit("Revised. "), F.col("text")).alias("doc")
-    labelled.select(ident, revised).write.json(f"{path}/3-revised")
-    return readers.load_answers(spark, [f"{path}/{part}" for part in ("1-docs", "2-pages", "3-revised")])
+    revised = labelled.select(ident, F.concat(F.lit("Revised. "), F.col("text")).alias("doc"))
+    return {"1-docs": (plain, False), "2-pages": (pages, True), "3-revised": (revised, False)}
+
+
+def load_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts as JSON Lines."""
+    path = scratch_path(spark, "answers")
+    for name, (rows, nulls) in _answer_parts(spark, sf_dir).items():
+        rows.write.option("ignoreNullFields", not nulls).json(f"{path}/{name}")
+    return readers.load_answers(spark, [f"{path}/{name}" for name in ("1-docs", "2-pages", "3-revised")])
+
+
+#: Records of a file that holds one array.
+ARRAY_RECORDS = 500
+
+
+def load_answers_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts as files of one JSON array each, about ``ARRAY_RECORDS`` records long."""
+    path = scratch_path(spark, "answer-arrays")
+    for name, (rows, nulls) in _answer_parts(spark, sf_dir).items():
+        files = max(1, rows.count() // ARRAY_RECORDS)
+        record = F.to_json(F.struct("doc_id", "doc"), {"ignoreNullFields": str(not nulls).lower()})
+        dealt = rows.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(files)).alias("file")).agg(F.collect_list(record).alias("_r"))
+        array = F.concat(F.lit("["), F.array_join("_r", ",\n"), F.lit("]"))
+        dealt.select("file", array.alias("value")).write.partitionBy("file").text(f"{path}/{name}")
+    return readers.load_answers(spark, [f"{path}/{name}" for name in ("1-docs", "2-pages", "3-revised")], array=True)
 
 
 def _qrel_files(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -112,6 +135,24 @@ def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.explode_terms(encode.cached_vectors(docs, path, "terms"), ["doc_id"])
 
 
+DENSE = 64
+
+
+def embed_cache_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense vectors through the table: labelled documents first, then all, of which a third pass finds none
+    missing."""
+    table = VectorTable(spark, scratch_path(spark, "dense-vectors"), "dense/64")
+    docs = retrieve.clean_answers(si.text_answers(spark, sf_dir))
+    encode_all = lambda df: encode.encode_dense_terms(df, "text", DENSE)
+    table.update(_labelled(spark, sf_dir, docs), encode_all)
+    table.update(docs, encode_all)
+    added = table.update(docs, encode_all)
+    if added:
+        raise AssertionError(f"{added} texts were encoded twice")
+    rows = table.vectors(docs, encode_all).select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+    return rows.where(F.col("value") != 0).select("doc_id", "dim", shown("value"))
+
+
 def _labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     labels = si.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("doc_id"))
     return docs.join(labels, "doc_id", "left_semi")
@@ -625,6 +666,7 @@ def two_stage_run_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "load_topics": load_topics,
     "load_answers": load_answers,
+    "load_answers_array": load_answers_array,
     "parse_qrel_last": parse_qrel_last,
     "parse_qrel_set": parse_qrel_set,
     "scan_pairs": scan_pairs,
@@ -635,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "test_qrel_lines": test_qrel_lines,
     "metrics_wide": metrics_wide,
     "embed_docs": embed_docs,
+    "embed_cache_dense": embed_cache_dense,
     "all_runs": all_runs,
     "basic_runs": basic_runs,
     "clean_text_docs": clean_text_docs,

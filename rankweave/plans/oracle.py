@@ -345,6 +345,17 @@ steps AS (
 epochs AS MATERIALIZED (SELECT (s // {BATCHES})::INTEGER AS epoch, w[1] AS w FROM steps WHERE s % {BATCHES} = 0)"""
 
 
+def _answers() -> str:
+    return f"""
+SELECT doc_id, {_clean("doc")} AS text FROM (
+  SELECT doc_id::VARCHAR AS doc_id, text AS doc FROM documents
+  WHERE source <> 'src0' AND doc_id NOT IN (SELECT doc_id FROM labels)
+  UNION ALL
+  SELECT doc_id::VARCHAR, 'Revised. ' || text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+  UNION ALL
+  SELECT 'p' || page_id, CASE WHEN NOT contains(html, '&copy;') THEN html END FROM pages)"""
+
+
 def oracle_queries() -> dict[str, str]:
     qrel_lines = "SELECT query_id, doc_id, relevance FROM chat_qrels"
     return {
@@ -352,14 +363,8 @@ def oracle_queries() -> dict[str, str]:
 SELECT item_id::VARCHAR AS query_id,
        {_clean("CASE WHEN contains(text, chr(10)) THEN 'Draft: ' || text ELSE text END")} AS query
 FROM benchmark""",
-        "load_answers": f"""
-SELECT doc_id, {_clean("doc")} AS text FROM (
-  SELECT doc_id::VARCHAR AS doc_id, text AS doc FROM documents
-  WHERE source <> 'src0' AND doc_id NOT IN (SELECT doc_id FROM labels)
-  UNION ALL
-  SELECT doc_id::VARCHAR, 'Revised. ' || text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
-  UNION ALL
-  SELECT 'p' || page_id, CASE WHEN NOT contains(html, '&copy;') THEN html END FROM pages)""",
+        "load_answers": _answers(),
+        "load_answers_array": _answers(),
         "parse_qrel_last": f"""WITH {CHAT}
 SELECT query_id, doc_id, max(relevance)::INTEGER AS relevance FROM ({qrel_lines}) GROUP BY query_id, doc_id""",
         "parse_qrel_set": f"WITH {CHAT} SELECT DISTINCT query_id, doc_id, relevance FROM ({qrel_lines})",
@@ -380,6 +385,9 @@ SELECT concat_ws(chr(9), query_id, '0', doc_id, relevance::VARCHAR) AS line FROM
         "metrics_wide": _vector_metrics(f"SELECT {_metrics(METRIC_NAMES)} FROM metrics"),
         "embed_docs": f"""WITH {TEXT}
 SELECT id AS doc_id, term, tf FROM text_terms""",
+        "embed_cache_dense": f"""WITH {TEXT},
+dense AS (SELECT id, term % 64 AS dim, sum(tf) AS n FROM text_terms GROUP BY ALL)
+SELECT id AS doc_id, dim::INTEGER AS dim, round(n / sqrt(sum(n * n) OVER (PARTITION BY id)), 6) AS value FROM dense""",
         "basic_runs": f"""{_system_runs()}
 SELECT system, topic_set, tag, query_id, doc_id, rank::INTEGER AS rank, round(score, 6) AS score FROM runs""",
         "clean_text_docs": f"SELECT doc_id, {_clean('text')} AS text FROM documents",

@@ -51,6 +51,17 @@ def load_topics(
     return topics.select("query_id", clean_text(F.col("query")).alias("query"))
 
 
+def _records(spark: SparkSession, paths: Paths, array: bool) -> DataFrame:
+    """(_record, _at): JSON objects as maps, which hold a null under its key and nothing for a missing one."""
+    strict = {"mode": "FAILFAST"}
+    if not array:
+        lines = spark.read.text(_list(paths))
+        return lines.select(F.from_json("value", "map<string,string>", strict).alias("_record"), file_position().alias("_at"))
+    files = spark.read.option("recursiveFileLookup", True).text(_list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
+    parsed = files.select("_file", F.posexplode(F.from_json("value", "array<map<string,string>>", strict)).alias("_row", "_record"))
+    return parsed.select("_record", F.struct("_file", "_row").alias("_at"))
+
+
 def load_answers(
     spark: SparkSession,
     paths: Paths,
@@ -60,23 +71,14 @@ def load_answers(
 ) -> DataFrame:
     """(doc_id, text), cleaned; records without a ``doc`` key are dropped, the last of one id wins.
 
-    In JSON Lines a ``doc`` that is present but null is kept as ''. In array files a null cannot be told
-    from a missing key, so both are dropped; ``keep_null_docs=False`` does the same for lines.
+    A ``doc`` that is present but null is kept as ''; ``keep_null_docs=False`` drops it. ``array=True`` reads
+    files that hold one JSON array each, every one of them in one task; their records are told apart the same way.
     """
-    if array:
-        raw = read_records(spark, paths, schemas.ANSWERS_SIMPLE, array=True)
-        records = raw.select("doc_id", "doc", file_position().alias("_at")).where(F.col("doc").isNotNull())
-    else:
-        lines = spark.read.text(_list(paths))
-        parsed = lines.select(
-            F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}).alias("_record"),
-            file_position().alias("_at"),
-        )
-        records = parsed.where(F.map_contains_key("_record", "doc")).select(
-            F.col("_record")["doc_id"].alias("doc_id"), F.col("_record")["doc"].alias("doc"), "_at"
-        )
-        if not keep_null_docs:
-            records = records.where(F.col("doc").isNotNull())
+    records = _records(spark, paths, array).where(F.map_contains_key("_record", "doc")).select(
+        F.col("_record")["doc_id"].alias("doc_id"), F.col("_record")["doc"].alias("doc"), "_at"
+    )
+    if not keep_null_docs:
+        records = records.where(F.col("doc").isNotNull())
     if not unique_ids:
         records = keep_last(records, ["doc_id"], F.col("_at"))
     return records.select("doc_id", clean_text(F.col("doc")).alias("text"))

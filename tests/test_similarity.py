@@ -17,6 +17,7 @@ from rankweave.operators.encode import (
 from rankweave.operators.evaluate import evaluate, mean_metrics
 from rankweave.operators.retrieve import run_rows, two_stage
 from rankweave.operators.similarity import cosine_topk
+from rankweave.operators.vector_table import VectorTable, with_keys
 from rankweave.session import scratch_path
 
 PATHS = {"one block": {}, "passes": {"block_bytes": 4096}, "floors": {"floor_share": 3}, "floored passes": {"block_bytes": 4096, "floor_share": 2, "stored": True}}
@@ -198,6 +199,58 @@ def test_cache_adds_only_what_is_missing(spark):
     assert read_cache(spark, path, "m2").count() == 2
 
 
+def _lengths(df):
+    """An encoder of the others' kind, which tells how often it ran."""
+
+    def make():
+        return lambda texts: np.array([[len(t), t.count("o")] for t in texts], dtype=np.float32)
+
+    return encode_model(df, "text", make)
+
+
+def test_stored_vectors_of_a_model(spark, tmp_path):
+    table = VectorTable(spark, str(tmp_path), "m/1", buckets=3)
+    docs = spark.createDataFrame([(f"d{i}", "o" * i) for i in range(20)] + [("null", None)], "doc_id string, text string")
+    assert table.rows() is None
+    first = {r.doc_id: r.embedding for r in table.vectors(docs.limit(7), _lengths).collect()}
+    assert len(first) == 7
+    found = {r.doc_id: r.embedding for r in table.vectors(docs, _lengths).collect()}
+    assert found == {f"d{i}": [float(i)] * 2 for i in range(20)} | {"null": [0.0, 0.0]}
+    assert table.update(docs, _lengths) == 0 and table.rows().count() == 21
+    changed = spark.createDataFrame([("d3", "changed"), ("new", "oo")], "doc_id string, text string")
+    assert table.update(changed, _lengths) == 2
+    assert {r.doc_id: r.embedding for r in table.vectors(changed, _lengths).collect()} == {"d3": [7.0, 0.0], "new": [2.0, 2.0]}
+    table.add(table.rows().where("doc_id = 'new'"))  # another writer at the same time
+    assert table.rows().count() == 24
+    assert table.vectors(changed, _lengths).count() == 2
+    other = VectorTable(spark, str(tmp_path), "m/2", buckets=3)
+    assert other.rows() is None
+    table.compact(keep=changed)
+    assert sorted(r.doc_id for r in table.rows().collect()) == ["d3", "new"]
+    assert [v[0] for v in table._versions()] == [2]
+    assert not spark.catalog.listTables()
+
+
+def test_looking_up_moves_no_text_and_no_stored_row(spark, tmp_path):
+    table = VectorTable(spark, str(tmp_path), "m", buckets=4)
+    docs = spark.createDataFrame([(f"d{i}", "o" * i) for i in range(50)], "doc_id string, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    table.update(docs.limit(30), _lengths)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = table.missing_keys(with_keys(docs).select("key"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange" in line]
+    assert len(exchanges) == 1  # of the documents' keys; the stored side lies in its buckets
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+    below = lines[exchanges[0] + 1]
+    assert "Project [concat_ws" in below and "AS key" in below
+
+
 def test_two_stage_invariants(spark):
     rng = np.random.default_rng(4)
     docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(_texts(rng, 80))], "doc_id string, text string")

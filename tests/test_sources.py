@@ -32,7 +32,8 @@ def test_answers_key_presence(spark, tmp_path):
     assert _set(readers.load_answers(spark, path)) == {("a", "a2"), ("c", "")}
     assert _set(readers.load_answers(spark, path, keep_null_docs=False)) == {("a", "a2")}
     array = _file(tmp_path, "b.json", json.dumps(lines))
-    assert _set(readers.load_answers(spark, array, array=True)) == {("a", "a2")}
+    assert _set(readers.load_answers(spark, array, array=True)) == {("a", "a2"), ("c", "")}
+    assert _set(readers.load_answers(spark, array, array=True, keep_null_docs=False)) == {("a", "a2")}
 
 
 def test_qrels(spark, tmp_path):

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,23 @@ def test_entities_decode_like_the_standard_library(spark):
     assert _apply(spark, text.html_to_text, texts) == [html.unescape(t) for t in texts]
 
 
+def test_every_reference_decodes_like_the_standard_library(spark):
+    """The whole table of names, odd numbers, and random rubbish; without tags, so that only references count."""
+    rng = random.Random(2)
+    names = [f"&{n}" for n in html5]
+    numbers = [0, 1, 8, 9, 10, 11, 13, 14, 31, 32, 38, 60, 127, 128, 129, 150, 159, 160, 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFEFF, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000, 10**9, 10**30]
+    texts = [f"{a}&#{n}{b}&#x{n:x}{b}z&#X{n:08X}{b}" for n in numbers for a in ("", "a") for b in ("", ";", ";;", " ")]
+    texts += names + [f"x{n}y" for n in names] + ["&", "&&", "&;", "&#", "&#;", "&#x;", "&#xg", "&a" * 30, "&" + "b" * 40 + ";", "&amp" + "c" * 40, "&lt;&gt", ""]
+    parts = ["&", "#", "x", ";", "amp", "lt", "not", "in", "copy", "1", "9", "4", " ", "é", "\n", "frac12", "😀"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(1500)]
+    assert _apply(spark, text._decode_entities, texts) == [html.unescape(t) for t in texts]
+
+
+def test_cleaning_stays_in_the_jvm(spark):
+    df = spark.createDataFrame([("<b>&eacute;</b>",)], "t string").select(text.clean_text(F.col("t")).alias("a"), text.html_to_text(F.col("t")).alias("b"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("buckets", [8, None])
 def test_term_vectors(spark, buckets):
     texts = ["b a b\tc", "", None, "  x  ", "a b"]
