@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankweave.operators.ranking import exact_rank
+from rankweave.session import staged
+from rankweave.sources.readers import read_runs
+from rankweave.sources.writers import write_metrics
 
 # The grades that count, the metric names and cutoffs.
 GRADES = (1, 2)
@@ -135,3 +138,32 @@ def ski_jump_ticks(series: DataFrame, ticks: int = 10) -> DataFrame:
     """The labelled positions of the series: every (n // ticks)-th query, all of them when n is small."""
     step = F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") / ticks))
     return series.where(F.pmod(F.col("pos"), step) == 0).select("query_id", "p5", "pos")
+
+
+def evaluate_runs(
+    spark: SparkSession,
+    runs_path: str,
+    qrels: DataFrame,
+    out_path: str,
+    systems: Sequence[str],
+    tags: Sequence[str],
+    topic_set: int = 1,
+    grades: Sequence[int] = GRADES,
+    depth: int | None = None,
+) -> DataFrame:
+    """Measure stored result sets: (system, tag) with the mean of every metric.
+
+    Each of them is written to ``out_path``/system/tag: the means as a CSV file in ``metrics``, the series of
+    P@5 by query in ``series``. All are measured over the judged queries, so one without results has zeros.
+    """
+    runs = read_runs(spark, runs_path, systems, [topic_set], tags)
+    named = {f"{system}/{tag}": (system, tag) for system in systems for tag in tags}
+    runs = runs.withColumn("system", F.concat_ws("/", "system", "tag"))
+    per_query = staged(evaluate(runs, qrels, grades, depth, list(named)), "per-query")
+    means = staged(mean_metrics(per_query, ["system"]), "means")
+    for name, (system, tag) in named.items():
+        place = f"{out_path}/{system}/{tag}"
+        write_metrics(named_metrics(means.where(F.col("system") == name).drop("system")), f"{place}/metrics")
+        ski_jump(per_query.where(F.col("system") == name)).drop("n").write.option("header", True).csv(f"{place}/series")
+    parts = F.split("system", "/")
+    return means.select(F.get(parts, 0).alias("system"), F.get(parts, 1).alias("tag"), *METRICS)

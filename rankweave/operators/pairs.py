@@ -1,7 +1,7 @@
 """Labelled query-document pairs from topics, answers and judgments.
 
-The joins below are many judgments to one topic or one answer. A topic or document with a huge share of
-the judgments is split by the adaptive skew join; nothing is collected per query.
+The joins below are many judgments to one topic or one answer. The judgments of a topic or document with a
+huge share of them are dealt out over salts, to which its one row is copied; nothing is collected per query.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.text import clean_text, compose_query, filled
 from rankweave.operators.dedup import keep_highest
-from rankweave.operators.joins import salted_join
+from rankweave.operators.joins import hot_keys, salted_join
 from rankweave.operators.ranking import exact_rank
 from rankweave.operators.split import THREE_WAY, TWO_WAY, assign_splits
+from rankweave.session import staged
 
 
 def compose_topics(raw_topics: DataFrame, markers: bool = True) -> DataFrame:
@@ -65,15 +66,15 @@ def valid_topics(topics: DataFrame) -> DataFrame:
 
 def judged_ids(qrels: DataFrame, topics: DataFrame, answers: DataFrame) -> DataFrame:
     """Judgments whose topic and document both exist; no text is read for this."""
-    return qrels.join(answers.select("doc_id"), "doc_id", "left_semi").join(
-        topics.select("query_id"), "query_id", "left_semi"
-    )
+    known = salted_join(qrels, answers.select("doc_id"), "doc_id", "query_id", "left_semi")
+    return salted_join(known, topics.select("query_id"), "query_id", "doc_id", "left_semi", hot=hot_keys(qrels.select("query_id"), "query_id"))
 
 
 def with_texts(judged: DataFrame, topics: DataFrame, answers: DataFrame) -> DataFrame:
-    pairs = judged.join(topics.select("query_id", "query"), "query_id").join(
-        answers.select("doc_id", F.col("text").alias("doc")), "doc_id"
-    )
+    judged = staged(judged, "judged-ids")  # read for its hot keys, and then twice joined
+    pairs = salted_join(judged, topics.select("query_id", "query"), "query_id", "doc_id")
+    docs = answers.select("doc_id", F.col("text").alias("doc"))
+    pairs = salted_join(pairs, docs, "doc_id", "query_id", hot=hot_keys(judged.select("doc_id"), "doc_id"))
     others = [c for c in judged.columns if c not in ("query_id", "doc_id", "relevance")]
     return pairs.select("query", "query_id", "doc", "doc_id", F.col("relevance").alias("score"), *others)
 
@@ -138,9 +139,11 @@ def training_samples(
     """
     parts = ((TWO_WAY[0][0], ratio), TWO_WAY[1])
     splits = assign_splits(qrels.select("query_id").distinct(), parts, seed).select("query_id", "split")
-    labelled = qrels.join(splits, "query_id").join(topics.select("query_id", "query"), "query_id", "left")
+    hot_queries, hot_docs = (hot_keys(qrels.select(k), k) for k in ("query_id", "doc_id"))
+    labelled = salted_join(qrels, splits, "query_id", "doc_id", hot=hot_queries)
+    labelled = salted_join(labelled, topics.select("query_id", "query"), "query_id", "doc_id", "left", hot=hot_queries)
     docs = answers.select("doc_id", F.col("text").alias("doc"))
-    return labelled.join(docs, "doc_id").select(
+    return salted_join(labelled, docs, "doc_id", "query_id", hot=hot_docs).select(
         "query_id",
         "doc_id",
         F.coalesce("query", F.lit("")).alias("query"),

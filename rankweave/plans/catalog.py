@@ -544,6 +544,26 @@ def metrics_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics_by_system(spark, sf_dir, ["basic"])
 
 
+def evaluate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored result sets of the unfitted system, measured; each query's place in its series beside the
+    means, both as read back from the files."""
+    path = scratch_path(spark, "measured")
+    writers.write_runs(_system_runs(spark, sf_dir, ["basic"], topic_sets=[1]), f"{path}/runs")
+    qrels = pairs.split_qrels(_split_ids(spark, sf_dir), si.chat_qrels(spark, sf_dir), "test")
+    tags = [retrieve.BI_TAG, retrieve.CE_TAG]
+    evaluate.evaluate_runs(spark, f"{path}/runs", qrels, f"{path}/out", ["basic"], tags, depth=DEPTH)
+    parts = []
+    for tag in tags:
+        place = f"{path}/out/basic/{tag}"
+        names = ", ".join(f"`{n}` double" for n in evaluate.METRICS.values())
+        means = spark.read.schema(names).option("header", True).csv(f"{place}/metrics").toDF(*evaluate.METRICS).first()
+        series = spark.read.schema("query_id string, p5 double, pos long").option("header", True).csv(f"{place}/series")
+        columns = [F.lit(means[m]).alias(f"mean_{m}") for m in evaluate.METRICS]
+        parts.append(series.select(F.lit("basic").alias("system"), F.lit(tag).alias("tag"), "*", *columns))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.select("system", "tag", "query_id", shown("p5"), "pos", *[shown(f"mean_{m}") for m in evaluate.METRICS])
+
+
 def ski_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = evaluate.ski_jump(_vector_metrics(spark, sf_dir))
     return series.select("query_id", shown("p5"), "pos")
@@ -718,6 +738,7 @@ QUERIES: dict[str, Query] = {
     "metrics_mean": metrics_mean,
     "metrics_by_system": metrics_by_system,
     "metrics_basic": metrics_basic,
+    "evaluate_runs": evaluate_runs,
     "ski_jump": ski_jump,
     "ski_jump_ticks": ski_jump_ticks,
     "ski_jump_jitter": ski_jump_jitter,

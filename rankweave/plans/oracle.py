@@ -503,6 +503,14 @@ SELECT query_id, doc_id, relevance FROM vector_qrels WHERE relevance IN (1, 2)""
 tagged AS (SELECT system || '/' || tag AS system, query_id, doc_id, rank FROM runs WHERE topic_set = 1),
 {_evaluated("tagged", "test_qrels", key="system").strip()}
 SELECT system, {_metrics()} FROM metrics GROUP BY system""",
+        "evaluate_runs": f"""{_system_runs()},
+tagged AS (SELECT tag AS system, query_id, doc_id, rank FROM runs WHERE topic_set = 1),
+{_evaluated("tagged", "test_qrels", key="system").strip()},
+means AS (SELECT system, {", ".join(f"round(avg({m}), 6) AS mean_{m}" for m in METRIC_NAMES)} FROM metrics GROUP BY system)
+SELECT 'basic' AS system, system AS tag, query_id, round(p5, 6) AS p5,
+       row_number() OVER (PARTITION BY system ORDER BY p5, md5(query_id), query_id) - 1 AS pos,
+       means.* EXCLUDE (system)
+FROM metrics JOIN means USING (system)""",
         "ski_jump": _ski_jump(""),
         "ski_jump_jitter": _vector_metrics(
             """SELECT query_id, round(p5, 6) AS p5, row_number() OVER (ORDER BY p5, md5(query_id), query_id) - 1 AS pos,

@@ -28,3 +28,13 @@ RUN = T.StructType(
         T.StructField("tag", T.StringType()),
     ]
 )
+
+#: The run table: a run's rows with the result set that they belong to, whose columns name the folders.
+RUNS = T.StructType(
+    [
+        *[f for f in RUN.fields if f.name != "tag"],
+        T.StructField("system", T.StringType()),
+        T.StructField("topic_set", T.IntegerType()),
+        T.StructField("tag", T.StringType()),
+    ]
+)

@@ -192,3 +192,15 @@ def load_raw_answers(spark: SparkSession, paths: Paths, form: str = "lines") ->
     """(doc_id, text) of raw answers, not cleaned; records without an id or a text are left out."""
     raw = read_raw(spark, paths, "answers", form)
     return raw.where(F.col("Id").isNotNull() & F.col("Text").isNotNull()).select(F.col("Id").alias("doc_id"), F.col("Text").alias("text"))
+
+
+def read_runs(
+    spark: SparkSession, path: str, systems: Sequence[str] = (), topic_sets: Sequence[int] = (), tags: Sequence[str] = ()
+) -> DataFrame:
+    """Result sets of the run table at ``path``: those of the systems, topic sets and tags named, or all. Only
+    their files are read."""
+    runs = spark.read.schema(schemas.RUNS).parquet(path)
+    for column, wanted in (("system", systems), ("topic_set", topic_sets), ("tag", tags)):
+        if wanted:
+            runs = runs.where(F.col(column).isin(*wanted))
+    return runs

@@ -121,3 +121,50 @@ def test_top_k_limits_before_the_exchange(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert sorted(map(tuple, top.collect())) == [(0, 96, 2), (0, 99, 1), (1, 94, 2), (1, 97, 1), (2, 95, 2), (2, 98, 1)]
+
+
+def test_stored_runs_are_measured_by_system_and_tag(spark, tmp_path):
+    """The hand-computed case as one of two result sets; the other has no results."""
+    from rankweave.operators.evaluate import evaluate_runs
+    from rankweave.sources.readers import read_runs
+    from rankweave.sources.writers import write_runs
+
+    qrels = [("q1", "d1", 2), ("q1", "d2", 1), ("q1", "d9", 1), ("q1", "d3", 0), ("q2", "d1", 0), ("q3", "d1", 1)]
+    ranked = [("q1", f"d{d}", n, 1.0 - n / 10) for n, d in enumerate((3, 1, 4, 2, 5, 9), 1)] + [("q2", "d1", 1, 0.9), ("q4", "d1", 1, 0.9)]
+    rows = [(q, "Q0", d, n, s, "a", 1, "bi") for q, d, n, s in ranked] + [("q1", "Q0", "d1", 1, 0.5, "a", 2, "bi"), ("q1", "Q0", "d1", 1, 0.5, "b", 1, "bi")]
+    runs = spark.createDataFrame(rows, "query_id string, q0 string, doc_id string, rank int, score double, system string, topic_set int, tag string")
+    write_runs(runs, f"{tmp_path}/runs")
+    judged = spark.createDataFrame(qrels, "query_id string, doc_id string, relevance int")
+    means = evaluate_runs(spark, f"{tmp_path}/runs", judged, f"{tmp_path}/out", ["a"], ["bi", "ce"], depth=100)
+    got = {(r.system, r.tag): [round(v, 6) for v in r[2:]] for r in means.collect()}
+    assert got == {("a", "bi"): [0, 0.133333, 0.222222, 0.180195, 0.166667, 0.166667], ("a", "ce"): [0] * 6}
+    for tag, p5 in (("bi", 0.4), ("ce", 0.0)):
+        written = spark.read.option("header", True).csv(f"{tmp_path}/out/a/{tag}/metrics").collect()
+        assert len(written) == 1 and "precision@5" in written[0].asDict()
+        series = spark.read.option("header", True).csv(f"{tmp_path}/out/a/{tag}/series").collect()
+        assert sorted(int(r.pos) for r in series) == [0, 1, 2]
+        assert max(float(r.p5) for r in series) == p5
+    plan = read_runs(spark, f"{tmp_path}/runs", ["b"], [1], ["bi"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(system" in plan or "system#" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_judgments_of_hot_topics_and_documents(spark, monkeypatch):
+    from rankweave.operators import joins, pairs
+
+    topics = spark.createDataFrame([(f"q{i}", f"query {i}") for i in range(40)], "query_id string, query string")
+    answers = spark.createDataFrame([(f"d{i}", f"text {i}") for i in range(40)], "doc_id string, text string")
+    rows = [("q0", f"d{i % 50}", i % 3) for i in range(300)] + [(f"q{i % 50}", "d1", 1) for i in range(300)] + [(None, "d1", 1), ("q1", None, 1)]
+    qrels = spark.createDataFrame(rows, "query_id string, doc_id string, relevance int")
+
+    def found():
+        judged = pairs.judged_pairs(topics, qrels, answers)
+        samples = pairs.training_samples(topics, answers, qrels)
+        return sorted(map(tuple, judged.collect())), sorted(map(tuple, samples.collect()))
+
+    plain = found()
+    known = [(q, d, r) for q, d, r in rows if q and d and int(q[1:]) < 40 and int(d[1:]) < 40]
+    assert sorted((r[1], r[3], r[4]) for r in plain[0]) == sorted(known)
+    few = joins.hot_keys
+    for module in (pairs, joins):
+        monkeypatch.setattr(module, "hot_keys", lambda many, key, hot_rows=0: few(many, key, 7))
+    assert found() == plain
