@@ -21,7 +21,7 @@ from rankweave.llm.wordbpe import BYTE_CHARS
 from rankweave.session import staged
 
 #: Bytes of text in a block, of which a longer text is not cut, and segments aligned at a time.
-BLOCK_BYTES, ALIGNED = 24 << 20, 20_000
+BLOCK_BYTES, ALIGNED = 12 << 20, 10_000
 SPACE, MARK = 0x20, "▁"
 #: Above any id of B.
 SHIFT = 1 << 24
