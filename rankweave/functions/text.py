@@ -7,6 +7,7 @@ pattern, so the patterns below keep and drop the same characters as Python's ``r
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -34,6 +35,7 @@ def _shown(code: int) -> str:
 #: Named references with and without the semicolon, as the standard table has them; those without one also count
 #: where more letters follow.
 NAMED = json.dumps(html5)
+OPEN = json.dumps({name: shown for name, shown in html5.items() if not name.endswith(";")})
 LONGEST_OPEN = max(len(name) for name in html5 if not name.endswith(";"))
 #: Numbers that show other characters than their own, and numbers that show nothing.
 ODD_NUMBERS = json.dumps({str(code): _shown(code) for code in (0, 0x0D, *range(0x80, 0xA0))})
@@ -45,6 +47,17 @@ def _constant(table: str) -> Column:
     return F.from_json(F.lit(table), "map<string,string>")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it uses several times, evaluated once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it uses several times, evaluated once. Bodies must not nest: an argument of a
+    Python function with lambdas inside lambdas cannot be planned."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _number(reference: Column) -> Column:
     """The character of ``#...`` or ``#x...``."""
     hexadecimal = F.substring(reference, 2, 1).isin("x", "X")
@@ -65,25 +78,22 @@ def _number(reference: Column) -> Column:
 
 def _name(reference: Column) -> Column:
     """The characters of a name, else of its longest beginning that is one, else the reference as it stands."""
-    names = _constant(NAMED)
-    found = [F.try_element_at(names, reference)]
+    found = [F.try_element_at(_constant(NAMED), reference)]
     for length in range(LONGEST_OPEN, 1, -1):
-        begun = F.try_element_at(names, F.substring(reference, 1, length))
+        begun = F.try_element_at(_constant(OPEN), F.substring(reference, 1, length))
         found.append(F.when(F.length(reference) > length, F.concat(begun, F.substr(reference, F.lit(length + 1)))))
     return F.coalesce(*found, F.concat(F.lit("&"), reference))
 
 
 def _decode_entities(text: Column) -> Column:
     """Character references decoded, as expressions; the parts after each ampersand are looked at alone."""
-    parts = F.split(text, "&")
 
-    def decoded(part: Column) -> Column:
+    def decoded(part: Column, at: Column) -> Column:
         reference = F.regexp_extract(part, REFERENCE, 1)
         shown = F.when(reference == "", F.lit("&")).when(reference.startswith("#"), _number(reference)).otherwise(_name(reference))
-        return F.concat(shown, F.substr(part, F.length(reference) + 1))
+        return F.when(at == 0, part).otherwise(F.concat(shown, F.substr(part, F.length(reference) + 1)))
 
-    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    return F.when(text.contains("&"), F.concat(F.get(parts, 0), F.array_join(rest, ""))).otherwise(text)
+    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
 
 
 def _without_tags(text: Column) -> Column:
@@ -115,7 +125,7 @@ def strip_special(text: Column) -> Column:
 def clean_text(text: Column) -> Column:
     """HTML (only where both brackets occur), URLs, special characters, case; NULL becomes ''."""
     plain = _as_text(text, text.contains("<") & text.contains(">"))
-    return F.coalesce(F.lower(strip_special(strip_urls(plain))), F.lit(""))
+    return F.coalesce(F.lower(strip_special(_let(plain, strip_urls))), F.lit(""))
 
 
 def strip_space(text: Column) -> Column:

@@ -129,10 +129,19 @@ def scan_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents are in the table first; a second pass adds what is missing."""
-    path = scratch_path(spark, "vectors")
-    docs = retrieve.clean_answers(si.text_answers(spark, sf_dir))
-    encode.append_cache(_labelled(spark, sf_dir, docs), path, "terms")
-    return encode.explode_terms(encode.cached_vectors(docs, path, "terms"), ["doc_id"])
+    table = VectorTable(spark, scratch_path(spark, "vectors"), "clean terms")
+    docs = si.text_answers(spark, sf_dir)
+    table.update(_labelled(spark, sf_dir, docs), _clean_terms)
+    return encode.explode_terms(table.vectors(docs, _clean_terms).select("doc_id", "terms", "tf"), ["doc_id"])
+
+
+def _cleaned(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text", tx.clean_text(F.col("text")))
+
+
+def _clean_terms(docs: DataFrame) -> DataFrame:
+    """Cleaning is part of the encoder, so that looking up stored vectors reads texts as they are."""
+    return encode.encode_terms(_cleaned(docs), "text")
 
 
 DENSE = 64
@@ -141,9 +150,9 @@ DENSE = 64
 def embed_cache_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense vectors through the table: labelled documents first, then all, of which a third pass finds none
     missing."""
-    table = VectorTable(spark, scratch_path(spark, "dense-vectors"), "dense/64")
-    docs = retrieve.clean_answers(si.text_answers(spark, sf_dir))
-    encode_all = lambda df: encode.encode_dense_terms(df, "text", DENSE)
+    table = VectorTable(spark, scratch_path(spark, "dense-vectors"), "clean dense/64")
+    docs = si.text_answers(spark, sf_dir)
+    encode_all = lambda df: encode.encode_dense_terms(_cleaned(df), "text", DENSE)
     table.update(_labelled(spark, sf_dir, docs), encode_all)
     table.update(docs, encode_all)
     added = table.update(docs, encode_all)
@@ -382,8 +391,8 @@ def cosine_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cosine_topk_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pass for each block of queries, as for sets too large to broadcast, and floors from one document
-    in four; blocks of about 1 MB here."""
-    return _vector_topk(spark, sf_dir, block_bytes=1 << 20, floor_share=4, stored=True)
+    in four; blocks of about 4 MB here."""
+    return _vector_topk(spark, sf_dir, block_bytes=4 << 20, floor_share=4, stored=True)
 
 
 def sparse_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
