@@ -31,8 +31,11 @@ def staged_by_block(rows: DataFrame, label: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, label)
     name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
-    rows.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    try:
+        rows.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+        return spark.table(name)  # resolved here, so that the name can go; the files stay
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 class Block(Protocol):
@@ -136,6 +139,19 @@ def hash_bytes(value: bytes) -> int:
     return xxhash.xxh32_intdigest(value)
 
 
+def bucketed_words(words: list[bytes], numbers: np.ndarray, weights: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """(bucket, numbers, weights, words) of different words by hash bucket, packed; ``weights`` go by number."""
+    dealt = np.fromiter((hash_bytes(w) % buckets for w in words), dtype=np.int64, count=len(words))
+    order = np.argsort(dealt, kind="stable")
+    ends = np.searchsorted(dealt[order], np.arange(buckets + 1))
+    for bucket in np.flatnonzero(np.diff(ends)).tolist():
+        mine = order[ends[bucket] : ends[bucket + 1]]
+        listed = [words[i] for i in mine.tolist()]
+        lengths = pack_ints(np.array([len(w) for w in listed]))
+        body = len(lengths).to_bytes(4, "little") + lengths + zstandard.compress(b"".join(listed), 3)
+        yield bucket, pack_ints(numbers[mine]), pack_ints(weights[numbers[mine]]), body
+
+
 def word_list(body: bytes) -> list[bytes]:
     size = int.from_bytes(body[:4], "little")
     ends = np.cumsum(unpack_ints(body[4 : 4 + size]))

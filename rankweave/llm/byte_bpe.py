@@ -6,7 +6,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +21,14 @@ from rankweave.llm.blocks import block_ids, encode_words, split_texts, staged_by
 DOUBLE_SPACE = re.compile(r"\s (?:\s|\Z)")
 
 
-@lru_cache(2)
 def encoding(vocabulary: str, pattern: str) -> tiktoken.Encoding:
+    """Made once for each task or block: a cached function would travel by the name of this package, which
+    executors need not have."""
     with open(vocabulary, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(2)
 def token_bytes(vocabulary: str, pattern: str) -> list[bytes]:
     """The bytes of every id; the table is as large as the vocabulary, not the corpus."""
     table = encoding(vocabulary, pattern)._mergeable_ranks
@@ -39,7 +38,6 @@ def token_bytes(vocabulary: str, pattern: str) -> list[bytes]:
     return out
 
 
-@lru_cache(2)
 def splitter(pattern: str) -> regex.Pattern:
     """The pattern with ``\\s`` written out, as libraries differ on control characters."""
     space = r"\t-\r \x85\xa0  -     　"

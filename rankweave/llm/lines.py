@@ -5,6 +5,8 @@ DataFrame functions only, no Python on the executors.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -138,13 +140,15 @@ def dedup_lines(
     existing column ``deleted_lines`` is replaced; columns of the caller named like inner ones do no harm.
     """
     sequences = staged(line_sequences(docs, doc_id, text), "line-sequences")
-    runs = staged(repeated_runs(sequences, gram_words, run_words), "line-runs").select(F.col("key").alias("_run_key"), F.col("runs").alias("_runs"))
+    # Names of this call alone, as the caller's columns may have any.
+    line_key, run_key, found, left = (f"_{uuid.uuid4().hex}" for _ in range(4))
+    runs = staged(repeated_runs(sequences, gram_words, run_words), "line-runs").select(F.col("key").alias(run_key), F.col("runs").alias(found))
     lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda _, i: ~F.exists("_runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    keyed = docs.withColumn("_line_key", row_key(doc_id, text)).join(runs.hint("merge"), F.col("_line_key") == F.col("_run_key"), "left")
-    cut = F.col("_runs").isNotNull()
-    keyed = keyed.withColumn("_kept", F.when(cut, kept))
-    deleted = F.when(cut, F.size(lines) - F.size("_kept")).otherwise(0).cast("long")
-    return keyed.withColumns({text: F.when(cut, F.array_join("_kept", "\n")).otherwise(F.col(text)), "deleted_lines": deleted}).drop(
-        "_line_key", "_run_key", "_runs", "_kept"
+    kept = F.filter(lines, lambda _, i: ~F.exists(found, lambda r: (i >= r["first"]) & (i <= r["last"])))
+    keyed = docs.withColumn(line_key, row_key(doc_id, text)).join(runs.hint("merge"), F.col(line_key) == F.col(run_key), "left")
+    cut = F.col(found).isNotNull()
+    keyed = keyed.withColumn(left, F.when(cut, kept))
+    deleted = F.when(cut, F.size(lines) - F.size(left)).otherwise(0).cast("long")
+    return keyed.withColumns({text: F.when(cut, F.array_join(left, "\n")).otherwise(F.col(text)), "deleted_lines": deleted}).drop(
+        line_key, run_key, found, left
     )

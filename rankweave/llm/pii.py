@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import ahocorasick
@@ -58,7 +57,6 @@ class Span(NamedTuple):
     end: int
 
 
-@lru_cache(1)
 def anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for sign, use in [("@", "at"), ("+", "plus"), ("://", "scheme"), *((d, "digit") for d in DIGITS)]:
@@ -162,19 +160,19 @@ def _cued(text: str, kind: str, start: int, end: int) -> Iterator[Span]:
         yield Span("secret" if kind == "secret" else "account", after, found.end())
 
 
-def find_spans(text: str | None) -> list[Span]:
+def find_spans(text: str | None, found: ahocorasick.Automaton | None = None) -> list[Span]:
     """All spans of a text by kind as in ``KINDS``, then start; code points, end exclusive.
 
     The base kinds hold exactly the leftmost non-overlapping matches of their patterns that pass the
     check of their parts: a match uses only characters of its kind and contains an anchor, so expanding
     each anchor over them cannot miss one, and takes time in proportion to the text. Of the other kinds,
-    overlapping spans keep the first.
+    overlapping spans keep the first. ``found`` are ``anchors()``, for callers with many texts.
     """
     if not text:
         return []
     out: dict[str, list[Span]] = {kind: [] for kind in KINDS}
     email_end = number_end = phone_end = 0
-    for last, (use, size) in anchors().iter(text.translate(LOWER)):
+    for last, (use, size) in (found or anchors()).iter(text.translate(LOWER)):
         at = last - size + 1
         if use == "digit":
             if at >= number_end:
@@ -197,12 +195,12 @@ def find_spans(text: str | None) -> list[Span]:
     return [span for kind in KINDS for span in out[kind]]
 
 
-def redacted(text: str | None) -> str | None:
+def redacted(text: str | None, found: ahocorasick.Automaton | None = None) -> str | None:
     """The text with every span replaced by its kind in brackets; overlapping spans become one, named
     by the kind that starts first (of several, the one listed first in ``KINDS``)."""
     if text is None:
         return None
-    spans = sorted(find_spans(text), key=lambda s: (s.start, KINDS.index(s.kind)))
+    spans = sorted(find_spans(text, found), key=lambda s: (s.start, KINDS.index(s.kind)))
     parts, at, end = [], 0, 0
     for span in spans:
         if span.start >= end:
@@ -218,12 +216,14 @@ SPANS_TYPE = ArrayType(
 
 @F.pandas_udf(SPANS_TYPE)
 def _spans(texts: pd.Series) -> pd.Series:
-    return pd.Series([[{"kind": s.kind, "start": s.start, "end": s.end} for s in find_spans(t)] for t in texts], dtype=object)
+    found = anchors()
+    return pd.Series([[{"kind": s.kind, "start": s.start, "end": s.end} for s in find_spans(t, found)] for t in texts], dtype=object)
 
 
 @F.pandas_udf(StringType())
 def _redacted(texts: pd.Series) -> pd.Series:
-    return pd.Series([redacted(t) for t in texts], dtype=object)
+    found = anchors()
+    return pd.Series([redacted(t, found) for t in texts], dtype=object)
 
 
 _spans = _spans.asNondeterministic()  # so that one evaluation serves every column taken from it

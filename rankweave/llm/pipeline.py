@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import jaccard, lines, packing, pii, quality
+from rankweave.llm import lines, packing, pii, quality, simhash
 from rankweave.session import staged
 
 #: What every stage but the last hands on.
@@ -14,7 +14,7 @@ DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the rules reject."""
+    """Drops the documents that the rules reject, null and empty ones among them; repeated rows fare alike."""
     return quality.drop_low_quality(docs).select(*DOCUMENTS)
 
 
@@ -25,9 +25,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", counted).select(*DOCUMENTS)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of all that five-word shingles at least 0.8 alike connect."""
-    return jaccard.keep_one_of_each(docs, shingle=5, similarity=0.8)
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of all whose fingerprints (three-word shingles) differ in at
+    most three bits, link by link."""
+    return simhash.keep_one_of_each(docs).select(*DOCUMENTS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +39,15 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 4096."""
+    """Token pieces and their places in sequences of 4096: of a null or empty text the end id, of repeated rows
+    the pieces of each."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
-    ("simhash_near_dedup", near_duplicates),
+    ("simhash_near_dedup", simhash_near_dedup),
     ("personal_data", personal_data),
     ("best_fit_packing", best_fit_packing),
 ]

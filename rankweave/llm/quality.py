@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -143,8 +144,8 @@ def base_failed(s: str) -> Column:
     return (words < 50) | (100 * F.col(f"{s}.n_repeat_words") > 50 * words)
 
 
-def quality_probability(measured: DataFrame, s: str = "_stats") -> DataFrame:
-    """Add ``_quality`` to rows that hold statistics in column ``s``.
+def quality_probability(measured: DataFrame, s: str, name: str) -> DataFrame:
+    """Add ``name``, the probability of good quality, to rows that hold statistics in column ``s``.
 
     The model is fitted on the counts of vote patterns over all rows: at most 3 to the number of rules
     of them, whatever the number of documents, which also bounds the table joined back.
@@ -152,8 +153,9 @@ def quality_probability(measured: DataFrame, s: str = "_stats") -> DataFrame:
     spark = measured.sparkSession
     tallied = measured.groupBy(vote_pattern(s).alias("p")).count().collect()
     posterior = fit_label_model({r["p"]: r["count"] for r in tallied})
-    table = spark.createDataFrame(list(posterior.items()), "_votes string, _quality double")
-    return measured.withColumn("_votes", vote_pattern(s)).join(F.broadcast(table), "_votes", "left")
+    votes = f"_{uuid.uuid4().hex}"
+    table = spark.createDataFrame(list(posterior.items()), f"{votes} string, {name} double")
+    return measured.withColumn(votes, vote_pattern(s)).join(F.broadcast(table), votes, "left").drop(votes)
 
 
 def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,7 +167,7 @@ def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     measured = staged(docs.select(F.col(doc_id).alias("doc_id"), text_stats(F.col(text)).alias("_stats")), "quality")
     failed = base_failed("_stats")
-    return quality_probability(measured).select(
+    return quality_probability(measured, "_stats", "_quality").select(
         "doc_id",
         F.col("_stats").alias("stats"),
         failed.alias("base_failed"),
@@ -180,6 +182,6 @@ def drop_low_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     Texts are measured in place, once for the fit and once for the filter, so no text is shuffled and
     rows need no unique id.
     """
-    measured = docs.withColumn("_stats", text_stats(F.col(text)))
-    judged = quality_probability(measured)
-    return judged.where(~base_failed("_stats") & (F.col("_quality") >= 0.5)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stats, probability = (f"_{uuid.uuid4().hex}" for _ in range(2))  # the caller's columns may have any name
+    judged = quality_probability(docs.withColumn(stats, text_stats(F.col(text))), stats, probability)
+    return judged.where(~base_failed(stats) & (F.col(probability) >= 0.5)).select(*[F.col(f"`{c}`") for c in docs.columns])

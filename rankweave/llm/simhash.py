@@ -177,7 +177,8 @@ def near_links(codes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:
-    """Add ``component_id`` to staged rows of ``fingerprints``: the smallest doc_id reachable by links.
+    """Add ``component_id`` to staged rows of ``fingerprints``: the smallest doc_id reachable by links, and
+    ``component``, which tells components apart.
 
     Equal fingerprints are one vertex, so copies never become pairs. A component whose ids are all null
     has a null id.
@@ -189,7 +190,7 @@ def near_duplicates(prints: DataFrame) -> DataFrame:
     )
     named = staged(named, "fingerprint-components")
     smallest = staged(named.groupBy("component").agg(F.min("first").alias("component_id")), "component-ids")
-    ids = staged(named.join(smallest, "component").select("fingerprint", "component_id"), "fingerprint-ids")
+    ids = staged(named.join(smallest, "component").select("fingerprint", "component", "component_id"), "fingerprint-ids")
     return prints.join(ids, "fingerprint")
 
 
@@ -199,6 +200,15 @@ def near_duplicate_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return near_duplicates(prints).select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of ``docs`` with the smallest id of all whose fingerprints links connect, columns unchanged.
+
+    Texts without words all have fingerprint zero, so one of them stays; so do null and empty ones.
+    """
+    named = near_duplicates(staged(fingerprints(docs, doc_id, text), "simhash"))
+    return keep_first(named, ["component"], docs, doc_id, text)
+
+
 def keep_first(named: DataFrame, component: list[str], docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The row of ``docs`` with the smallest id of every component, columns unchanged.
 

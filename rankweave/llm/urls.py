@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,18 +102,20 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], url: str = "url", defaul
     above ``MAX_TRIE_BYTES``.
     """
     trie = UrlTrie(rules)
-    size = len(pickle.dumps(trie))
-    if size > MAX_TRIE_BYTES:
-        raise ValueError(f"the rules take {size} bytes, more than the {MAX_TRIE_BYTES} that are broadcast")
-    shared = pages.sparkSession.sparkContext.broadcast(trie)
+    packed = cloudpickle.dumps(trie)  # with its classes, which executors need not have
+    if len(packed) > MAX_TRIE_BYTES:
+        raise ValueError(f"the rules take {len(packed)} bytes, more than the {MAX_TRIE_BYTES} that are broadcast")
+    shared = pages.sparkSession.sparkContext.broadcast(packed)
 
     @F.pandas_udf("host string, path string, rule string, verdict string")
-    def judge(urls: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in urls:
-            host, path = split_url(value)
-            rule, verdict = shared.value.match(host, path)
-            rows.append((host, path, rule, verdict or default))
-        return pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"])
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = pickle.loads(shared.value)
+        for urls in batches:
+            rows = []
+            for value in urls:
+                host, path = split_url(value)
+                rule, verdict = own.match(host, path)
+                rows.append((host, path, rule, verdict or default))
+            yield pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"])
 
     return pages.withColumn("judged", judge(F.col(url)))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
@@ -54,7 +53,6 @@ class PieceBlock:
         return b"".join(parts)
 
 
-@lru_cache(2)
 def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
