@@ -113,6 +113,8 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+# A line goes if it lies in a run of 50 words or more that has an earlier place. The shortest such runs, down
+# from each line and up to each line, have all of them.
 OP4_SQL = r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no
@@ -123,30 +125,22 @@ WITH split AS (
   SELECT doc_id, no, h, w, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS pos,
          coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c
   FROM worded WHERE w > 0
-), grams AS (
-  SELECT doc_id, pos, c,
-         CASE WHEN sum(w) OVER g >= 20 THEN {'gram': md5(array_to_string(list(h) OVER g, '')), 'back': -pos} END AS hashed
-  FROM numbered WINDOW g AS (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING)
-), picked AS (
-  SELECT doc_id, min(hashed) OVER (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 30 FOLLOWING) AS p FROM grams
-), prints AS (
-  SELECT DISTINCT doc_id, p.gram AS gram, -p.back AS pos FROM picked WHERE p IS NOT NULL
-), homes AS (
-  SELECT gram, min({'doc_id': doc_id, 'pos': pos}) AS home FROM prints GROUP BY gram HAVING count(*) > 1
-), diagonals AS (
-  SELECT DISTINCT p.doc_id, h.home.doc_id AS home_id, p.pos - h.home.pos AS shift
-  FROM prints p JOIN homes h USING (gram) WHERE p.doc_id <> h.home.doc_id OR p.pos <> h.home.pos
-), equal AS (
-  SELECT d.doc_id, d.home_id, d.shift, a.no, a.w,
-         a.pos - row_number() OVER (PARTITION BY d.doc_id, d.home_id, d.shift ORDER BY a.pos) AS island
-  FROM diagonals d
-  JOIN numbered a ON a.doc_id = d.doc_id
-  JOIN numbered b ON b.doc_id = d.home_id AND b.pos = a.pos - d.shift AND b.h = a.h
 ), runs AS (
-  SELECT doc_id, min(no) AS first, max(no) AS last FROM equal GROUP BY doc_id, home_id, shift, island HAVING sum(w) >= 50
+  SELECT doc_id, md5(array_to_string(list(h) OVER down, '')) AS run, pos AS first, max(pos) OVER down AS last, sum(w) OVER down AS words
+  FROM numbered WINDOW down AS (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, md5(array_to_string(list(h) OVER up, '')), min(pos) OVER up, pos, sum(w) OVER up
+  FROM numbered WINDOW up AS (PARTITION BY doc_id ORDER BY c + w RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+), firsts AS (
+  SELECT run, min({'doc_id': doc_id, 'first': first}) AS home FROM runs WHERE words >= 50 GROUP BY run
+), copies AS (
+  SELECT DISTINCT r.doc_id, a.no AS first, b.no AS last
+  FROM runs r JOIN firsts f USING (run)
+  JOIN numbered a ON a.doc_id = r.doc_id AND a.pos = r.first JOIN numbered b ON b.doc_id = r.doc_id AND b.pos = r.last
+  WHERE r.words >= 50 AND (r.doc_id <> f.home.doc_id OR r.first <> f.home.first)
 ), kept AS (
   SELECT s.doc_id, s.no, s.line FROM split s
-  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = s.doc_id AND s.no BETWEEN r.first AND r.last)
+  WHERE NOT EXISTS (SELECT 1 FROM copies r WHERE r.doc_id = s.doc_id AND s.no BETWEEN r.first AND r.last)
 ), joined AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS text, count(*) AS n FROM kept GROUP BY doc_id
 )
