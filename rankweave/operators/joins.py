@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 HOT_ROWS = 200_000
 
@@ -19,11 +20,15 @@ def hot_keys(many: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     So there are at most four for each shuffle partition, whatever the number of rows, which makes the
     table fit for broadcasting; a key below that share cannot overload a task.
     """
-    partitions = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = many.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     share = counts.select(F.sum("_n") / (4 * partitions)).scalar()
     limit = F.greatest(F.lit(float(hot_rows)), share)
-    return F.broadcast(counts.where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).alias("_salts")))
+    found = counts.where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).alias("_salts"))
+    # Read here, once for all joins that use it; where no key is hot the joins are planned as plain ones.
+    rows = [tuple(r) for r in found.collect()]
+    return F.broadcast(spark.createDataFrame(rows, StructType([many.schema[key], StructField("_salts", LongType())])))
 
 
 def with_salt(many: DataFrame, hot: DataFrame, key: str, spread_by: str) -> DataFrame:
