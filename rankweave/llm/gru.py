@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 
 HIDDEN = 16
-#: Words of a class of frequent words, at least.
-CLASS_WORDS = 64
+#: Branches of a node of the class tree, at least.
+BRANCHES = 16
 #: Steps times lanes that are laid out at a time.
 CELLS = 1 << 24
 
@@ -31,49 +31,98 @@ def _log_of(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
+def _softmax3(logits: np.ndarray) -> np.ndarray:
+    np.exp(np.minimum(logits, 60, out=logits), out=logits)
+    logits /= logits.sum(axis=2, keepdims=True)
+    return logits
+
+
+def _grouped(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(groups, places, real): groups that occur about as often together, each with its places in a row,
+    filled up to a power of two; ``real`` tells the places that are its own."""
+    order = np.argsort(groups, kind="stable")
+    used, starts, counts = np.unique(groups[order], return_index=True, return_counts=True)
+    widths = 1 << np.ceil(np.log2(counts)).astype(np.int64)
+    for width in np.unique(widths).tolist():
+        mine = widths == width
+        at = starts[mine][:, None] + np.arange(width)
+        yield used[mine], order[np.minimum(at, len(order) - 1)], np.arange(width) < counts[mine][:, None]
+
+
+#: Parameters of which a window touches some rows, with one step size for each row, and the others.
+ROWED, WHOLE = ("input", "mid", "mid_bias", "leaf", "leaf_bias"), ("state", "gates", "classes", "class_bias")
+
+
 class Gru:
     """Log-probabilities of symbols ``0 .. words + rest - 1``.
 
-    Symbols below ``words`` are frequent words in classes of ``CLASS_WORDS``, of about
-    the root of their number where that is more, in order of frequency;
-    each of the ``rest`` symbols is a class of its own. ``counts`` sets the biases to the symbols'
-    frequencies, where training starts from.
+    Symbols below ``words`` are frequent words under a tree of classes, in order of frequency: a class, a
+    class inside it, and the word inside that, each a softmax over some ``branches``, the cube root of the words and
+    ``BRANCHES`` at least. Each of the ``rest`` symbols is a class of its own. ``counts`` sets the biases to the
+    symbols' frequencies, where training starts from.
     """
 
     def __init__(self, counts: np.ndarray, words: int, rest: int, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.class_words = max(CLASS_WORDS, int(np.sqrt(words)))
-        self.words, self.frequent = words, -(-words // self.class_words)
-        symbols, classes = words + rest, self.frequent + rest
-        of_word = np.arange(words) // self.class_words
-        self.class_of = np.concatenate([of_word, self.frequent + np.arange(rest)])
-        smooth = counts + 0.5
-        per_class = np.bincount(self.class_of, weights=smooth, minlength=classes)
-        inside = np.full((self.frequent, self.class_words), -30.0)
-        inside[of_word, np.arange(words) % self.class_words] = np.log(smooth[:words] / per_class[of_word])
+        k = self.branches = max(BRANCHES, int(np.ceil(np.cbrt(words))))
+        self.words, self.rest, self.top = words, rest, -(-words // (k * k))
+        smooth = np.zeros(self.top * k * k)
+        smooth[:words] = counts[:words] + 0.5
+        mids, leaves = smooth.reshape(self.top, k, k).sum(axis=2), smooth.reshape(self.top * k, k)
+        tops = np.concatenate([mids.sum(axis=1), counts[words:] + 0.5])
+
+        def share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+            return np.where(part > 0, np.log(np.maximum(part, 1e-30) / np.maximum(whole, 1e-30)), -30.0).astype(np.float32)
 
         def small(*shape: int) -> np.ndarray:
             return rng.normal(0, 0.1, shape).astype(np.float32)
 
         self.p = {
-            "input": small(symbols, 3 * HIDDEN),
+            "input": small(words + rest, 3 * HIDDEN),
             "state": small(HIDDEN, 3 * HIDDEN) * 3,
             "gates": np.zeros(3 * HIDDEN, dtype=np.float32),
-            "classes": small(HIDDEN, classes) * 0,
-            "class_bias": np.log(per_class / per_class.sum()).astype(np.float32),
-            "inside": small(self.frequent, HIDDEN, self.class_words) * 0,
-            "inside_bias": inside.astype(np.float32),
+            "classes": np.zeros((HIDDEN, self.top + rest), dtype=np.float32),
+            "class_bias": np.log(tops / tops.sum()).astype(np.float32),
+            "mid": np.zeros((self.top, HIDDEN, k), dtype=np.float32),
+            "mid_bias": share(mids, mids.sum(axis=1, keepdims=True)),
+            "leaf": np.zeros((self.top * k, HIDDEN, k), dtype=np.float32),
+            "leaf_bias": share(leaves, leaves.sum(axis=1, keepdims=True)),
         }
-        self.squares = {k: np.full_like(v, 1e-4) for k, v in self.p.items()}
+        self.squares = {n: np.full(len(self.p[n]), 1e-4, dtype=np.float32) for n in ROWED}
+        self.squares |= {n: np.full_like(self.p[n], 1e-4) for n in WHOLE}
+
+    def arrays(self) -> dict:
+        """All that makes the model, as plain values."""
+        return {"p": self.p, "squares": self.squares, "words": self.words, "rest": self.rest, "branches": self.branches}
+
+    @classmethod
+    def of(cls, arrays: dict) -> Gru:
+        """A model of its own from ``arrays()``."""
+        own = cls.__new__(cls)
+        own.words, own.rest, own.branches = (arrays[n] for n in ("words", "rest", "branches"))
+        own.top = len(arrays["p"]["mid"])
+        own.p, own.squares = ({n: v.copy() for n, v in arrays[part].items()} for part in ("p", "squares"))
+        return own
 
-    def vector(self) -> np.ndarray:
-        """All parameters and step sizes, for averaging over tasks."""
-        return np.concatenate([v.ravel() for part in (self.p, self.squares) for v in part.values()])
+    def rows(self, name: str, at: np.ndarray) -> np.ndarray:
+        """Rows of a rowed parameter, with their step sizes last."""
+        return np.concatenate([self.p[name][at].reshape(len(at), -1), self.squares[name][at][:, None]], axis=1)
 
-    def load(self, vector: np.ndarray) -> None:
+    def shift(self, name: str, at: np.ndarray, by: np.ndarray) -> None:
+        """Add what ``rows`` of two models differ by."""
+        value = self.p[name]
+        value[at] += by[:, :-1].reshape(len(at), *value.shape[1:])
+        self.squares[name][at] += by[:, -1]
+
+    def whole(self) -> np.ndarray:
+        """The other parameters and their step sizes."""
+        return np.concatenate([part[n].ravel() for part in (self.p, self.squares) for n in WHOLE])
+
+    def load_whole(self, vector: np.ndarray) -> None:
         at = 0
         for part in (self.p, self.squares):
-            for name, value in part.items():
+            for name in WHOLE:
+                value = part[name]
                 part[name] = vector[at : at + value.size].reshape(value.shape).astype(np.float32)
                 at += value.size
 
@@ -98,22 +147,28 @@ class Gru:
             state = after[t] = n + z * (state - n)
         return before, after, gates, new, inner, state
 
-    def _groups(self, targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Places of the frequent words of each class in turn."""
-        classes = self.class_of[targets]
-        order = np.argsort(classes, kind="stable")
-        ends = np.searchsorted(classes[order], np.arange(self.frequent + 1))
-        for c in range(self.frequent):
-            if ends[c] < ends[c + 1]:
-                yield c, order[ends[c] : ends[c + 1]]
+    def _classes(self, targets: np.ndarray) -> np.ndarray:
+        return np.where(targets < self.words, targets // self.branches**2, self.top + targets - self.words)
+
+    def _levels(self, targets: np.ndarray) -> tuple[np.ndarray, list[tuple[str, np.ndarray, np.ndarray]]]:
+        """Places of frequent words, and below their classes the node and branch of each level."""
+        at = np.flatnonzero(targets < self.words)
+        words, k = targets[at], self.branches
+        return at, [("mid", words // k**2, words // k % k), ("leaf", words // k, words % k)]
 
     def log_probabilities(self, inputs, starts, targets, state) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithms for each step and lane, and the state to go on with."""
         *_, after, _, _, _, state = self._forward(inputs, starts, state)
         h, wanted = after.reshape(-1, HIDDEN), targets.ravel()
-        out = _log_of(h @ self.p["classes"] + self.p["class_bias"], self.class_of[wanted]).astype(np.float64)
-        for c, at in self._groups(wanted):
-            out[at] += _log_of(h[at] @ self.p["inside"][c] + self.p["inside_bias"][c], wanted[at] % self.class_words)
+        out = _log_of(h @ self.p["classes"] + self.p["class_bias"], self._classes(wanted)).astype(np.float64)
+        at, levels = self._levels(wanted)
+        for name, nodes, branch in levels:
+            for used, places, real in _grouped(nodes):
+                logits = h[at[places]] @ self.p[name][used] + self.p[f"{name}_bias"][used][:, None, :]
+                np.minimum(logits, 60, out=logits)
+                own = np.take_along_axis(logits, branch[places][:, :, None], axis=2)[:, :, 0]
+                found = own - np.log(np.exp(logits, out=logits).sum(axis=2))
+                out[at[places[real]]] += found[real]
         return out.reshape(targets.shape), state
 
     def train(self, inputs, starts, targets, live, state, rate: float, full: int) -> np.ndarray:
@@ -122,21 +177,28 @@ class Gru:
         before, after, gates, new, inner, state = self._forward(inputs, starts, state)
         p, h, wanted, on = self.p, after.reshape(-1, HIDDEN), targets.ravel(), live.ravel()
         scale = np.float32(1 / full)
-        d, met, weights, biases = {}, [], [], []
+        d, parts = {}, {}
         err = _softmax(h @ p["classes"] + p["class_bias"])
-        err[np.arange(len(h)), self.class_of[wanted]] -= 1
+        err[np.arange(len(h)), self._classes(wanted)] -= 1
         err *= on[:, None] * scale
         d["classes"], d["class_bias"] = h.T @ err, err.sum(axis=0)
         dh = err @ p["classes"].T
-        for c, at in self._groups(wanted):
-            hc = h[at]
-            err = _softmax(hc @ p["inside"][c] + p["inside_bias"][c])
-            err[np.arange(len(at)), wanted[at] % self.class_words] -= 1
-            err *= on[at][:, None] * scale
-            met.append(c)
-            weights.append(hc.T @ err)
-            biases.append(err.sum(axis=0))
-            dh[at] += err @ p["inside"][c].T
+        at, levels = self._levels(wanted)
+        for name, nodes, branch in levels:
+            met, weights, biases = [], [], []
+            for used, places, real in _grouped(nodes):
+                hc, own = h[at[places]], p[name][used]
+                err = _softmax3(hc @ own + p[f"{name}_bias"][used][:, None, :])
+                row = np.arange(err.shape[0])[:, None], np.arange(err.shape[1])[None, :]
+                err[(*row, branch[places])] -= 1
+                err *= ((on[at[places]] & real) * scale)[:, :, None]
+                met.append(used)
+                weights.append(hc.transpose(0, 2, 1) @ err)
+                biases.append(err.sum(axis=1))
+                dh[at[places[real]]] += (err @ own.transpose(0, 2, 1))[real]
+            if met:
+                rows = np.concatenate(met)
+                parts |= {name: (rows, np.concatenate(weights)), f"{name}_bias": (rows, np.concatenate(biases))}
         dh = dh.reshape(after.shape)
         dx = np.empty((*inputs.shape, 3 * HIDDEN), dtype=np.float32)
         du = np.empty_like(dx)
@@ -154,17 +216,15 @@ class Gru:
         d["gates"] = flat.sum(axis=0)
         d["state"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
         used, sums = _summed(inputs.ravel(), flat)
-        parts = {"input": (used, sums)}
-        if met:
-            parts |= {"inside": (met, np.stack(weights)), "inside_bias": (met, np.stack(biases))}
+        parts["input"] = (used, sums)
         size = np.sqrt(sum(float((v * v).sum()) for v in [*d.values(), *(v for _, v in parts.values())]))
         rate *= min(1.0, 1.0 / max(size, 1e-9))
         for k, v in d.items():
             self.squares[k] += v * v
             p[k] -= rate * v / np.sqrt(self.squares[k])
-        for k, (at, v) in parts.items():
-            self.squares[k][at] += v * v
-            p[k][at] -= rate * v / np.sqrt(self.squares[k][at])
+        for k, (rows, v) in parts.items():
+            self.squares[k][rows] += (v * v).reshape(len(rows), -1).mean(axis=1)
+            p[k][rows] -= rate * v / np.sqrt(self.squares[k][rows]).reshape(-1, *[1] * (v.ndim - 1))
         return state
 
 

@@ -131,8 +131,9 @@ def test_language_model_beats_the_unigram_score_on_held_out_documents(spark):
 
 def test_own_symbols_grow_with_the_words_and_training_keeps_the_state_of_long_documents():
     assert lm.own_symbols(10) == 4_095 and lm.own_symbols(10_000_000) == 625_000
-    grown = gru.Gru(np.ones(10_064), 10_000, 64)
-    assert grown.class_words == 100 and grown.frequent == 100
+    assert lm.own_symbols(10, 32) == 128
+    grown = gru.Gru(np.ones(8_064), 8_000, 64)
+    assert grown.branches == 20 and grown.top == 20
     lengths = [5_000, 7, 2_100]
     number, laid = lm.training_windows([np.arange(n) for n in lengths], 0)
     begun, seen = 0, np.zeros(3, dtype=int)
@@ -146,7 +147,7 @@ def test_own_symbols_grow_with_the_words_and_training_keeps_the_state_of_long_do
 def test_the_recurrent_model_is_a_distribution_and_its_gradient_is_right():
     model = gru.Gru(np.arange(1.0, 81.0)[::-1], 70, 10)
     rng = np.random.default_rng(1)
-    for name in ("classes", "inside"):
+    for name in ("classes", "mid", "leaf"):
         model.p[name] = rng.normal(0, 0.3, model.p[name].shape).astype(np.float32)
     inputs, starts = rng.integers(0, 80, (4, 3)), np.zeros((4, 3), dtype=bool)
     total = sum(np.exp(model.log_probabilities(inputs, starts, np.full((4, 3), s), model.blank(inputs))[0]) for s in range(80))
