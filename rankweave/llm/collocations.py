@@ -8,12 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.llm.blocks import hash_bytes, pack_ints, unpack_ints, word_list
+from rankweave.llm.blocks import bucketed_words, pack_ints, unpack_ints, word_list
 from rankweave.llm.hattrie import LONGEST, HatTrie, packed_rows, summed_rows, unpacked_rows
 from rankweave.operators.joins import salted_join
 from rankweave.session import staged
@@ -22,7 +21,7 @@ from rankweave.session import staged
 LEAST, SHOWN = 100, 2000
 UNKNOWN = "und"
 #: Bytes of text in a block, words fed to a trie at a time, and rows that a merge holds before it adds up equal ones.
-BLOCK_BYTES, FED, MERGED = 32 << 20, 1 << 20, 4_000_000
+BLOCK_BYTES, FED, MERGED = 16 << 20, 1 << 18, 1_000_000
 #: Word buckets, and prefix partitions, for each shuffle partition.
 PARTS = 4
 WORD, BLANK, BREAK = 0, 1, 2
@@ -56,15 +55,7 @@ def _word_rows(numbers: dict[str, dict[str, int]], counts: np.ndarray, buckets:
     """(bucket, numbers, counts, words) of a block's different words, each with its language before it."""
     words = [f"{lang}\0{word}".encode() for lang, known in numbers.items() for word in known]
     at = np.fromiter((n for known in numbers.values() for n in known.values()), dtype=np.int64, count=len(words))
-    dealt = np.fromiter((hash_bytes(w) % buckets for w in words), dtype=np.int64, count=len(words))
-    order = np.argsort(dealt, kind="stable")
-    ends = np.searchsorted(dealt[order], np.arange(buckets + 1))
-    for bucket in np.flatnonzero(np.diff(ends)).tolist():
-        mine = order[ends[bucket] : ends[bucket + 1]]
-        listed = [words[i] for i in mine.tolist()]
-        lengths = pack_ints(np.array([len(w) for w in listed]))
-        body = len(lengths).to_bytes(4, "little") + lengths + zstandard.compress(b"".join(listed), 3)
-        yield bucket, pack_ints(at[mine]), pack_ints(counts[at[mine]]), body
+    yield from bucketed_words(words, at, counts, buckets)
 
 
 def _blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:

@@ -9,7 +9,7 @@ import zstandard
 
 #: Ids of a path; different paths in a container before it bursts; trie levels above containers; and
 #: different paths in memory before whole subtrees are spilled, the largest first, until half is free.
-LONGEST, BURST, LEVELS, HELD = 5, 2048, 3, 1_500_000
+LONGEST, BURST, LEVELS, HELD = 5, 2048, 3, 400_000
 ID = np.dtype(">u4")
 
 
