@@ -1,4 +1,4 @@
-"""Re-Pair grammars of token ids: frequent pairs become nonterminals, with expansion lengths for random access."""
+"""Re-Pair grammars of token ids: repeated pairs become nonterminals, with expansion lengths for random access."""
 
 from __future__ import annotations
 
@@ -6,11 +6,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from rankweave.llm.blocks import pack_ints, ragged, unpack_ints
+from rankweave.llm.blocks import pack_ints, unpack_ints
 
-#: Symbols whose pairs are counted in a round, the most frequent ones; rounds; how often a pair must occur;
-#: and the share of symbols that a round must save for another to follow.
-WIDTH, ROUNDS, LEAST, WORTH = 1024, 6, 16, 0.02
+#: How often a pair must occur to become a nonterminal.
+LEAST = 2
 
 
 @dataclass
@@ -36,18 +35,22 @@ class Grammar:
         return np.concatenate([np.ones(self.terminals, dtype=np.int64), self.lengths])[symbols]
 
     def expand(self, first: int = 0, last: int | None = None) -> np.ndarray:
-        """The ids of the symbols from place ``first`` to before ``last``."""
-        symbols = self.symbols[first:last]
-        said: list[bytes] = []
-        base = self.terminals
-        for a, b in zip(self.left.tolist(), self.right.tolist()):
-            said.append(
-                (a.to_bytes(4, "little") if a < base else said[a - base]) + (b.to_bytes(4, "little") if b < base else said[b - base])
-            )
-        flat = np.concatenate([np.arange(base, dtype=np.uint32), np.frombuffer(b"".join(said), dtype="<u4")])
-        sizes = np.concatenate([np.ones(base, dtype=np.int64), self.lengths])
-        starts = np.cumsum(sizes) - sizes
-        return flat[ragged(starts[symbols], sizes[symbols])]
+        """The ids of the symbols from place ``first`` to before ``last``: nonterminals give way to their two
+        symbols until none is left."""
+        symbols = self.symbols[first:last].astype(np.int64)
+        sizes = np.concatenate([np.ones(self.terminals, dtype=np.int64), self.lengths])
+        ends = np.cumsum(sizes[symbols])
+        out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
+        places = ends - sizes[symbols]
+        while len(symbols):
+            rule = symbols - self.terminals
+            done = rule < 0
+            out[places[done]] = symbols[done]
+            rule, places = rule[~done], places[~done]
+            left = self.left[rule]
+            symbols = np.concatenate([left, self.right[rule]])
+            places = np.concatenate([places, places + sizes[left]])
+        return out
 
     def slice(self, start: int, length: int) -> np.ndarray:
         """``length`` ids from ``start`` on: expansion lengths lead to the symbols that hold them, and only
@@ -59,66 +62,97 @@ class Grammar:
         return self.expand(first, last)[start - before : start - before + length]
 
 
-def chosen_pairs(codes: np.ndarray, counts: np.ndarray, width: int) -> list[int]:
-    """Codes (left * width + right) to replace in one round, most frequent first.
-
-    A symbol is only ever left or only ever right in a round, so no two occurrences overlap.
+def grouped(values: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different values in order, how many of each are ``counted``, and each value's place among them."""
+    # A value and its position are sorted as one number, which is far faster than an argsort.
+    bits = len(values).bit_length()
+    if int(values.max()).bit_length() + bits < 64:
+        packed = np.sort((values << bits) | np.arange(len(values)))
+        order, values = packed & ((1 << bits) - 1), packed >> bits
+    else:
+        order = np.argsort(values)
+        values = values[order]
+    fresh = np.append(True, values[1:] != values[:-1])
+    place = np.empty(len(values), dtype=np.int32)
+    place[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+    firsts = np.flatnonzero(fresh)
+    counts = np.diff(np.append(firsts, len(values)))
+    if not counted.all():
+        counts -= np.bincount(place[~counted], minlength=len(counts))
+    return values[firsts], counts, place
+
+
+def chosen_pairs(lefts: np.ndarray, rights: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Which of the pairs to replace in one round; the most frequent one is always among them.
+
+    A symbol is only left, only right or only doubled in a round, as in its most frequent pair, so no two
+    occurrences overlap.
     """
-    order = codes[np.lexsort((codes, -counts[codes]))]
-    lefts, rights, chosen = set(), set(), []
-    for code in order.tolist():
-        a, b = divmod(code, width)
-        if a != b and a not in rights and b not in lefts:
-            lefts.add(a)
-            rights.add(b)
-            chosen.append(code)
-    return chosen
+    order = np.argsort(-counts, kind="stable")[::-1]
+    rank = np.arange(len(counts))[::-1]
+    double = lefts == rights
+    first = np.full((3, size), len(counts))
+    # Of several assignments to one symbol the last stays: its most frequent pair.
+    for at, symbols, pairs in ((0, lefts, ~double), (1, rights, ~double), (2, lefts, double)):
+        mine = pairs[order]
+        first[at, symbols[order[mine]]] = rank[mine]
+    side = first.argmin(axis=0)
+    return np.where(double, side[lefts] == 2, (side[lefts] == 0) & (side[rights] == 1))
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[Grammar, np.ndarray]:
     """The grammar of ``ids`` and the places of ``starts`` (where documents begin) among its symbols.
 
-    No nonterminal crosses a document's start, so a document is a run of whole symbols. Each round counts
-    the pairs of the ``WIDTH`` most frequent symbols exactly and replaces those of at least ``LEAST``.
+    No nonterminal crosses a document's start, so a document is a run of whole symbols. Rounds go on until
+    no pair occurs ``LEAST`` times in it. A round counts pairs exactly; a run of one symbol has every other
+    of its pairs. Only places are looked at whose pair may still repeat: counts of known pairs never rise,
+    so one that occurs less often stays out until a replacement changes it.
     """
-    symbols = ids.astype(np.int32)
-    begins = np.zeros(len(symbols) + 1, dtype=bool)
-    begins[starts] = True
+    n = len(ids)
+    symbols = np.append(ids, 0).astype(np.int32)
+    begins = np.zeros(n + 1, dtype=bool)
+    begins[starts] = begins[n] = True
+    there = np.ones(n + 1, dtype=bool)
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
     left, right, size = [], [], terminals
-    for _ in range(ROUNDS):
-        if len(symbols) < 2 * LEAST:
-            break
-        often = np.bincount(symbols, minlength=size)
-        common = np.flatnonzero(often >= LEAST)
-        if len(common) > WIDTH:
-            common = np.sort(common[np.lexsort((common, -often[common]))[:WIDTH]])
-        if not len(common):
-            break
-        width = len(common)
-        place = np.full(size, -1, dtype=np.int32)
-        place[common] = np.arange(width, dtype=np.int32)
-        at = place[symbols]
-        none = width * width  # the code of places that are no pair of common symbols inside a document
-        code = at[:-1] * np.int32(width) + at[1:]
-        code[(at[:-1] < 0) | (at[1:] < 0) | begins[1:-1]] = none
-        counts = np.bincount(code, minlength=none + 1)[:none]
-        chosen = chosen_pairs(np.flatnonzero(counts >= LEAST), counts, width)
-        if not chosen:
-            break
-        new = np.zeros(none + 1, dtype=np.int32)
-        new[chosen] = size + np.arange(len(chosen), dtype=np.int32)
-        named = new[code]
-        where = np.flatnonzero(named)
-        symbols[where] = named[where]
-        keep = np.ones(len(begins), dtype=bool)
-        keep[where + 1] = False
-        pairs = np.array(chosen)
-        left.append(common[pairs // width])
-        right.append(common[pairs % width])
-        size += len(chosen)
-        symbols, begins = symbols[keep[:-1]], begins[keep]
-        if len(where) < WORTH * len(symbols):
+    live = np.flatnonzero(~begins[1:])
+    while len(live):
+        a, b = symbols[live], symbols[after[live]]
+        # In a run of one symbol every other place counts; those between overlap the place before.
+        same = np.flatnonzero(a == b)
+        counted = np.ones(len(live), dtype=bool)
+        if len(same):
+            run = np.arange(len(same))
+            joined = after[live[same[:-1]]] == live[same[1:]]
+            first = np.maximum.accumulate(np.where(np.append(False, joined), 0, run))
+            counted[same[(run - first) % 2 == 1]] = False
+        found, counts, pair = grouped(a.astype(np.int64) * size + b, counted)
+        often = counts >= LEAST
+        if not often.any():
             break
+        lefts, rights = np.divmod(found[often], size)
+        chosen = chosen_pairs(lefts, rights, counts[often], size)
+        names = np.full(len(found), -1, dtype=np.int32)
+        names[np.flatnonzero(often)[chosen]] = size + np.arange(int(chosen.sum()))
+        named = names[pair]
+        hit = np.flatnonzero((named >= 0) & counted)
+        live, where = live[often[pair]], live[hit]
+        left.append(lefts[chosen])
+        right.append(rights[chosen])
+        size += len(left[-1])
+        gone = after[where]
+        symbols[where] = named[hit]
+        there[gone] = False
+        after[where] = after[gone]
+        before[after[gone]] = where
+        # The place before a new symbol has a new pair, too.
+        earlier = before[where]
+        earlier = earlier[earlier >= 0]
+        live = live[there[live]]
+        live = np.sort(np.concatenate([live, earlier]))
+        live = live[np.append(True, live[1:] != live[:-1])] if len(live) else live
+        live = live[~begins[after[live]]]
+    symbols, begins = symbols[:n][there[:n]], begins[:n][there[:n]]
     lengths = np.ones(size, dtype=np.int64)
     at = terminals
     for a, b in zip(left, right):
@@ -126,4 +160,4 @@ def compress(ids: np.ndarray, starts: np.ndarray, terminals: int) -> tuple[Gramm
         at += len(a)
     empty = np.zeros(0, dtype=np.int64)
     grammar = Grammar(terminals, np.concatenate([empty, *left]), np.concatenate([empty, *right]), lengths[terminals:], symbols)
-    return grammar, np.flatnonzero(begins[:-1])
+    return grammar, np.flatnonzero(begins)

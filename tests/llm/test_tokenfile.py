@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -69,6 +70,24 @@ def test_grammars_expand_to_what_they_were_made_of(kind):
         assert len(grammar.symbols) < len(ids) / 5
 
 
+def test_no_pair_of_a_document_is_left_twice():
+    rng = np.random.default_rng(11)
+    cases = [(rng.integers(0, k, n), 6) for n, k in [(1, 1), (9, 1), (60, 2), (70, 4), (300, 6)] for _ in range(40)]
+    rare = np.arange(3000)  # pairs of symbols beyond the thousand most frequent ones, each of them twice
+    for ids, terminals in [*cases, (np.concatenate([rare, rare]), 3000)]:
+        starts = np.unique(np.append(0, rng.integers(0, len(ids), 3)))
+        grammar, places = repair.compress(ids.astype(np.uint32), starts, terminals)
+        assert (grammar.expand() == ids).all()
+        met, overlapped = Counter(), False
+        for at, pair in enumerate(zip(grammar.symbols[:-1].tolist(), grammar.symbols[1:].tolist())):
+            inside = at + 1 not in places
+            overlapped = inside and pair[0] == pair[1] and at > 0 and at not in places and grammar.symbols[at - 1] == pair[0] and not overlapped
+            if inside and not overlapped:
+                met[pair] += 1
+        assert max(met.values(), default=0) < 2
+    assert len(grammar.symbols) < 20
+
+
 def test_words_are_encoded_as_the_library_does():
     rng = random.Random(3)
     parts = [*"abcXYZ'sStdlmrev019.,!?-  \t\n\r\x0b\x1c\x1f\x85\xa0éÉßçŒ«»×İıΑΣς 　中ﬁ\x00W🙂́", "<|endoftext|>", "<|startoftext|>", "'re", "'LL"]
