@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Sequence
 from functools import partial
 
 import numpy as np
@@ -19,7 +20,9 @@ from rankweave.session import staged
 
 CAPACITY = 4096
 END = (1).to_bytes(4, "little")
-ROUNDS = 96
+#: Rounds in which the program covers all lengths alike; the share of a length's count that it may leave over;
+#: how much a length's weight falls until it is covered (as a power of e); the shares of a sequence that a rounded configuration must fill, tried in turn.
+STEPS, UNCOVERED, SHARPNESS, FILLS = 4, 0.02, 1.0, (0.9, 0.7, 0.5)
 
 #: How often a set of lengths is used, and how many of each length it holds.
 Configuration = tuple[int, dict[int, int]]
@@ -55,56 +58,120 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, doc
     return documents.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(cut, schema)
 
 
-def priced(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
-    """The most valuable multiset of lengths that fits ``capacity``: unbounded knapsack by dynamic programming."""
+def price_table(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to ``capacity`` the value of the most valuable multiset of lengths that fits, and the
+    place of a length that it holds (-1: as with one less room): unbounded knapsack by dynamic programming."""
     best = np.zeros(capacity + 1)
     taken = np.full(capacity + 1, -1)
     usable = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        best[room], taken[room] = best[room - 1], -1
+        best[room] = best[room - 1]
         if n := usable[room]:
             gains = best[room - lengths[:n]] + values[:n]
             top = int(gains.argmax())
             if gains[top] > best[room]:
                 best[room], taken[room] = gains[top], top
+    return best, taken
+
+
+def held_in(taken: list[int], lengths: list[int], room: int) -> dict[int, int]:
+    """The multiset behind a room of the table, by places of lengths."""
     held: dict[int, int] = {}
-    room = capacity
     while room > 0:
-        if taken[room] < 0:
+        at = taken[room]
+        if at < 0:
             room -= 1
         else:
-            length = int(lengths[taken[room]])
-            held[length] = held.get(length, 0) + 1
-            room -= length
+            held[at] = held.get(at, 0) + 1
+            room -= lengths[at]
     return held
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[float, dict[int, int]]]:
-    """An approximate solution of the configuration program by multiplicative weights.
+def priced(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
+    """The most valuable multiset of lengths that fits ``capacity``."""
+    taken = price_table(lengths, values, capacity)[1]
+    return {int(lengths[at]): k for at, k in held_in(taken.tolist(), lengths.tolist(), capacity).items()}
+
+
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[float, dict[int, int]]]:
+    """A solution of the configuration program by multiplicative weights: amounts of configurations that hold
+    each length at least ``1 - UNCOVERED`` of its count, and none more than its count.
 
-    A length's weight falls as its demand is covered; each round prices the configuration worth most and
-    uses it until it covers an equal part of its scarcest length.
+    A length's weight falls as its demand is covered. Each round makes one table of prices, which has for every
+    length the most valuable configuration that holds it. Lengths behind the round's step use theirs, the
+    longest first, until they reach it or another length of the configuration is used up; such lengths leave
+    the program. After ``steps`` rounds others follow until all demand is covered: each covers one length at
+    least.
     """
-    index = {int(length): i for i, length in enumerate(lengths)}
-    covered = np.zeros(len(lengths))
-    used: list[tuple[float, dict[int, int]]] = []
-    for _ in range(rounds):
+    demand = counts.astype(float)
+    left = demand.copy()
+    used: dict[tuple[tuple[int, int], ...], float] = {}
+    step = 0
+    while (open_ := np.flatnonzero(left > UNCOVERED * demand)).size:
+        step += 1
+        covered = 1.0 - left[open_] / demand[open_]
         # A length's own size is its value at the start, so that the first configurations are full.
-        weights = lengths * np.exp(-4.0 * (covered - covered.min()))
-        held = priced(lengths, weights, capacity)
-        at = np.array([index[length] for length in held])
-        many = np.array(list(held.values()), dtype=float)
-        amount = float((counts[at] / many).min())
-        covered[at] += amount * many / counts[at]
-        used.append((amount, held))
-    over = max(1.0, covered.max())
-    return [(amount / over, held) for amount, held in used]
-
-
-def best_fit(counts: dict[int, int], capacity: int) -> list[Configuration]:
-    """Best fit of the longest first, on counts: sequences alike are filled together."""
+        sizes = lengths[open_]
+        _, taken = price_table(sizes, sizes * np.exp(-SHARPNESS * covered), capacity)
+        taken, sizes, rest = taken.tolist(), sizes.tolist(), left[open_].tolist()
+        # What a length may have left after this round's step.
+        later = (demand[open_] * max(0.0, 1.0 - step / steps)).tolist()
+        for at in range(len(sizes) - 1, -1, -1):
+            if rest[at] <= later[at]:
+                continue
+            held = held_in(taken, sizes, capacity - sizes[at])
+            held[at] = held.get(at, 0) + 1
+            amount = min((rest[at] - later[at]) / held[at], *(rest[i] / k for i, k in held.items()))
+            if amount <= 0.0:
+                continue
+            for i, k in held.items():
+                rest[i] = max(0.0, rest[i] - amount * k)
+            key = tuple(sorted((sizes[i], k) for i, k in held.items()))
+            used[key] = used.get(key, 0.0) + amount
+        left[open_] = rest
+    return [(amount, dict(held)) for held, amount in used.items()]
+
+
+def rounded(program: list[tuple[float, dict[int, int]]], left: dict[int, int], capacity: int) -> list[Configuration]:
+    """Whole uses of the program's configurations, taken from ``left``, as many in all as the amounts.
+
+    Each is used as often as its amount rounded down, then those of the largest remainders once more. A piece
+    that an earlier one took is missing there; the fuller ones go first.
+    """
+    out: list[Configuration] = []
+    whole = [int(amount + 1e-9) for amount, _ in program]
+    for times, (_, held) in zip(whole, program):
+        if times := min([times, *(left[length] // k for length, k in held.items())]):
+            out.append((times, held))
+            for length, k in held.items():
+                left[length] -= times * k
+    more = int(sum(amount for amount, _ in program)) - sum(times for times, _ in out)
+    order = sorted(range(len(program)), key=lambda at: whole[at] - program[at][0])
+    for least in FILLS:
+        behind = []
+        for at in order:
+            there = {length: min(k, left[length]) for length, k in program[at][1].items() if left[length]}
+            if more > 0 and there and sum(length * k for length, k in there.items()) >= least * capacity:
+                more -= 1
+                out.append((1, there))
+                for length, k in there.items():
+                    left[length] -= k
+            else:
+                behind.append(at)
+        order = behind
+    return out
+
+
+def best_fit(counts: dict[int, int], capacity: int, begun: Sequence[Configuration] = ()) -> list[Configuration]:
+    """Best fit of the longest first, on counts, into what is ``begun`` and new sequences: sequences alike
+    are filled together."""
     open_at: dict[int, list[list]] = {}  # by room left: [number of sequences, what each holds]
     rooms = np.zeros(capacity + 1, dtype=bool)
+    for number, held in begun:
+        room = capacity - sum(length * k for length, k in held.items())
+        open_at.setdefault(room, []).append([number, held])
+        rooms[room] = True
+    rooms[0] = False
     rooms_left = lambda need: need + int(rooms[need:].argmax()) if rooms[need:].any() else capacity + 1
     for length in sorted(counts, reverse=True):
         left = counts[length]
@@ -126,27 +193,21 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Configuration]:
                 parts.append((number - full, 0))
             for n, k in parts:
                 rest = room - k * length
-                open_at.setdefault(rest, []).append([n, held | {length: k} if k else held])
+                open_at.setdefault(rest, []).append([n, held | {length: held.get(length, 0) + k} if k else held])
                 rooms[rest] = True
     return [(n, held) for groups in open_at.values() for n, held in groups if held]
 
 
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Configuration]:
-    """Configurations that hold every piece of the histogram exactly once: the fractional solution
-    rounded down, and what is left over by best fit."""
-    if not histogram:
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[Configuration]:
+    """Configurations that hold every piece of the histogram exactly once: the program's solution, rounded;
+    what rounding leaves over goes into the room that they have, or new ones, by best fit."""
+    left = {int(length): int(n) for length, n in histogram.items() if n}
+    if not left:
         return []
-    lengths = np.array(sorted(histogram))
-    counts = np.array([histogram[int(n)] for n in lengths], dtype=float)
-    left = dict(histogram)
-    out: list[Configuration] = []
-    for amount, held in fractional(lengths, counts, capacity, rounds):
-        times = min([int(amount), *(left[length] // k for length, k in held.items())])
-        if times:
-            out.append((times, held))
-            for length, k in held.items():
-                left[length] -= times * k
-    return out + best_fit({length: n for length, n in left.items() if n}, capacity)
+    lengths = np.array(sorted(left))
+    counts = np.array([left[int(n)] for n in lengths])
+    plan = rounded(fractional(lengths, counts, capacity, steps), left, capacity)
+    return best_fit({length: n for length, n in left.items() if n}, capacity, plan)
 
 
 def placements(plan: list[Configuration]) -> pd.DataFrame:
@@ -163,17 +224,18 @@ def placements(plan: list[Configuration]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "_low", "_high", "_sequence", "_each", "_offset"], dtype="int64")
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ...) with sequence_id and offset: place in a sequence of ``capacity``.
 
     The driver sees the histogram of lengths, at most ``capacity`` counts, and makes a plan whose size
-    depends on ``capacity`` and ``rounds`` alone: a priced configuration has at most sqrt(2 * capacity)
-    different lengths, and best fit splits sequences alike at most twice for a length and room. Pieces
+    depends on ``capacity`` and ``steps`` alone: a round uses a configuration for each length at most, one
+    has at most sqrt(2 * capacity) different lengths, and best fit splits sequences alike at most twice for
+    a length and room. Pieces
     are numbered inside their length, dealt over hash buckets, as one length may be most of all.
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    plan = placements(configurations(histogram, capacity, rounds))
+    plan = placements(configurations(histogram, capacity, steps))
     fields = StructType([StructField(c, LongType()) for c in plan.columns])
     table = F.broadcast(spark.createDataFrame(plan, fields))
     salt = F.xxhash64("doc_id", "piece", "ids_crc32")

@@ -105,6 +105,26 @@ def test_configurations_hold_every_piece_once():
     assert packing.priced(np.array([3, 5]), np.array([3.0, 5.5]), 11) == {5: 1, 3: 2} or packing.priced(np.array([3, 5]), np.array([3.0, 5.5]), 11) == {3: 2, 5: 1}
 
 
+def test_the_program_places_most_pieces():
+    rng = np.random.default_rng(5)
+    lengths, counts = np.unique(np.minimum(np.exp(rng.normal(3.2, 1.0, 20_000)).astype(int) + 1, 512), return_counts=True)
+    program = packing.fractional(lengths, counts, 512)
+    covered = Counter()
+    for amount, held in program:
+        assert amount > 0 and sum(n * k for n, k in held.items()) <= 512
+        for n, k in held.items():
+            covered[n] += amount * k
+    for n, c in zip(lengths.tolist(), counts.tolist()):
+        assert (1 - packing.UNCOVERED) * c - 1e-6 <= covered[n] <= c + 1e-6
+    left = dict(zip(lengths.tolist(), counts.tolist()))
+    uses = packing.rounded(program, left, 512)
+    placed = sum(times * sum(held.values()) for times, held in uses)
+    assert placed + sum(left.values()) == 20_000 and min(left.values()) >= 0
+    assert placed > 10_000
+    plan = packing.configurations(dict(zip(lengths.tolist(), counts.tolist())), 512)
+    assert sum(times for times, _ in plan) <= -(-int(lengths @ counts) // 512) + 1
+
+
 def test_language_model(spark, documents):
     path, rows = documents
     counts = Counter()
