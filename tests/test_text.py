@@ -1,8 +1,11 @@
 import html
 import random
 import re
+import tracemalloc
 from html.entities import html5
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +117,26 @@ def test_word_sets(spark):
     assert set(got[1].words) == set(got[2].words) < set(got[0].words)
     assert set(got[1].bigrams) < set(got[0].bigrams) and set(got[2].bigrams) < set(got[0].bigrams)
     assert not set(got[1].bigrams) & set(got[2].bigrams)
+
+
+@pytest.mark.parametrize("make", [terms.term_vector, terms.word_sets, lambda t: terms.dense_terms(t, 128)])
+def test_words_of_a_full_batch_are_numbered_in_parts(monkeypatch, make):
+    """The same rows as from texts one by one, in less memory than eight numbers for each word."""
+    monkeypatch.setattr(terms.F, "arrow_udf", lambda kernel, kind: lambda column: kernel)
+    rng = np.random.default_rng(2)
+    words = np.array([f"w{i}" for i in range(5000)])
+    texts = [" ".join(rng.choice(words, size=n)) for n in [200_000, *rng.integers(0, 400, 4000)]] + [None, "", " a  b "]
+    kernel, array = make(None), pa.array(texts)
+    tracemalloc.start()
+    got = kernel(array)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 * sum(len((t or "").split()) for t in texts) / 2
+    assert len(got) == len(texts)
+
+    def shown(value):  # word sets have no order
+        return {name: sorted(part) for name, part in value.items()} if make is terms.word_sets else value
+
+    for at in [0, 1, 2, *range(600, 4000, 500), 4000, 4001, 4002, 4003]:
+        assert shown(got[at].as_py()) == shown(kernel(array.slice(at, 1))[0].as_py())
+    assert kernel(array.slice(0, 0)).to_pylist() == []
