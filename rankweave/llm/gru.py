@@ -9,44 +9,57 @@ import numpy as np
 HIDDEN = 16
 #: Branches of a node of the class tree, at least.
 BRANCHES = 16
-#: Steps times lanes that are laid out at a time.
-CELLS = 1 << 24
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """In place. Inputs of the layer are within -1 and 1, so logits stay far from overflow."""
-    np.exp(np.minimum(logits, 60, out=logits), out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
-
-
-def _log_of(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Log-softmax at one place of each row."""
-    np.minimum(logits, 60, out=logits)
-    own = logits[np.arange(len(logits)), wanted]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
-
-
-def _softmax3(logits: np.ndarray) -> np.ndarray:
-    np.exp(np.minimum(logits, 60, out=logits), out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    return logits
-
-
-def _grouped(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(groups, places, real): groups that occur about as often together, each with its places in a row,
-    filled up to a power of two; ``real`` tells the places that are its own."""
-    order = np.argsort(groups, kind="stable")
-    used, starts, counts = np.unique(groups[order], return_index=True, return_counts=True)
-    widths = 1 << np.ceil(np.log2(counts)).astype(np.int64)
-    for width in np.unique(widths).tolist():
-        mine = widths == width
-        at = starts[mine][:, None] + np.arange(width)
-        yield used[mine], order[np.minimum(at, len(order) - 1)], np.arange(width) < counts[mine][:, None]
+#: Numbers that are worked on at a time, so that they stay in the cache, and how often nodes of the class tree occur
+#: that are worked on together; more frequent ones are by themselves.
+CACHED, WIDTHS = 1 << 16, np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32])
+
+
+def _logs(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at one place, some rows at a time, so that their logits stay in the cache.
+    Inputs of the layer are within -1 and 1, so logits stay far from overflow."""
+    out, ones = np.empty(len(h), dtype=np.float32), np.ones(len(bias), dtype=np.float32)
+    span = max(1, CACHED // len(bias))
+    for part in (slice(at, at + span) for at in range(0, len(h), span)):
+        logits = h[part] @ weights
+        logits += bias
+        np.minimum(logits, 60, out=logits)
+        own = logits[np.arange(len(logits)), wanted[part]]
+        out[part] = own - np.log(np.exp(logits, out=logits) @ ones)
+    return out
+
+
+def _descent(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray, scale: np.float32, dh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of a softmax layer's weights and bias; that of ``h`` is added to ``dh``."""
+    dw, db, ones = np.zeros_like(weights), np.zeros_like(bias), np.ones(len(bias), dtype=np.float32)
+    span = max(1, CACHED // len(bias))
+    for part in (slice(at, at + span) for at in range(0, len(h), span)):
+        err = h[part] @ weights
+        err += bias
+        np.exp(np.minimum(err, 60, out=err), out=err)
+        err *= (scale / (err @ ones))[:, None]
+        err[np.arange(len(err)), wanted[part]] -= scale
+        dw += h[part].T @ err
+        db += err.sum(axis=0)
+        dh[part] += err @ weights.T
+    return dw, db
+
+
+def _runs(nodes: np.ndarray, cells: int) -> Iterator[tuple[np.ndarray, slice | np.ndarray, np.ndarray | None]]:
+    """(nodes, places, real) over sorted ``nodes``: a frequent node alone with the slice of its places, others that
+    occur about as often together, each with its places in a row filled up to a common width; ``real`` tells
+    the places that are its own. ``cells`` is what a place takes."""
+    firsts = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])) if len(nodes) else np.zeros(0, dtype=np.int64)
+    counts = np.diff(np.append(firsts, len(nodes)))
+    for first, count in zip(firsts[counts > WIDTHS[-1]].tolist(), counts[counts > WIDTHS[-1]].tolist()):
+        yield nodes[first : first + 1], slice(first, first + count), None
+    step = np.searchsorted(WIDTHS, counts)
+    for number, width in enumerate(WIDTHS.tolist()):
+        mine = np.flatnonzero(step == number)
+        span = max(1, CACHED // (width * cells))
+        for low in range(0, len(mine), span):
+            some = mine[low : low + span]
+            at = firsts[some][:, None] + np.arange(width)
+            yield nodes[firsts[some]], np.minimum(at, len(nodes) - 1), np.arange(width) < counts[some][:, None]
 
 
 #: Parameters of which a window touches some rows, with one step size for each row, and the others.
@@ -130,109 +143,171 @@ class Gru:
     def blank(inputs: np.ndarray) -> np.ndarray:
         return np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
 
-    def _forward(self, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray) -> tuple:
-        """States before and after each step; a document's first step begins from a zero state."""
+    def _forward(self, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray, kept: bool = True) -> tuple:
+        """States before and after each step; a document's first step begins from a zero state. With ``kept``
+        what training needs of each step. Gates and inputs lie apart by kind, each of them in one piece."""
         steps, lanes = inputs.shape
-        state = state[:lanes]
-        x = self.p["input"][inputs] + self.p["gates"]
-        before = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
-        after, gates, new, inner = (np.empty((steps, lanes, n * HIDDEN), dtype=np.float32) for n in (1, 2, 1, 1))
+        state, rows = state[:lanes], steps if kept else 1
+        weights = self._state_weights()
+        after = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
+        before, new, inner = (np.empty((rows, lanes, HIDDEN), dtype=np.float32) for _ in range(3))
+        gates, x = np.empty((rows, 2, lanes, HIDDEN), dtype=np.float32), np.empty((3, lanes, HIDDEN), dtype=np.float32)
+        begins, going = starts.any(axis=1).tolist(), ~starts
+        shift = self.p["gates"].reshape(3, 1, HIDDEN)
         for t in range(steps):
-            state = before[t] = state * ~starts[t][:, None]
-            u = state @ self.p["state"]
-            g = gates[t] = _sigmoid(x[t, :, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-            inner[t] = u[:, 2 * HIDDEN :]
-            n = new[t] = np.tanh(x[t, :, 2 * HIDDEN :] + g[:, HIDDEN:] * inner[t])
-            z = g[:, :HIDDEN]
-            state = after[t] = n + z * (state - n)
+            at = t if kept else 0
+            b, g, n, c = before[at], gates[at], new[at], inner[at]
+            np.add(self.p["input"].take(inputs[t], axis=0).reshape(lanes, 3, HIDDEN).transpose(1, 0, 2), shift, out=x)
+            if begins[t]:
+                np.multiply(state, going[t][:, None], out=b)
+            else:
+                b[:] = state
+            u = b @ weights
+            np.add(x[:2], u[:2], out=g)
+            g *= 0.5
+            np.tanh(g, out=g)
+            g *= 0.5
+            g += 0.5
+            c[:] = u[2]
+            np.multiply(g[1], c, out=n)
+            n += x[2]
+            np.tanh(n, out=n)
+            state = after[t]
+            np.subtract(b, n, out=state)
+            state *= g[0]
+            state += n
         return before, after, gates, new, inner, state
 
+    def _state_weights(self) -> np.ndarray:
+        return np.ascontiguousarray(self.p["state"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2))
+
     def _classes(self, targets: np.ndarray) -> np.ndarray:
         return np.where(targets < self.words, targets // self.branches**2, self.top + targets - self.words)
 
     def _levels(self, targets: np.ndarray) -> tuple[np.ndarray, list[tuple[str, np.ndarray, np.ndarray]]]:
-        """Places of frequent words, and below their classes the node and branch of each level."""
-        at = np.flatnonzero(targets < self.words)
-        words, k = targets[at], self.branches
-        return at, [("mid", words // k**2, words // k % k), ("leaf", words // k, words % k)]
+        """Places of frequent words in order of their nodes, and below their classes the node and branch of each level."""
+        at, k = np.flatnonzero(targets < self.words), self.branches
+        leaf = targets[at] // k
+        # Numbers of 16 bits are sorted by their digits.
+        order = np.argsort(leaf.astype(np.uint16) if self.words <= k << 16 else leaf, kind="stable")
+        at, leaf = at[order], leaf[order]
+        return at, [("mid", leaf // k, leaf % k), ("leaf", leaf, targets[at] - leaf * k)]
 
     def log_probabilities(self, inputs, starts, targets, state) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithms for each step and lane, and the state to go on with."""
-        *_, after, _, _, _, state = self._forward(inputs, starts, state)
+        _, after, _, _, _, state = self._forward(inputs, starts, state, kept=False)
         h, wanted = after.reshape(-1, HIDDEN), targets.ravel()
-        out = _log_of(h @ self.p["classes"] + self.p["class_bias"], self._classes(wanted)).astype(np.float64)
+        out = _logs(h, self.p["classes"], self.p["class_bias"], self._classes(wanted)).astype(np.float64)
         at, levels = self._levels(wanted)
+        h = h[at]
+        below = np.zeros(len(at), dtype=np.float32)
+        ones = np.ones(self.branches, dtype=np.float32)
         for name, nodes, branch in levels:
-            for used, places, real in _grouped(nodes):
-                logits = h[at[places]] @ self.p[name][used] + self.p[f"{name}_bias"][used][:, None, :]
-                np.minimum(logits, 60, out=logits)
-                own = np.take_along_axis(logits, branch[places][:, :, None], axis=2)[:, :, 0]
-                found = own - np.log(np.exp(logits, out=logits).sum(axis=2))
-                out[at[places[real]]] += found[real]
+            weights, bias = self.p[name], self.p[f"{name}_bias"]
+            for used, places, real in _runs(nodes, self.branches):
+                if real is None:
+                    below[places] += _logs(h[places], weights[used[0]], bias[used[0]], branch[places])
+                    continue
+                logits = h[places] @ weights[used]
+                logits += bias[used][:, None, :]
+                logits = np.minimum(logits, 60, out=logits).reshape(-1, self.branches)
+                own = logits[np.arange(len(logits)), branch[places].ravel()]
+                found = own - np.log(np.exp(logits, out=logits) @ ones)
+                below[places[real]] += found.reshape(places.shape)[real]
+        out[at] += below
         return out.reshape(targets.shape), state
 
     def train(self, inputs, starts, targets, live, state, rate: float, full: int) -> np.ndarray:
         """One step down the gradient of a window; ``live`` marks the steps that hold text. Losses are
         divided by ``full``, the places of a full window, so that a narrow one counts for less."""
         before, after, gates, new, inner, state = self._forward(inputs, starts, state)
-        p, h, wanted, on = self.p, after.reshape(-1, HIDDEN), targets.ravel(), live.ravel()
-        scale = np.float32(1 / full)
-        d, parts = {}, {}
-        err = _softmax(h @ p["classes"] + p["class_bias"])
-        err[np.arange(len(h)), self._classes(wanted)] -= 1
-        err *= on[:, None] * scale
-        d["classes"], d["class_bias"] = h.T @ err, err.sum(axis=0)
-        dh = err @ p["classes"].T
+        p, scale, k = self.p, np.float32(1 / full), self.branches
+        on = np.flatnonzero(live)
+        h, wanted = after.reshape(-1, HIDDEN)[on], targets.ravel()[on]
+        found = np.zeros_like(h)
+        d, parts = {}, []
+        d["classes"], d["class_bias"] = _descent(h, p["classes"], p["class_bias"], self._classes(wanted), scale, found)
         at, levels = self._levels(wanted)
+        h, back, ones = h[at], np.zeros((len(at), HIDDEN), dtype=np.float32), np.ones(k, dtype=np.float32)
         for name, nodes, branch in levels:
-            met, weights, biases = [], [], []
-            for used, places, real in _grouped(nodes):
-                hc, own = h[at[places]], p[name][used]
-                err = _softmax3(hc @ own + p[f"{name}_bias"][used][:, None, :])
-                row = np.arange(err.shape[0])[:, None], np.arange(err.shape[1])[None, :]
-                err[(*row, branch[places])] -= 1
-                err *= ((on[at[places]] & real) * scale)[:, :, None]
-                met.append(used)
-                weights.append(hc.transpose(0, 2, 1) @ err)
-                biases.append(err.sum(axis=1))
-                dh[at[places[real]]] += (err @ own.transpose(0, 2, 1))[real]
-            if met:
-                rows = np.concatenate(met)
-                parts |= {name: (rows, np.concatenate(weights)), f"{name}_bias": (rows, np.concatenate(biases))}
-        dh = dh.reshape(after.shape)
-        dx = np.empty((*inputs.shape, 3 * HIDDEN), dtype=np.float32)
-        du = np.empty_like(dx)
+            weights, bias = p[name], p[f"{name}_bias"]
+            for used, places, real in _runs(nodes, k):
+                if real is None:
+                    dw, db = _descent(h[places], weights[used[0]], bias[used[0]], branch[places], scale, back[places])
+                    parts += [(name, used, dw.reshape(1, -1)), (f"{name}_bias", used, db[None])]
+                    continue
+                hc, own, share = h[places], weights[used], real * scale
+                err = hc @ own
+                err += bias[used][:, None, :]
+                np.exp(np.minimum(err, 60, out=err), out=err)
+                rows = err.reshape(-1, k)
+                rows *= (share.ravel() / (rows @ ones))[:, None]
+                rows[np.arange(len(rows)), branch[places].ravel()] -= share.ravel()
+                dw = hc.transpose(0, 2, 1) * err if err.shape[1] == 1 else hc.transpose(0, 2, 1) @ err
+                parts += [(name, used, dw.reshape(len(used), -1)), (f"{name}_bias", used, err.sum(axis=1))]
+                back[places[real]] += (err @ own.transpose(0, 2, 1))[real]
+        found[at] += back
+        dh = np.zeros_like(after)
+        dh.reshape(-1, HIDDEN)[on] = found
+        steps, lanes = inputs.shape
+        # Gradients of the gates' sums, and of what the state gives to the third of them.
+        dx, du = np.empty((steps, 3, lanes, HIDDEN), dtype=np.float32), np.empty((3, lanes, HIDDEN), dtype=np.float32)
+        turned = np.ascontiguousarray(self._state_weights().transpose(0, 2, 1))
+        begins, going = starts.any(axis=1).tolist(), ~starts
+        by_state = np.zeros((3, HIDDEN, HIDDEN), dtype=np.float32)
         carry = np.zeros_like(dh[0])
-        for t in range(len(inputs) - 1, -1, -1):
-            g = dh[t] + carry
-            z, r = gates[t, :, :HIDDEN], gates[t, :, HIDDEN:]
-            dn = g * (1 - z) * (1 - new[t] ** 2)
-            dz = g * (before[t] - new[t]) * z * (1 - z)
-            dr = dn * inner[t] * r * (1 - r)
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            du[t] = np.concatenate([dz, dr, dn * r], axis=1)
-            carry = (g * z + du[t] @ p["state"].T) * ~starts[t][:, None]
-        flat = dx.reshape(-1, 3 * HIDDEN)
+        for t in range(steps - 1, -1, -1):
+            g, (z, r), n, (dz, dr, dn) = dh[t], gates[t], new[t], dx[t]
+            g += carry
+            gz = g * z
+            np.subtract(g, gz, out=dn)  # g * (1 - z)
+            np.subtract(before[t], n, out=dz)
+            dz *= z
+            dz *= dn
+            n *= n
+            np.subtract(1, n, out=n)
+            dn *= n
+            np.multiply(dn, r, out=du[2])
+            np.subtract(1, r, out=dr)
+            dr *= inner[t]
+            dr *= du[2]
+            du[:2] = dx[t, :2]
+            by_state += before[t].T @ du
+            carry = (du @ turned).sum(axis=0)
+            carry += gz
+            if begins[t]:
+                carry *= going[t][:, None]
+        flat = dx.transpose(0, 2, 1, 3).reshape(-1, 3 * HIDDEN)
         d["gates"] = flat.sum(axis=0)
-        d["state"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
-        used, sums = _summed(inputs.ravel(), flat)
-        parts["input"] = (used, sums)
-        size = np.sqrt(sum(float((v * v).sum()) for v in [*d.values(), *(v for _, v in parts.values())]))
+        d["state"] = by_state.transpose(1, 0, 2).reshape(HIDDEN, 3 * HIDDEN)
+        parts.append(("input", *_summed(inputs.ravel(), flat)))
+        squares = [np.einsum("ij,ij->i", v, v) for *_, v in parts]
+        size = np.sqrt(sum(float((v * v).sum()) for v in d.values()) + sum(float(v.sum()) for v in squares))
         rate *= min(1.0, 1.0 / max(size, 1e-9))
-        for k, v in d.items():
-            self.squares[k] += v * v
-            p[k] -= rate * v / np.sqrt(self.squares[k])
-        for k, (rows, v) in parts.items():
-            self.squares[k][rows] += (v * v).reshape(len(rows), -1).mean(axis=1)
-            p[k][rows] -= rate * v / np.sqrt(self.squares[k][rows]).reshape(-1, *[1] * (v.ndim - 1))
+        for name, v in d.items():
+            self.squares[name] += v * v
+            p[name] -= rate * v / np.sqrt(self.squares[name])
+        for (name, rows, v), square in zip(parts, squares):
+            held = self.squares[name][rows] + square / np.float32(v.shape[1])
+            self.squares[name][rows] = held
+            v *= (np.float32(rate) / np.sqrt(held))[:, None]
+            p[name][rows] -= v.reshape(len(rows), *p[name].shape[1:])
         return state
 
 
 def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the rows of each key."""
     order = np.argsort(keys, kind="stable")
-    used, starts = np.unique(keys[order], return_index=True)
-    return used, np.add.reduceat(rows[order], starts, axis=0)
+    used, starts, counts = np.unique(keys[order], return_index=True, return_counts=True)
+    out = rows[order[starts]]
+    for nth in range(1, WIDTHS[-1]):
+        more = np.flatnonzero((counts > nth) & (counts <= WIDTHS[-1]))
+        if not len(more):
+            break
+        out[more] += rows[order[starts[more] + nth]]
+    for at in np.flatnonzero(counts > WIDTHS[-1]).tolist():
+        out[at] = rows[order[starts[at] : starts[at] + counts[at]]].sum(axis=0)
+    return used, out
 
 
 def lanes(documents: list[np.ndarray], number: int) -> list[list[int]]:
@@ -250,26 +325,26 @@ def windows(documents: list[np.ndarray], number: int, steps: int, first: int) ->
 
     ``owner`` is the document of each step, -1 beyond a lane's end. The input of a step is the symbol
     before it, ``first`` at a document's start, where the state is reset. Lanes come longest first, and
-    those that have ended are left out, so later windows are narrower. A very long document gets fewer
-    lanes beside it, so that they all fit ``CELLS``.
+    those that have ended are left out, so later windows are narrower. A window is laid out when its turn comes.
     """
     if not documents:
         return
-    dealt = lanes(documents, max(1, min(number, CELLS // max(map(len, documents)))))
+    dealt = lanes(documents, number)
     ends = np.array([sum(len(documents[i]) for i in lane) for lane in dealt])
     dealt, ends = [dealt[k] for k in np.argsort(-ends, kind="stable")], -np.sort(-ends)
-    length = int(ends[0])
-    shape = (length, len(dealt))
-    inputs, targets, owner = np.full(shape, first, dtype=np.int32), np.zeros(shape, dtype=np.int32), np.full(shape, -1, dtype=np.int32)
-    starts = np.zeros(shape, dtype=bool)
-    for k, lane in enumerate(dealt):
-        tokens, sizes = np.concatenate([documents[i] for i in lane]), [len(documents[i]) for i in lane]
-        begins = np.cumsum(sizes) - sizes
-        targets[: len(tokens), k] = tokens
-        inputs[1 : len(tokens), k] = tokens[:-1]
-        inputs[begins, k] = first
-        starts[begins, k] = True
-        owner[: len(tokens), k] = np.repeat(lane, sizes)
-    for at in range(0, length, steps):
-        part = slice(at, at + steps), slice(0, int((ends > at).sum()))
-        yield inputs[part], starts[part], targets[part], owner[part]
+    order = [i for lane in dealt for i in lane]
+    sizes = np.array([len(documents[i]) for i in order])
+    begins = np.cumsum(sizes) - sizes
+    targets = np.concatenate([documents[i] for i in order]).astype(np.int32)
+    inputs = np.append(np.int32(first), targets[:-1])
+    inputs[begins] = first
+    starts = np.zeros(len(targets), dtype=bool)
+    starts[begins] = True
+    owner = np.repeat(np.array(order, dtype=np.int32), sizes)
+    lows = np.cumsum(ends) - ends
+    for at in range(0, int(ends[0]), steps):
+        wide = int((ends > at).sum())
+        step = np.arange(at, min(at + steps, int(ends[0])))[:, None]
+        there = step < ends[:wide]
+        place = np.where(there, lows[:wide] + step, 0)
+        yield np.where(there, inputs[place], first), starts[place] & there, np.where(there, targets[place], 0), np.where(there, owner[place], -1)

@@ -28,7 +28,8 @@ END = b""
 #: Training documents by slice: each is used once, in growing rounds with an average after each.
 SLICES, ROUNDS = 16, (range(0, 1), range(1, 4), range(4, 9), range(9, 16))
 TRAIN_LANES, TRAIN_STEPS, RATE = 1024, 24, 0.1
-SCORE_LANES, SCORE_STEPS = 2048, 24
+#: Lanes to score in at most, and steps times lanes of a window.
+SCORE_LANES, SCORE_CELLS = 2048, 1 << 16
 #: Symbols that a task lays out at a time.
 CHUNK = 4_000_000
 #: Ranges of a parameter's rows that are averaged apart, word buckets for each shuffle partition, and bytes of
@@ -69,6 +70,13 @@ def training_windows(documents: list[np.ndarray], end: int) -> tuple[int, Iterat
     return number, windows(documents, number, TRAIN_STEPS, end)
 
 
+def scoring_windows(documents: list[np.ndarray], end: int) -> Iterator[tuple]:
+    """Windows to score whole documents by. Lanes end together, as narrow windows cost nearly as much as wide ones,
+    and few lanes have longer windows."""
+    number = max(1, min(SCORE_LANES, sum(map(len, documents)) // max(map(len, documents), default=1)))
+    return windows(documents, number, max(TRAIN_STEPS, SCORE_CELLS // number), end)
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 BLANK = np.zeros(256, dtype=bool)
@@ -322,7 +330,7 @@ def _scored(encoded: DataFrame, model: Gru, end: int, tokens: int) -> DataFrame:
         own = Gru.of(shared.value)
         for columns, documents in _chunks(batches):
             ids, total, state = columns["doc_ids"], np.array(columns["rest"]), None
-            for inputs, starts, targets, owner in windows(documents, SCORE_LANES, SCORE_STEPS, end):
+            for inputs, starts, targets, owner in scoring_windows(documents, end):
                 state = own.blank(inputs) if state is None else state
                 found, state = own.log_probabilities(inputs, starts, targets, state)
                 live = owner >= 0

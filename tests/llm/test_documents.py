@@ -164,6 +164,51 @@ def test_own_symbols_grow_with_the_words_and_training_keeps_the_state_of_long_do
     assert begun == 3 and seen.tolist() == lengths and number == 1
 
 
+def test_scoring_lays_out_few_wide_windows_and_scores_as_one_document_at_a_time():
+    rng = np.random.default_rng(2)
+    model = gru.Gru(np.arange(1.0, 301.0)[::-1], 290, 10)
+    for name in ("classes", "mid", "leaf"):
+        model.p[name] = rng.normal(0, 0.3, model.p[name].shape).astype(np.float32)
+    docs = [rng.integers(0, 300, n) for n in (3_000, *[20] * 600, 1)]
+
+    def scored(laid):
+        total, state, laid = np.zeros(len(docs)), None, list(laid)
+        for inputs, starts, targets, owner in laid:
+            state = model.blank(inputs) if state is None else state
+            found, state = model.log_probabilities(inputs, starts, targets, state)
+            total += np.bincount(owner[owner >= 0], weights=found[owner >= 0], minlength=len(docs))
+        return total, laid
+
+    total, laid = scored(lm.scoring_windows(docs, 0))
+    assert len(laid) == 1 and sum(w[0].size for w in laid) < 1.1 * sum(map(len, docs))
+    alone, _ = scored(gru.windows(docs, 1, 1_000, 0))
+    assert np.allclose(total, alone, rtol=1e-4)
+
+
+def test_a_training_step_moves_each_parameter_by_its_gradient():
+    rng = np.random.default_rng(3)
+    begun = gru.Gru(np.arange(1.0, 81.0)[::-1], 70, 10)
+    for name in ("classes", "mid", "leaf"):
+        begun.p[name] = rng.normal(0, 0.3, begun.p[name].shape).astype(np.float32)
+    inputs, targets, starts = *rng.integers(0, 80, (2, 6, 40)), rng.random((6, 40)) < 0.2
+    live = rng.random((6, 40)) < 0.9
+    moved = gru.Gru.of(begun.arrays())
+    moved.train(inputs, starts, targets, live, moved.blank(inputs), 0.1, 240)
+
+    def loss(model):
+        return -model.log_probabilities(inputs, starts, targets, model.blank(inputs))[0][live].sum() / 240
+
+    for name in begun.p:
+        # Where a step of one parameter goes, the loss falls as its gradient says.
+        rows = begun.squares[name] != moved.squares[name]
+        at = np.unravel_index(np.abs(np.where(rows.reshape(rows.shape + (1,) * (begun.p[name].ndim - rows.ndim)), moved.p[name] - begun.p[name], 0)).argmax(), begun.p[name].shape)
+        lower, upper = gru.Gru.of(begun.arrays()), gru.Gru.of(begun.arrays())
+        lower.p[name][at] -= 0.03
+        upper.p[name][at] += 0.03
+        slope = (loss(upper) - loss(lower)) / 0.06
+        assert slope * (moved.p[name] - begun.p[name])[at] < 0
+
+
 def test_the_recurrent_model_is_a_distribution_and_its_gradient_is_right():
     model = gru.Gru(np.arange(1.0, 81.0)[::-1], 70, 10)
     rng = np.random.default_rng(1)
