@@ -160,9 +160,13 @@ def word_list(body: bytes) -> list[bytes]:
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of each range, one range after the other."""
+    """The numbers start, start + 1, ... of each range, one range after the other; in 32 bits if ``starts`` has them and they are enough."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if starts.dtype == np.int32 and total < 1 << 31 else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def encode_words(words: DataFrame, make_encoder: Callable[[], Callable[[bytes], list[int]]]) -> DataFrame:

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
-from functools import partial
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,13 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rankweave.llm.blocks import block_ids, split_texts, staged_by_block
+from rankweave.llm.blocks import ragged
 from rankweave.llm.ranks import spread_rank
-from rankweave.llm.wordbpe import PieceBlock, added_tokens, encode_pieces
+from rankweave.llm.wordbpe import WordIds
 from rankweave.session import staged
 
 CAPACITY = 4096
-END = (1).to_bytes(4, "little")
 #: Rounds in which the program covers all lengths alike; the share of a length's count that it may leave over;
 #: how much a length's weight falls until it is covered (as a power of e); the shares of a sequence that a rounded configuration must fill, tried in turn.
 STEPS, UNCOVERED, SHARPNESS, FILLS = 4, 0.02, 1.0, (0.9, 0.7, 0.5)
@@ -33,29 +31,26 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, doc
 
     A null or empty text is the end id alone. Rows with one id are separate documents.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    blocks = staged_by_block(split_texts(picked, partial(PieceBlock, added_tokens(vocabulary)), buckets), "word-blocks")
     counted = [StructField(c, LongType()) for c in ("piece", "start", "length", "ids_crc32")]
     schema = StructType([picked.schema["doc_id"], *counted])
 
-    def cut(documents: pa.Table, words: pa.Table) -> pa.Table:
-        out = []
-        for doc_ids, tokens in block_ids(words, documents):
-            rows, source = [], []
-            for at, ids in enumerate(tokens):
-                data = ids.astype("<u4").tobytes() + END
-                for piece, start in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[start : start + 4 * capacity]
-                    rows.append((piece, start // 4, len(part) // 4, zlib.crc32(part)))
-                    source.append(at)
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-            out.append(pa.table([doc_ids.take(pa.array(source, pa.int64())), *columns], names=schema.names))
-        return pa.concat_tables(out)
-
-    documents = blocks.where("bucket is null").select("block", "doc_ids", "counts", "body")
-    encoded = encode_pieces(blocks.where("bucket is not null"), vocabulary)
-    return documents.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(cut, schema)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordIds(vocabulary)
+        for batch in batches:
+            ids, sizes = words.encode(batch.column(1))
+            pieces = -(-sizes // capacity)
+            source = np.repeat(np.arange(len(sizes)), pieces)
+            piece = ragged(np.zeros(len(sizes), dtype=np.int64), pieces)
+            start = piece * capacity
+            length = np.minimum(sizes[source] - start, capacity)
+            data = memoryview(ids.astype("<u4")).cast("B")
+            lows = 4 * (np.cumsum(length) - length)
+            sums = [zlib.crc32(data[a:b]) for a, b in zip(lows.tolist(), (lows + 4 * length).tolist())]
+            columns = [pa.array(c, pa.int64()) for c in (piece, start, length, sums)]
+            yield pa.record_batch([batch.column(0).take(pa.array(source)), *columns], names=schema.names)
+
+    return picked.mapInArrow(cut, schema)
 
 
 def price_table(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,137 +2,26 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from rankweave.llm.blocks import pack_ints, ragged, unpack_ints
+from rankweave.llm.blocks import pack_ints, unpack_ints
 from rankweave.llm.repair import Grammar, compress
-from rankweave.llm.wordbpe import BYTE_CHARS, NOT_SPACE, PIECE, PLAIN, WHOLE, added_tokens, tokenizer
+from rankweave.llm.wordbpe import WordIds
 
-END = 1
-#: Ids after which a shard ends with the document, and different pieces that a task remembers.
-SHARD_IDS, REMEMBERED = 1 << 21, 1_000_000
+#: Ids after which a shard ends with the document.
+SHARD_IDS = 1 << 21
 PARTS = ("left", "right", "lengths", "symbols")
 SHARDS = ["part int", "serial int", "start long", "n_ids long", "terminals int", "places binary", *[f"{c} binary" for c in PARTS]]
 
 
-LETTER, DIGIT, OTHER = 0, 1, 2
-#: What kind each ASCII character is for the splitting pattern; an apostrophe may begin a piece with letters.
-KINDS = np.array([LETTER if chr(c).isalpha() else DIGIT if chr(c).isdigit() else OTHER for c in range(128)] + [OTHER] * 128, dtype=np.uint8)
-
-
-class WordIds:
-    """Ids of texts by a lower-casing word BPE.
-
-    White space always parts words, and words consist of pieces, each of which is encoded by itself: a batch
-    is taken apart as whole arrays, and only pieces not met before go to the tokenizer.
-    """
-
-    def __init__(self, vocabulary: str):
-        self.own = tokenizer(vocabulary)
-        self.terminals = self.own.get_vocab_size()
-        self.whole = "|".join(re.escape(c) for c in [*NOT_SPACE, *added_tokens(vocabulary)])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.ids: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)]
-        self.sizes: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
-
-    def _numbered(self, pieces: list[str]) -> np.ndarray:
-        """Numbers of pieces into the tables of ids, which grow by those that are new."""
-        numbers, new = self.numbers, []
-        found = np.empty(len(pieces), dtype=np.int64)
-        for at, piece in enumerate(pieces):
-            number = numbers.get(piece)
-            if number is None:
-                number = numbers[piece] = len(numbers)
-                new.append(piece)
-            found[at] = number
-        said, tokenize = [], self.own.model.tokenize
-        for piece in new:
-            if piece.startswith(WHOLE):
-                said.append(self.own.encode(piece[len(WHOLE) :], add_special_tokens=False).ids)
-            else:
-                shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(BYTE_CHARS)
-                said.append([t.id for t in tokenize(shown)])
-        self.ids.append(np.fromiter(chain.from_iterable(said), dtype=np.uint32))
-        self.sizes.append(np.fromiter(map(len, said), dtype=np.int64, count=len(said)))
-        return found
-
-    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Piece numbers, and where each word's begin and how many they are."""
-        offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-        low, high = int(offsets[0]), int(offsets[-1])
-        data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[low:high]
-        offsets -= low
-        slow = np.zeros(len(words), dtype=bool)
-        word_of = np.repeat(np.arange(len(words)), np.diff(offsets))
-        slow[word_of[(data >= 128) | (data == ord("'"))]] = True
-        kind = KINDS[data]
-        begins = np.empty(len(data), dtype=bool)
-        begins[:1] = True
-        begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
-        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
-        cuts = np.flatnonzero(begins)
-        owner = word_of[cuts]
-        parts = pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(np.append(cuts, len(data)).astype(np.int32)), pa.py_buffer(data)])
-        fast = ~slow[owner]
-        coded = parts.filter(pa.array(fast)).dictionary_encode()
-        named, lists = coded.dictionary.to_pylist(), []
-        for word in words.filter(pa.array(slow)).to_pylist():
-            lists.append(PIECE.findall(word.lower()) if max(word) < PLAIN else [WHOLE + word])
-        numbers = self._numbered([*named, *chain.from_iterable(lists)])
-        pieces = np.concatenate([numbers[coded.indices.to_numpy(zero_copy_only=False)], numbers[len(named) :]])
-        counts = np.bincount(owner[fast], minlength=len(words))
-        firsts = np.cumsum(counts) - counts
-        sizes = np.array([len(v) for v in lists], dtype=np.int64)
-        counts[slow], firsts[slow] = sizes, int(fast.sum()) + np.cumsum(sizes) - sizes
-        return pieces, firsts, counts
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, an end after each, and how many each has. Null is empty."""
-        if len(self.numbers) > REMEMBERED:
-            self._forget()
-        texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, self.whole)
-        split = pc.utf8_split_whitespace(pc.ascii_lower(pc.if_else(odd, "", texts)))
-        coded = split.flatten().dictionary_encode()
-        pieces, firsts, counts = self._pieces(coded.dictionary)
-        # Texts that the tokenizer must see whole are one word; so is the end.
-        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-        apart = self._numbered([WHOLE + texts[int(i)].as_py() for i in whole])
-        firsts = np.concatenate([firsts, len(pieces) + np.arange(len(whole))])
-        counts = np.concatenate([counts, np.ones(len(whole), dtype=np.int64)])
-        pieces = np.concatenate([pieces, apart])
-        self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
-        flat, sizes = self.ids[0], self.sizes[0]
-        starts = np.cumsum(sizes) - sizes
-        pieces = pieces[ragged(firsts, counts)]
-        at = np.cumsum(counts) - counts
-        piece_ends = np.concatenate([[0], np.cumsum(sizes[pieces])])
-        word_sizes = np.append(piece_ends[at + counts] - piece_ends[at], 1)
-        of_words = np.append(flat[ragged(starts[pieces], sizes[pieces])], np.uint32(END))
-        word_starts = np.cumsum(word_sizes) - word_sizes
-        offsets = split.offsets.to_numpy().astype(np.int64)
-        offsets -= offsets[0] if len(offsets) else 0
-        code = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets[1:], len(word_sizes) - 1)
-        first = offsets[:-1] + np.arange(len(texts))
-        code[first[whole]] = len(coded.dictionary) + np.arange(len(whole))  # an odd text was one empty word
-        ids = of_words[ragged(word_starts[code], word_sizes[code])]
-        return ids, np.add.reduceat(word_sizes[code], first) if len(first) else np.zeros(0, dtype=np.int64)
-
-
 def write_ids(docs: DataFrame, vocabulary: str, path: str, doc_id: str = "doc_id", text: str = "text", shard_ids: int = SHARD_IDS) -> None:
     """Write the ids of every text, an end id after each, to ``path`` in ascending order of ids.
 

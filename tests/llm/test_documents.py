@@ -90,6 +90,14 @@ def test_packing_takes_added_tokens_as_the_library_does(spark):
     assert {r.doc_id: (r.length, r.ids_crc32) for r in pieces.collect()} == want
 
 
+def test_pieces_are_cut_where_their_documents_lie(spark):
+    docs = spark.createDataFrame([(1, "one two " * 9), (2, None), (2, "three")], "doc_id long, text string")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 8)
+    assert "Exchange" not in pieces._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.doc_id, r.piece, r.start, r.length) for r in pieces.collect())
+    assert got == [(1, 0, 0, 8), (1, 1, 8, 8), (1, 2, 16, 3), (2, 0, 0, 1), (2, 0, 0, 2)]
+
+
 def test_configurations_hold_every_piece_once():
     rng = np.random.default_rng(3)
     lengths, counts = np.unique(np.minimum(rng.geometric(0.004, 3000), 512), return_counts=True)

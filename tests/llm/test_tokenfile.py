@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from rankweave.llm import repair, tokenfile
+from rankweave.llm import repair, tokenfile, wordbpe
 from rankweave.llm.queries import QUERIES
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -97,3 +97,10 @@ def test_words_are_encoded_as_the_library_does():
         ids, sizes = words.encode(pa.array(texts[low : low + 900], pa.string()))
         found = [v.tolist() for v in np.split(ids, np.cumsum(sizes)[:-1])]
         assert found == [ids_of(t) for t in texts[low : low + 900]]
+
+
+def test_latin_words_are_taken_apart_as_arrays(monkeypatch):
+    texts = ["Ärger ÉLAN, Œuvre naïve Straße!", "ŸÿſŊŋ 12½x² µm", "«Ça» ×3"]
+    monkeypatch.setattr(wordbpe, "PIECE", None)  # the pattern is for words one at a time
+    ids, sizes = wordbpe.WordIds(VOCABULARY).encode(pa.array(texts))
+    assert [v.tolist() for v in np.split(ids, np.cumsum(sizes)[:-1])] == [ids_of(t) for t in texts]
