@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 
 HIDDEN = 16
-#: Branches of a node of the class tree, at least.
-BRANCHES = 16
+#: Branches of a node of the class tree, at least and at most; the tree has three levels, or more where they would
+#: need more branches.
+BRANCHES, MOST = 16, 24
 #: Numbers that are worked on at a time, so that they stay in the cache, and how often nodes of the class tree occur
 #: that are worked on together; more frequent ones are by themselves.
 CACHED, WIDTHS = 1 << 16, np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32])
@@ -62,8 +64,8 @@ def _runs(nodes: np.ndarray, cells: int) -> Iterator[tuple[np.ndarray, slice | n
             yield nodes[firsts[some]], np.minimum(at, len(nodes) - 1), np.arange(width) < counts[some][:, None]
 
 
-#: Parameters of which a window touches some rows, with one step size for each row, and the others.
-ROWED, WHOLE = ("input", "mid", "mid_bias", "leaf", "leaf_bias"), ("state", "gates", "classes", "class_bias")
+#: Parameters that a window touches as a whole. Of the others it touches some rows, with one step size for each row.
+WHOLE = ("state", "gates", "classes", "class_bias", "others", "others_bias")
 
 
 class Gru:
@@ -71,22 +73,31 @@ class Gru:
 
     Symbols below ``words`` are frequent words under a tree of classes, in order of frequency: a class, a
     class inside it, and the word inside that, each a softmax over some ``branches``, the cube root of the words and
-    ``BRANCHES`` at least. Each of the ``rest`` symbols is a class of its own. ``counts`` sets the biases to the
-    symbols' frequencies, where training starts from.
+    ``BRANCHES`` at least. Where that is more than ``MOST`` there are more classes inside each other, so that a word's
+    cost grows with the logarithm of the words. The ``rest`` symbols are one class more, with a softmax over
+    them. ``counts`` sets the biases to the symbols' frequencies, where training starts from.
     """
 
     def __init__(self, counts: np.ndarray, words: int, rest: int, seed: int = 1):
         rng = np.random.default_rng(seed)
-        k = self.branches = max(BRANCHES, int(np.ceil(np.cbrt(words))))
-        self.words, self.rest, self.top = words, rest, -(-words // (k * k))
-        smooth = np.zeros(self.top * k * k)
-        smooth[:words] = counts[:words] + 0.5
-        mids, leaves = smooth.reshape(self.top, k, k).sum(axis=2), smooth.reshape(self.top * k, k)
-        tops = np.concatenate([mids.sum(axis=1), counts[words:] + 0.5])
+        depth = next(d for d in itertools.count(3) if MOST**d >= words)
+        k = self.branches = next(k for k in range(BRANCHES, MOST + 1) if k**depth >= words)
+        self.words, self.rest, self.top = words, rest, -(-words // k ** (depth - 1))
+        self.levels = ("mid", *[f"mid{n}" for n in range(2, depth - 1)], "leaf")
 
         def share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
             return np.where(part > 0, np.log(np.maximum(part, 1e-30) / np.maximum(whole, 1e-30)), -30.0).astype(np.float32)
 
+        inner, below = {}, np.zeros(self.top * k ** (depth - 1))
+        below[:words] = counts[:words] + 0.5
+        for name in reversed(self.levels):
+            below = below.reshape(-1, k)
+            inner[f"{name}_bias"] = share(below, below.sum(axis=1, keepdims=True))
+            inner[name] = np.zeros((len(below), HIDDEN, k), dtype=np.float32)
+            below = below.sum(axis=1)
+        others = counts[words:] + 0.5
+        tops = np.append(below, others.sum())
+
         def small(*shape: int) -> np.ndarray:
             return rng.normal(0, 0.1, shape).astype(np.float32)
 
@@ -94,25 +105,28 @@ class Gru:
             "input": small(words + rest, 3 * HIDDEN),
             "state": small(HIDDEN, 3 * HIDDEN) * 3,
             "gates": np.zeros(3 * HIDDEN, dtype=np.float32),
-            "classes": np.zeros((HIDDEN, self.top + rest), dtype=np.float32),
+            "classes": np.zeros((HIDDEN, self.top + 1), dtype=np.float32),
             "class_bias": np.log(tops / tops.sum()).astype(np.float32),
-            "mid": np.zeros((self.top, HIDDEN, k), dtype=np.float32),
-            "mid_bias": share(mids, mids.sum(axis=1, keepdims=True)),
-            "leaf": np.zeros((self.top * k, HIDDEN, k), dtype=np.float32),
-            "leaf_bias": share(leaves, leaves.sum(axis=1, keepdims=True)),
-        }
-        self.squares = {n: np.full(len(self.p[n]), 1e-4, dtype=np.float32) for n in ROWED}
+            "others": np.zeros((HIDDEN, rest), dtype=np.float32),
+            "others_bias": np.log(others / others.sum()).astype(np.float32),
+        } | dict(reversed(inner.items()))
+        self.squares = {n: np.full(len(self.p[n]), 1e-4, dtype=np.float32) for n in self.rowed}
         self.squares |= {n: np.full_like(self.p[n], 1e-4) for n in WHOLE}
 
+    @property
+    def rowed(self) -> list[str]:
+        """Parameters of which a window touches some rows."""
+        return [n for n in self.p if n not in WHOLE]
+
     def arrays(self) -> dict:
         """All that makes the model, as plain values."""
-        return {"p": self.p, "squares": self.squares, "words": self.words, "rest": self.rest, "branches": self.branches}
+        return {n: getattr(self, n) for n in ("p", "squares", "words", "rest", "branches", "levels")}
 
     @classmethod
     def of(cls, arrays: dict) -> Gru:
         """A model of its own from ``arrays()``."""
         own = cls.__new__(cls)
-        own.words, own.rest, own.branches = (arrays[n] for n in ("words", "rest", "branches"))
+        own.words, own.rest, own.branches, own.levels = (arrays[n] for n in ("words", "rest", "branches", "levels"))
         own.top = len(arrays["p"]["mid"])
         own.p, own.squares = ({n: v.copy() for n, v in arrays[part].items()} for part in ("p", "squares"))
         return own
@@ -182,22 +196,29 @@ class Gru:
         return np.ascontiguousarray(self.p["state"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2))
 
     def _classes(self, targets: np.ndarray) -> np.ndarray:
-        return np.where(targets < self.words, targets // self.branches**2, self.top + targets - self.words)
+        return np.where(targets < self.words, targets // self.branches ** len(self.levels), self.top)
 
     def _levels(self, targets: np.ndarray) -> tuple[np.ndarray, list[tuple[str, np.ndarray, np.ndarray]]]:
         """Places of frequent words in order of their nodes, and below their classes the node and branch of each level."""
         at, k = np.flatnonzero(targets < self.words), self.branches
-        leaf = targets[at] // k
+        place, out = targets[at], []
+        leaf = place // k
         # Numbers of 16 bits are sorted by their digits.
         order = np.argsort(leaf.astype(np.uint16) if self.words <= k << 16 else leaf, kind="stable")
-        at, leaf = at[order], leaf[order]
-        return at, [("mid", leaf // k, leaf % k), ("leaf", leaf, targets[at] - leaf * k)]
+        at, place = at[order], place[order]
+        for name in reversed(self.levels):
+            node = place // k
+            out.append((name, node, place - node * k))
+            place = node
+        return at, out[::-1]
 
     def log_probabilities(self, inputs, starts, targets, state) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithms for each step and lane, and the state to go on with."""
         _, after, _, _, _, state = self._forward(inputs, starts, state, kept=False)
         h, wanted = after.reshape(-1, HIDDEN), targets.ravel()
         out = _logs(h, self.p["classes"], self.p["class_bias"], self._classes(wanted)).astype(np.float64)
+        other = np.flatnonzero(wanted >= self.words)
+        out[other] += _logs(h[other], self.p["others"], self.p["others_bias"], wanted[other] - self.words)
         at, levels = self._levels(wanted)
         h = h[at]
         below = np.zeros(len(at), dtype=np.float32)
@@ -225,8 +246,12 @@ class Gru:
         on = np.flatnonzero(live)
         h, wanted = after.reshape(-1, HIDDEN)[on], targets.ravel()[on]
         found = np.zeros_like(h)
-        d, parts = {}, []
+        d, parts = {}, {n: [] for n in self.rowed}
         d["classes"], d["class_bias"] = _descent(h, p["classes"], p["class_bias"], self._classes(wanted), scale, found)
+        other = np.flatnonzero(wanted >= self.words)
+        back = np.zeros((len(other), HIDDEN), dtype=np.float32)
+        d["others"], d["others_bias"] = _descent(h[other], p["others"], p["others_bias"], wanted[other] - self.words, scale, back)
+        found[other] += back
         at, levels = self._levels(wanted)
         h, back, ones = h[at], np.zeros((len(at), HIDDEN), dtype=np.float32), np.ones(k, dtype=np.float32)
         for name, nodes, branch in levels:
@@ -234,7 +259,8 @@ class Gru:
             for used, places, real in _runs(nodes, k):
                 if real is None:
                     dw, db = _descent(h[places], weights[used[0]], bias[used[0]], branch[places], scale, back[places])
-                    parts += [(name, used, dw.reshape(1, -1)), (f"{name}_bias", used, db[None])]
+                    parts[name].append((used, dw.reshape(1, -1)))
+                    parts[f"{name}_bias"].append((used, db[None]))
                     continue
                 hc, own, share = h[places], weights[used], real * scale
                 err = hc @ own
@@ -244,7 +270,8 @@ class Gru:
                 rows *= (share.ravel() / (rows @ ones))[:, None]
                 rows[np.arange(len(rows)), branch[places].ravel()] -= share.ravel()
                 dw = hc.transpose(0, 2, 1) * err if err.shape[1] == 1 else hc.transpose(0, 2, 1) @ err
-                parts += [(name, used, dw.reshape(len(used), -1)), (f"{name}_bias", used, err.sum(axis=1))]
+                parts[name].append((used, dw.reshape(len(used), -1)))
+                parts[f"{name}_bias"].append((used, err.sum(axis=1)))
                 back[places[real]] += (err @ own.transpose(0, 2, 1))[real]
         found[at] += back
         dh = np.zeros_like(after)
@@ -280,7 +307,8 @@ class Gru:
         flat = dx.transpose(0, 2, 1, 3).reshape(-1, 3 * HIDDEN)
         d["gates"] = flat.sum(axis=0)
         d["state"] = by_state.transpose(1, 0, 2).reshape(HIDDEN, 3 * HIDDEN)
-        parts.append(("input", *_summed(inputs.ravel(), flat)))
+        parts["input"].append(_summed(inputs.ravel(), flat))
+        parts = [(name, *map(np.concatenate, zip(*some))) for name, some in parts.items() if some]
         squares = [np.einsum("ij,ij->i", v, v) for *_, v in parts]
         size = np.sqrt(sum(float((v * v).sum()) for v in d.values()) + sum(float(v.sum()) for v in squares))
         rate *= min(1.0, 1.0 / max(size, 1e-9))

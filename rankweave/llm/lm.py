@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankweave.llm.blocks import bucketed_words, pack_ints, ragged, staged_by_block, unpack_ints, word_list
-from rankweave.llm.gru import HIDDEN, ROWED, Gru, windows
+from rankweave.llm.gru import HIDDEN, Gru, windows
 from rankweave.session import scratch_path, staged
 
 FOLDS, HELD_OUT = 7, 2
@@ -250,7 +250,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, list]
 
 def _moved(own: Gru, begun: Gru) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
     """(parameter, range, rows, difference) of the rows that training has changed."""
-    for name in ROWED:
+    for name in own.rowed:
         rows = np.flatnonzero(own.squares[name] != begun.squares[name])
         span = -(-len(own.p[name]) // PIECES)
         for piece in np.unique(rows // span).tolist():
@@ -268,8 +268,8 @@ def _train_round(encoded: DataFrame, model: Gru, end: int) -> None:
     shared = spark.sparkContext.broadcast(model.arrays())
     schema = "name string, piece int, tokens double, rows binary, body binary"
     names = ["name", "piece", "tokens", "rows", "body"]
-    widths = {n: model.p[n].size // len(model.p[n]) + 1 for n in ROWED}
-    spans = {n: -(-len(model.p[n]) // PIECES) for n in ROWED}
+    widths = {n: model.p[n].size // len(model.p[n]) + 1 for n in model.rowed}
+    spans = {n: -(-len(model.p[n]) // PIECES) for n in model.rowed}
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begun = Gru.of(shared.value)

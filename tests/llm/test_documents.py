@@ -236,6 +236,33 @@ def test_the_recurrent_model_is_a_distribution_and_its_gradient_is_right():
     assert loss() < before - 0.5
 
 
+def test_a_word_of_a_large_vocabulary_costs_a_few_narrow_softmaxes():
+    rng = np.random.default_rng(4)
+    model = gru.Gru(np.arange(1.0, 30_065.0)[::-1], 30_000, 64)
+    assert model.branches <= 24
+    assert model.p["classes"].shape[1] + model.branches * len(model.levels) < 64  # 160 as three levels, each rest symbol a class
+    for name in ("classes", "others", *model.levels):
+        model.p[name] = rng.normal(0, 0.3, model.p[name].shape).astype(np.float32)
+    # One step from the same state to each symbol: the shares are those of a distribution.
+    every = np.arange(30_064)[None]
+    same, begins = np.zeros_like(every), np.ones(every.shape, dtype=bool)
+    assert np.isclose(np.exp(model.log_probabilities(same, begins, every, model.blank(same))[0]).sum(), 1, atol=1e-4)
+    inputs, targets = rng.integers(0, 30_000, (2, 6, 40))
+    targets[0] = rng.integers(30_000, 30_064, 40)
+    starts, live = np.zeros((6, 40), dtype=bool), np.ones((6, 40), dtype=bool)
+    begun = gru.Gru.of(model.arrays())
+
+    def loss(of):
+        return -of.log_probabilities(inputs, starts, targets, of.blank(inputs))[0].mean()
+
+    model.train(inputs, starts, targets, live, model.blank(inputs), 0.05, 240)
+    for name in ("others", *model.levels):
+        # Each level alone, where it has gone, makes the texts likelier.
+        part = gru.Gru.of(begun.arrays())
+        part.p[name] = model.p[name]
+        assert loss(part) < loss(begun)
+
+
 def test_sharding(spark, documents):
     path, rows = documents
     got = rows_of(spark, "op5_sharding", path)
